@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from surveyloom.plans import questionnaire as Q
+
+from .views import ANSWERS, PRICE_BANDS, TICK_COLUMNS, TOP_BAND, YEAR_SHIFT, tick_threshold
+
 RESP = """resp AS (
   SELECT o_orderkey AS id, CAST(year(o_orderdate) AS INTEGER) AS ano, o_orderpriority AS cargo,
          o_orderstatus AS nivel, o_totalprice AS valor,
@@ -36,9 +40,6 @@ BUILT = FLAGS + """, built AS (
 FLAG_NAMES = ["f_returned", "f_accepted", "f_open", "f_discount", "f_bulk"]
 FLAG_LABELS = ["Devolvido", "Aceito", "Aberto", "Desconto alto", "Volume"]
 
-PERCENT_BY_YEAR = "SELECT ano, {} FROM flags GROUP BY ano"
-
-
 def _union(branches):
     return " UNION ALL ".join(branches)
 
@@ -263,3 +264,190 @@ ORACLE: dict[str, str] = {
     "parquet_partition_roundtrip": f"WITH {RESP} SELECT * FROM resp",
     "silver_from_csv": f"WITH {BUILT} SELECT * FROM built",
 }
+
+
+# The questionnaire-shaped view and its indicators
+
+def _answer(name):
+    _, source, answers = ANSWERS[name]
+    cases = " ".join(f"WHEN '{value}' THEN '{text}'" for value, text in answers.items())
+    return f'CASE {source} {cases} END AS "{name}"'
+
+
+SURVEY = f"""largest AS (SELECT l_orderkey, max(l_quantity) AS q FROM lineitem GROUP BY l_orderkey),
+survey AS (SELECT o_orderkey AS id, CAST(year(o_orderdate) + {YEAR_SHIFT} AS INTEGER) AS ano,
+  n_name AS {Q.SECTOR}, r_name AS {Q.REGION}, r_name AS {Q.RACE},
+  CASE WHEN c_acctbal < 0 THEN 'Outro' WHEN c_acctbal < 4000 THEN 'Feminino' ELSE 'Masculino' END AS {Q.GENDER},
+  CASE {" ".join(f"WHEN o_totalprice <= {limit} THEN '{text}'" for limit, text in PRICE_BANDS)}
+       ELSE '{TOP_BAND}' END AS {Q.BAND},
+  {", ".join(_answer(name) for name in ANSWERS)},
+  {", ".join(f'CAST(q >= {tick_threshold(c)} AS INTEGER) AS "{c}"' for c in TICK_COLUMNS)}
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+  JOIN region ON n_regionkey = r_regionkey LEFT JOIN largest ON o_orderkey = l_orderkey),
+vw AS (SELECT *,
+  CASE WHEN ano = 2025 AND atuacao IN ('0', '1', 'Nao_informado') THEN 'Gestor'
+       WHEN ano = 2023 AND atuacao = 'Nao_informado' THEN 'Análise de Dados' ELSE atuacao END AS atuacao_ok,
+  CASE WHEN faixa_salarial LIKE '%12.001%' OR faixa_salarial LIKE '%20.001%' OR faixa_salarial LIKE 'Acima%'
+       THEN 1 ELSE 0 END AS top_tier FROM survey)"""
+
+
+def _gold_count(*by):
+    keys = ", ".join(by)
+    return f"WITH {SURVEY} SELECT {keys}, count(*) AS total FROM vw GROUP BY {keys}"
+
+
+def _gold_share(category, source="vw"):
+    return f"""WITH {SURVEY} SELECT ano, {category}, count(*) AS total,
+        ROUND(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY ano), 1) AS pct FROM {source} GROUP BY ano, {category}"""
+
+
+def _gold_tier(*by):
+    keys = ", ".join(by)
+    return f"""WITH {SURVEY} SELECT {keys}, count(*) AS total, ROUND(100.0 * sum(top_tier) / count(*), 1) AS pct_top
+        FROM vw GROUP BY {keys}"""
+
+
+def _gold_sums(flags):
+    sums = ", ".join(f'CAST(sum("{c}") AS BIGINT) AS {name}' for name, c in flags.items())
+    return f"WITH {SURVEY} SELECT ano, {sums} FROM vw GROUP BY ano"
+
+
+def _gold_percents(flags):
+    parts = ", ".join(f'ROUND(100.0 * sum("{c}") / count(*), 1) AS {name}' for name, c in flags.items())
+    return f"WITH {SURVEY} SELECT ano, {parts} FROM vw GROUP BY ano"
+
+
+def _gold_ranking(flags, label="opcao", by_year=False):
+    head, tail = ("ano, ", " GROUP BY ano") if by_year else ("", "")
+    return f"WITH {SURVEY} " + _union(
+        f"""SELECT {head}'{text}' AS {label}, CAST(sum(coalesce("{c}", 0)) AS BIGINT) AS total FROM vw{tail}"""
+        for text, c in flags.items()
+    )
+
+
+def _gender_rate(gender):
+    return f"""ROUND(100.0 * sum(CASE WHEN genero = '{gender}' AND top_tier = 1 THEN 1 ELSE 0 END)
+        / NULLIF(sum(CASE WHEN genero = '{gender}' THEN 1 ELSE 0 END), 0), 1)"""
+
+
+def _ticked_percent(column):
+    return f"""ROUND(100.0 * sum(CASE WHEN lower({column}) IN ('1', '1.0', 'true', 'sim') THEN 1 ELSE 0 END)
+        / count(*), 1)"""
+
+
+def _extract_totals(options, label, lacking):
+    """Sums over the three editions; the first edition lacks one column."""
+    return f"WITH {SURVEY} " + _union(
+        f"""SELECT '{text}' AS {label}, CAST(sum(coalesce("{c}", 0)) AS BIGINT) AS contagem FROM vw
+        WHERE ano BETWEEN {2024 if c == lacking else 2023} AND 2025"""
+        for text, c in options.items()
+    )
+
+
+def _extract_long(options, name):
+    lacking = list(options)[-1]
+    return f"WITH {SURVEY} " + _union(
+        f"""SELECT id, ano, '{label}' AS {name} FROM vw
+        WHERE "{c}" = 1 AND ano BETWEEN {2024 if c == lacking else 2023} AND 2025"""
+        for c, label in options.items()
+    )
+
+
+SHORT_MODELS = " ".join(f"WHEN '{text}' THEN '{short}'" for text, short in Q.MODEL_LABELS.items())
+
+GOLD = {
+    "editions": _gold_count("ano"),
+    "roles_share": _gold_share("atuacao"),
+    "roles_comparable_share": _gold_share("atuacao_ok"),
+    "seniority": _gold_count("ano", "nivel"),
+    "top_sectors": f"WITH {SURVEY} SELECT setor, count(*) AS total FROM vw GROUP BY setor ORDER BY total DESC, setor LIMIT 10",
+    "tier_by_role": _gold_tier("atuacao"),
+    "tier_by_seniority": _gold_tier("nivel"),
+    "tier_by_education": f"""WITH {SURVEY} SELECT nivel_de_ensino, count(*) AS total,
+        ROUND(100.0 * sum(top_tier) / count(*), 1) AS pct_top_tier,
+        ROUND(100.0 * count(*) / sum(count(*)) OVER (), 1) AS pct_mercado
+        FROM vw WHERE nivel_de_ensino <> 'Nao_informado' GROUP BY nivel_de_ensino""",
+    "gender_shares": f"""WITH {SURVEY} SELECT ano,
+        ROUND(100.0 * sum(CASE WHEN genero = 'Feminino' THEN 1 ELSE 0 END) / count(*), 1) AS mulheres,
+        ROUND(100.0 * sum(CASE WHEN genero = 'Masculino' THEN 1 ELSE 0 END) / count(*), 1) AS homens
+        FROM vw GROUP BY ano""",
+    "gender_share_long": _gold_share("genero"),
+    "gender_tier_gap": f"""WITH {SURVEY} SELECT ano, {_gender_rate("Feminino")} AS mulheres_top,
+        {_gender_rate("Masculino")} AS homens_top FROM vw GROUP BY ano""",
+    "gender_tier_rate": f"""WITH {SURVEY} SELECT genero, ROUND(100.0 * sum(top_tier) / count(*), 1) AS pct_top
+        FROM vw WHERE genero IN ('Masculino', 'Feminino') GROUP BY genero""",
+    "prejudice_by_gender": f"""WITH {SURVEY} SELECT genero, CAST(sum({Q.PREJUDICE_GENDER}) AS BIGINT) AS preconceito_genero
+        FROM vw GROUP BY genero""",
+    "prejudice_by_race": f"""WITH {SURVEY} SELECT cor_raca_etnia, count(*) AS total,
+        CAST(sum({Q.PREJUDICE_RACE}) AS BIGINT) AS preconceito_raca FROM vw GROUP BY cor_raca_etnia""",
+    "languages": _gold_sums(Q.LANGUAGES),
+    "languages_pct": _gold_percents(Q.LANGUAGES_MORE),
+    "databases": _gold_sums(Q.DATABASES),
+    "databases_ranking": _gold_ranking(Q.DATABASES_RANKED),
+    "clouds": _gold_sums(Q.CLOUDS),
+    "clouds_pct": _gold_percents(Q.CLOUDS_MAIN),
+    "preferred_cloud": _gold_count("ano", "cloud_preferida"),
+    "bi_tools": _gold_sums(Q.BI_TOOLS),
+    "bi_tools_ranking": _gold_ranking(Q.BI_TOOLS_RANKED),
+    "daily_bi_tool": _gold_count("ano", Q.BI_DAILY),
+    "ai_use_groups": f"""WITH {SURVEY}, base AS (SELECT ano,
+        CASE WHEN {Q.AI_AT_WORK} LIKE 'Utilizo%' THEN 'Usa IA no trabalho'
+        WHEN {Q.AI_AT_WORK} LIKE 'Não%' THEN 'Não usa IA' ELSE 'Sem informação' END AS uso_ia_grupo FROM vw)
+        SELECT ano, uso_ia_grupo, count(*) AS total,
+        ROUND(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY ano), 1) AS pct FROM base GROUP BY ano, uso_ia_grupo""",
+    "ai_payer_pct": _gold_percents(Q.AI_PAYER),
+    "ai_in_company_pct": _gold_percents(Q.AI_IN_COMPANY),
+    "ai_priority_pct": _gold_percents(Q.AI_PRIORITIES),
+    "ai_barriers": _gold_sums(Q.AI_BARRIERS),
+    "ai_barriers_ranking": _gold_ranking(Q.AI_BARRIERS_RANKED),
+    "edition_growth": f"""WITH {SURVEY}, t AS (SELECT count(*) FILTER (ano = 2023) AS total_2023,
+        count(*) FILTER (ano = 2025) AS total_2025 FROM vw) SELECT total_2023, total_2025,
+        ROUND(100.0 * (total_2025 - total_2023) / NULLIF(total_2023, 0), 1) AS variacao_pct FROM t""",
+    "tier_by_model": _gold_tier("ano", Q.MODEL_NOW),
+    "tier_by_model_overall": _gold_tier(Q.MODEL_NOW),
+    "tier_by_region": _gold_tier("ano", "regiao_onde_mora"),
+    "tier_by_region_overall": _gold_tier("regiao_onde_mora"),
+    "current_model": _gold_count("ano", Q.MODEL_NOW),
+    "current_model_overall": _gold_count(Q.MODEL_NOW),
+    "ideal_model": _gold_count("ano", Q.MODEL_IDEAL),
+    "ideal_model_overall": _gold_count(Q.MODEL_IDEAL),
+    "challenges": _gold_ranking(Q.CHALLENGES, "desafio", by_year=True),
+    "challenges_ranking": _gold_ranking(Q.CHALLENGES, "desafio"),
+    "values": _gold_ranking(Q.VALUES, "valor", by_year=True),
+    "values_ranking": _gold_ranking(Q.VALUES, "valor"),
+    "data_maturity": f"""WITH {SURVEY} SELECT ano, {_ticked_percent(Q.DATA_LAKE)} AS pct_lake,
+        {_ticked_percent(Q.DATA_WAREHOUSE)} AS pct_dw FROM vw GROUP BY ano""",
+}
+ORACLE.update({f"gold_{name}": sql for name, sql in GOLD.items()})
+
+ORACLE.update({
+    "gold_view_rows": f"WITH {SURVEY} SELECT id, ano, atuacao, faixa_salarial, atuacao_ok, top_tier FROM vw",
+    "extract_current_vs_ideal": f"""WITH {SURVEY}, long AS (
+        SELECT {Q.MODEL_NOW} AS m, 'Atual' AS situacao FROM vw WHERE ano BETWEEN 2023 AND 2025
+        UNION ALL SELECT {Q.MODEL_IDEAL}, 'Ideal' FROM vw WHERE ano BETWEEN 2023 AND 2025)
+        SELECT CASE m {SHORT_MODELS} ELSE m END AS modelo, situacao, count(*) AS total
+        FROM long WHERE m IS NOT NULL GROUP BY 1, 2""",
+    "extract_challenge_totals": _extract_totals(Q.CHALLENGES, "desafio", list(Q.CHALLENGES.values())[-1]),
+    "extract_value_totals": _extract_totals(Q.VALUES, "valor", list(Q.VALUES.values())[-1]),
+    "extract_maturity": f"""WITH {SURVEY} SELECT ano,
+        ROUND(100.0 * sum(coalesce(TRY_CAST({Q.DATA_LAKE} AS DOUBLE), 0)) / count(*), 1) AS pct_lake,
+        ROUND(100.0 * sum(coalesce(TRY_CAST({Q.DATA_WAREHOUSE} AS DOUBLE), 0)) / count(*), 1) AS pct_dw
+        FROM vw WHERE ano BETWEEN 2023 AND 2025 GROUP BY ano""",
+    "extract_ai_barriers": _extract_long(Q.BARRIER_OPTIONS, "barreira"),
+    "extract_ai_barriers_more": _extract_long(Q.BARRIER_OPTIONS_MORE, "barreira"),
+    "extract_ai_uses": _extract_long(Q.AI_USE_OPTIONS, "forma_uso"),
+    "extract_ai_answers": f"""WITH {SURVEY} SELECT id, ano,
+        CASE WHEN {Q.AI_AT_WORK} LIKE '%Utilizo%' THEN 'Usa IA no trabalho' ELSE 'Não usa / não informou' END AS uso_ia_grupo,
+        CASE WHEN {Q.AI_PRIORITY} = 1 THEN 'IA É prioridade na empresa'
+             WHEN {Q.AI_NO_PRIORITY} = 1 THEN 'IA NÃO é prioridade' ELSE 'Outro cenário' END AS prioridade_grupo,
+        CASE WHEN ano = 2023 THEN NULL WHEN {Q.AI_RESULTS} LIKE 'Sim%' THEN 'Sim, bons resultados'
+             WHEN {Q.AI_RESULTS} LIKE 'Em partes%' THEN 'Em partes / piloto'
+             WHEN {Q.AI_RESULTS} LIKE '%ainda não%' THEN 'Ainda não começou'
+             WHEN {Q.AI_RESULTS} LIKE 'Não%' THEN 'Não, sem resultados' ELSE 'Sem resposta' END AS resultado_grupo,
+        {Q.AI_AT_WORK}, CAST({Q.AI_PRIORITY} AS DOUBLE) AS {Q.AI_PRIORITY},
+        CAST({Q.AI_NO_PRIORITY} AS DOUBLE) AS {Q.AI_NO_PRIORITY},
+        CAST({Q.AI_PAYER["gratis"]} AS DOUBLE) AS {Q.AI_PAYER["gratis"]},
+        CASE WHEN ano > 2023 THEN {Q.AI_RESULTS} END AS {Q.AI_RESULTS} FROM vw WHERE ano BETWEEN 2023 AND 2025""",
+    "extract_short_model": f"""WITH {SURVEY} SELECT id, ano, {Q.MODEL_NOW}, atuacao,
+        CASE {Q.MODEL_NOW} {SHORT_MODELS} ELSE 'Não informado' END AS forma_trabalho_curta FROM vw""",
+})

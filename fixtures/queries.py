@@ -12,7 +12,9 @@ from surveyloom.functions.columns import (
 )
 from surveyloom.functions.rules import classify, first_true, map_by_table, map_values, recode, tier_flag
 from surveyloom.operators import clean, harmonise, indicators, profile, reshape, unify
-from surveyloom.plans import silver
+from surveyloom.plans import extracts, silver
+from surveyloom.plans import questionnaire as Q
+from surveyloom.plans.gold import INDICATORS, gold_view
 from surveyloom.session import scratch_path
 from surveyloom.sources import files
 
@@ -560,3 +562,74 @@ def silver_from_csv(spark, sf):
         raw[year] = files.read_csv(spark, path, df.schema)
     built = silver.build_silver(raw, views.MAPPING)
     return silver.write_silver(built, scratch_path(spark, "silver"))
+
+
+# The seven questions: every indicator over the questionnaire-shaped view
+
+def _indicator(name: str) -> Query:
+    indicator = INDICATORS[name]
+
+    def run(spark, sf):
+        return indicator.run(views.survey(spark, sf, *dict.fromkeys([Q.YEAR, *indicator.reads])))
+
+    return run
+
+
+for _name in INDICATORS:
+    REGISTRY[f"gold_{_name}"] = _indicator(_name)
+
+
+@query
+def gold_view_rows(spark, sf):
+    return gold_view(views.survey(spark, sf, Q.KEY, Q.YEAR, Q.ROLE, Q.BAND))
+
+
+# Extracts
+
+@query
+def extract_current_vs_ideal(spark, sf):
+    frames = views.survey_editions(spark, sf, Q.MODEL_NOW, Q.MODEL_IDEAL, Q.DATA_LAKE)
+    return indicators.counts(extracts.current_vs_ideal(frames), ["modelo", "situacao"])
+
+
+@query
+def extract_challenge_totals(spark, sf):
+    return extracts.challenge_totals(views.survey_editions(spark, sf, *Q.CHALLENGES.values()))
+
+
+@query
+def extract_value_totals(spark, sf):
+    return extracts.value_totals(views.survey_editions(spark, sf, *Q.VALUES.values()))
+
+
+@query
+def extract_maturity(spark, sf):
+    return extracts.maturity_by_edition(
+        views.survey_editions(spark, sf, Q.DATA_LAKE, Q.DATA_WAREHOUSE, Q.MODEL_NOW)
+    )
+
+
+@query
+def extract_ai_barriers(spark, sf):
+    return extracts.ai_barriers_long(views.survey_editions(spark, sf, *Q.BARRIER_OPTIONS))
+
+
+@query
+def extract_ai_barriers_more(spark, sf):
+    return extracts.ai_barriers_long(views.survey_editions(spark, sf, *Q.BARRIER_OPTIONS_MORE), more=True)
+
+
+@query
+def extract_ai_uses(spark, sf):
+    return extracts.ai_uses_long(views.survey_editions(spark, sf, *Q.AI_USE_OPTIONS))
+
+
+@query
+def extract_ai_answers(spark, sf):
+    columns = [Q.AI_AT_WORK, Q.AI_PRIORITY, Q.AI_NO_PRIORITY, Q.AI_PAYER["gratis"], Q.AI_RESULTS]
+    return extracts.ai_answers(views.survey_editions(spark, sf, *columns))
+
+
+@query
+def extract_short_model(spark, sf):
+    return extracts.with_short_model(views.survey(spark, sf, Q.KEY, Q.YEAR, Q.MODEL_NOW, Q.ROLE))

@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.functions.names import Step, mapping_step
+from surveyloom.functions.names import Step, mapping_step, steps_for
 from surveyloom.operators.harmonise import clean_columns, harmonise
+from surveyloom.plans import questionnaire as Q
+from surveyloom.plans.gold import GOLD_COLUMNS
 
 FLAGS = ["f_returned", "f_accepted", "f_open", "f_discount", "f_bulk"]
 
@@ -183,9 +185,123 @@ def editions(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
 
 def harmonised_editions(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
     """The three editions under the vocabulary of the first."""
-    from surveyloom.functions.names import steps_for
-
     return {
         year: harmonise(clean_columns(df), steps_for(MAPPING, str(year)))
         for year, df in editions(spark, sf_dir).items()
     }
+
+
+# A silver table under the questionnaire's own names, so that every indicator can run.
+
+# Single-choice answers: (source column, {source value: answer}); other values have no answer.
+ANSWERS: dict[str, tuple[str, str, dict[str, str]]] = {
+    Q.ROLE: ("orders", "o_orderpriority", {
+        "1-URGENT": "Engenharia de Dados", "2-HIGH": "Análise de Dados", "3-MEDIUM": "Ciência de Dados",
+        "4-NOT SPECIFIED": "Nao_informado", "5-LOW": "0",
+    }),
+    Q.LEVEL: ("orders", "o_orderstatus", {"F": "Júnior", "O": "Pleno", "P": "Sênior"}),
+    Q.EDUCATION: ("customer", "c_mktsegment", {
+        "AUTOMOBILE": "Graduação", "BUILDING": "Mestrado", "FURNITURE": "Doutorado", "HOUSEHOLD": "Nao_informado",
+        "MACHINERY": "Pós-graduação",
+    }),
+    Q.MODEL_NOW: ("customer", "c_mktsegment", {
+        "AUTOMOBILE": "Modelo 100% remoto", "BUILDING": "Modelo 100% presencial",
+        "FURNITURE": "Modelo híbrido com dias fixos de trabalho presencial",
+        "HOUSEHOLD": "Modelo híbrido flexível (o funcionário tem liberdade para escolher quando estar no "
+        "escritório presencialmente)",
+    }),
+    Q.MODEL_IDEAL: ("orders", "o_orderpriority", {
+        "1-URGENT": "Modelo 100% remoto", "2-HIGH": "Modelo 100% presencial", "3-MEDIUM": "Outro modelo",
+        "5-LOW": "Modelo híbrido com dias fixos de trabalho presencial",
+    }),
+    Q.CLOUD_PREFERRED: ("customer", "c_mktsegment", {
+        "AUTOMOBILE": "AWS", "BUILDING": "Azure", "FURNITURE": "GCP", "HOUSEHOLD": "Nao_informado", "MACHINERY": "AWS",
+    }),
+    Q.BI_DAILY: ("orders", "o_orderpriority", {
+        "1-URGENT": "Tableau", "2-HIGH": "Looker", "3-MEDIUM": "Power BI", "4-NOT SPECIFIED": "Nao_informado",
+        "5-LOW": "Power BI",
+    }),
+    Q.AI_AT_WORK: ("orders", "o_orderpriority", {
+        "1-URGENT": "Utilizo todos os dias", "2-HIGH": "Utilizo às vezes", "3-MEDIUM": "Não utilizo",
+        "4-NOT SPECIFIED": "Nao_informado", "5-LOW": "Prefiro não dizer; Utilizo pouco",
+    }),
+    Q.AI_RESULTS: ("orders", "o_orderpriority", {
+        "1-URGENT": "Sim, ótimos", "2-HIGH": "Em partes", "3-MEDIUM": "A empresa ainda não começou",
+        "5-LOW": "Não conseguimos",
+    }),
+    Q.DATA_LAKE: ("orders", "o_orderpriority", {
+        "1-URGENT": "1", "2-HIGH": "1.0", "3-MEDIUM": "0", "4-NOT SPECIFIED": "TRUE", "5-LOW": "não",
+    }),
+    Q.DATA_WAREHOUSE: ("orders", "o_orderstatus", {"F": "Sim", "O": "0", "P": "1"}),
+}
+PRICE_BANDS = [
+    (100000, "de R$ 4.001/mês a R$ 6.000/mês"), (200000, "de R$ 8.001/mês a R$ 12.000/mês"),
+    (300000, "de R$ 12.001/mês a R$ 16.000/mês"), (400000, "de R$ 20.001/mês a R$ 25.000/mês"),
+]
+TOP_BAND = "Acima de R$ 40.001/mês"
+YEAR_SHIFT = 24
+
+SINGLE_CHOICE = [*ANSWERS, Q.BAND, Q.SECTOR, Q.REGION, Q.RACE, Q.GENDER]
+TICK_COLUMNS = list(dict.fromkeys([
+    *[c for c in GOLD_COLUMNS if c not in SINGLE_CHOICE and c not in (Q.KEY, Q.YEAR)],
+    *Q.BARRIER_OPTIONS_MORE, *Q.AI_USE_OPTIONS,
+]))
+
+
+def tick_threshold(column: str) -> int:
+    """An order ticks an option when its largest line quantity reaches the option's threshold."""
+    return 5 + (45 * TICK_COLUMNS.index(column)) // len(TICK_COLUMNS)
+
+
+def _survey_columns() -> dict[str, tuple[str, Column]]:
+    out: dict[str, tuple[str, Column]] = {
+        Q.KEY: ("orders", F.col("o_orderkey")),
+        Q.YEAR: ("orders", F.year("o_orderdate") + YEAR_SHIFT),
+        Q.SECTOR: ("nation", F.col("n_name")),
+        Q.REGION: ("region", F.col("r_name")),
+        Q.RACE: ("region", F.col("r_name")),
+        Q.GENDER: ("customer", F.when(F.col("c_acctbal") < 0, "Outro")
+                   .when(F.col("c_acctbal") < 4000, Q.WOMAN).otherwise(Q.MAN)),
+        "_date": ("orders", F.col("o_orderdate")),
+    }
+    band = F.lit(TOP_BAND)
+    for limit, text in reversed(PRICE_BANDS):
+        band = F.when(F.col("o_totalprice") <= limit, text).otherwise(band)
+    out[Q.BAND] = ("orders", band)
+    for name, (level, source, answers) in ANSWERS.items():
+        answer = F.lit(None).cast("string")
+        for value, text in answers.items():
+            answer = F.when(F.col(source) == value, text).otherwise(answer)
+        out[name] = (level, answer)
+    return out
+
+
+def survey(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Orders as answered questionnaires, with the columns asked for."""
+    every = _survey_columns()
+    ticks = [c for c in columns if c in TICK_COLUMNS]
+    base = dict.fromkeys([*([Q.KEY] if ticks else []), *[c for c in columns if c not in TICK_COLUMNS]])
+    rows = respondents(spark, sf_dir, {c: every[c] for c in base})
+    if ticks:
+        largest = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_quantity").alias("_largest"))
+        rows = rows.join(largest, F.col(Q.KEY) == F.col("l_orderkey"), "left")
+    tick = {c: (F.col("_largest") >= tick_threshold(c)).cast("int").alias(c) for c in ticks}
+    return rows.select(*[tick.get(c, F.col(c)) for c in columns])
+
+
+def survey_editions(spark: SparkSession, sf_dir: str, *columns: str) -> dict[int, DataFrame]:
+    """The questionnaires of the last three years as harmonised editions, before cleaning.
+
+    The second edition has booleans, the third doubles; the first lacks the last column asked for.
+    """
+    out = {}
+    for year in (2023, 2024, 2025):
+        present = columns[:-1] if year == 2023 else columns
+        first, last = (F.lit(f"{y - YEAR_SHIFT}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
+        rows = survey(spark, sf_dir, Q.KEY, "_date", *present)
+        rows = rows.where((F.col("_date") >= first) & (F.col("_date") < last))
+        kind = {2024: "boolean", 2025: "double"}.get(year, "int")
+        out[year] = rows.select(
+            Q.KEY, *[F.col(c).cast(kind).alias(c) if c in TICK_COLUMNS else F.col(c) for c in present]
+        )
+    return out
