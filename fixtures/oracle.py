@@ -266,6 +266,9 @@ ORACLE: dict[str, str] = {
 }
 
 
+ORACLE["dedup_rare_repeats"] = ORACLE["dedup_by_key"]
+ORACLE["duplicate_groups_wide"] = ORACLE["duplicate_groups"]
+
 # The questionnaire-shaped view and its indicators
 
 def _answer(name):

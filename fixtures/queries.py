@@ -293,6 +293,11 @@ def dedup_by_key(spark, sf):
     return clean.dedup_by_key(table(spark, sf, "documents"), "text", ["doc_id"])
 
 
+@query
+def dedup_rare_repeats(spark, sf):
+    return clean.dedup_rare_repeats(table(spark, sf, "documents"), "text", ["doc_id"])
+
+
 @query
 def bool_to_flag(spark, sf):
     rows = flags(spark, sf, "id", "f_returned", "f_accepted").select(
@@ -392,10 +397,7 @@ def curated_select(spark, sf):
 
 
 def _built(spark, sf):
-    return {
-        year: silver.build_edition(df, year, silver.steps_for(views.MAPPING, str(year)))
-        for year, df in views.editions(spark, sf).items()
-    }
+    return silver.build_editions(views.editions(spark, sf), views.MAPPING)
 
 
 @query
@@ -512,6 +514,11 @@ def duplicate_groups(spark, sf):
     return profile.duplicate_groups(table(spark, sf, "documents"), ["text", "lang"])
 
 
+@query
+def duplicate_groups_wide(spark, sf):
+    return profile.duplicate_groups_of_wide_rows(table(spark, sf, "documents"), ["text", "lang"])
+
+
 @query
 def duplicate_count(spark, sf):
     return profile.duplicate_count(table(spark, sf, "documents"), ["text", "lang"])
@@ -560,7 +567,7 @@ def silver_from_csv(spark, sf):
         path = scratch_path(spark, f"bronze-{year}")
         files.write_csv(df, path)
         raw[year] = files.read_csv(spark, path, df.schema)
-    built = silver.build_silver(raw, views.MAPPING)
+    built = silver.build_silver(raw, mapping=views.MAPPING, stage=True)
     return silver.write_silver(built, scratch_path(spark, "silver"))
 
 

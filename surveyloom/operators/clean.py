@@ -2,15 +2,59 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import FLAG_ONLY_TEXT, MISSING_TEXT, as_flag, named
+from ..session import scratch_path
 from .reshape import wide_row_to_long
 
+# Hashes of repeated keys that may be broadcast: 8 bytes each, so at most tens of megabytes.
+BROADCAST_KEYS = 2_000_000
+
+
+def split_repeats(
+    df: DataFrame, columns: Sequence[str], limit: int = BROADCAST_KEYS
+) -> tuple[DataFrame, DataFrame] | None:
+    """Rows whose columns occur once, and rows whose columns may occur again.
+
+    Only an 8-byte hash per row is shuffled to find the repeats. Their hashes are written to the
+    shared scratch folder and counted; up to ``limit`` of them are broadcast, and the wide rows
+    are then split where they lie. Beyond the limit the answer is None, and the caller shuffles
+    the rows instead. Equal hashes of different values only add rows to the second frame.
+    """
+    hashed = F.xxhash64(*[named(c) for c in columns])
+    repeated = df.groupBy(hashed.alias("_hash")).agg(F.count("*").alias("_n")).where("_n > 1").select("_hash")
+    path = scratch_path(df.sparkSession, "repeats")
+    repeated.write.parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    if stored.count() > limit:
+        return None
+    marked = df.withColumn("_hash", hashed)
+    once = marked.join(F.broadcast(stored), "_hash", "left_anti").select(*df.columns)
+    again = marked.join(F.broadcast(stored), "_hash", "left_semi").select(*df.columns)
+    return once, again
+
+
+def dedup_rare_repeats(
+    df: DataFrame, key: str | Sequence[str], order: Sequence[Column | str], limit: int = BROADCAST_KEYS
+) -> DataFrame:
+    """``dedup_by_key`` for wide rows from files, of whose keys few repeat.
+
+    Rows with a key of their own are not shuffled at all. The frame is read more than once, so
+    it should come from files, not from costly steps.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    parts = split_repeats(df, keys, limit)
+    if parts is None:
+        return dedup_by_key(df, keys, order)
+    once, again = parts
+    return once.unionByName(dedup_by_key(again, keys, order))
+
 
 def dedup_by_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """First row per key in the given order; all null keys count as one key.
@@ -74,6 +118,14 @@ def binary_columns(df: DataFrame) -> list[str]:
     return [name for name, is_binary in zip(df.columns, verdict) if is_binary]
 
 
+def binary_columns_of(frames: Mapping[int, DataFrame]) -> dict[int, list[str]]:
+    """``binary_columns`` of several editions in one job; one row per edition and column comes back."""
+    profiles = [binary_profile(df).withColumn("edition", F.lit(year)) for year, df in frames.items()]
+    rows = reduce(lambda a, b: a.unionByName(b), profiles).where("is_binary").collect()
+    found = {(row["edition"], row["column"]) for row in rows}
+    return {year: [c for c in df.columns if (year, c) in found] for year, df in frames.items()}
+
+
 def fill_answers(
     df: DataFrame, flags: Sequence[str], keep: Sequence[str] = (), missing: str = MISSING_TEXT
 ) -> DataFrame:

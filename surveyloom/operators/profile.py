@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import named
+from .clean import split_repeats
 from .quantiles import FEW_VALUES, exact_quantiles
 from .reshape import wide_row_to_long
 
@@ -108,6 +109,13 @@ def duplicate_groups(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return grouped.where("repeats > 0")
 
 
+def duplicate_groups_of_wide_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``duplicate_groups`` for long values from files: only rows that may repeat are grouped."""
+    names = df.columns if columns is None else list(columns)
+    parts = split_repeats(df.select(*[named(c) for c in names]), names)
+    return duplicate_groups(df if parts is None else parts[1], names)
+
+
 def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows that repeat an earlier row."""
     return duplicate_groups(df, columns).agg(
@@ -143,21 +151,22 @@ def number_repeats(
 
     Rows are numbered inside slices of ``width`` order values, and the counts of the earlier
     slices are added, so a name that holds a third of all rows spreads over many tasks and a
-    task never sorts more than ``width`` rows of one name.
+    task never sorts more than ``width`` rows of one name. A null name is a name of its own.
     """
-    sliced = df.withColumn("_slice", F.floor(named(order) / F.lit(width)).cast("bigint"))
-    in_slice = Window.partitionBy(named(name), "_slice").orderBy(named(order))
-    local = sliced.withColumn("_place", F.row_number().over(in_slice))
-    earlier = Window.partitionBy(named(name)).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # Null-free keys let the window and the join share one shuffle of the rows.
+    keys = {
+        "_name": F.coalesce(named(name), F.lit("")),
+        "_nameless": named(name).isNull(),
+        "_slice": F.floor(named(order) / F.lit(width)).cast("bigint"),
+    }
+    sliced = df.withColumns(keys)
+    in_slice = Window.partitionBy(*keys).orderBy(named(order))
+    earlier = Window.partitionBy("_name", "_nameless").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        sliced.groupBy(named(name), "_slice")
+        sliced.groupBy(*keys)
         .agg(F.count("*").alias("_n"))
-        .select(
-            named(name).alias("_name"),
-            F.col("_slice").alias("_of"),
-            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        )
+        .select(*keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
-    joined = local.join(offsets, named(name).eqNullSafe(F.col("_name")) & (F.col("_slice") == F.col("_of")), "left")
+    placed = sliced.withColumn("_place", F.row_number().over(in_slice)).join(offsets, list(keys))
     number = (F.col("_before") + F.col("_place") - 1).cast("bigint")
-    return joined.select(*[named(c) for c in df.columns], number.alias(output))
+    return placed.select(*[named(c) for c in df.columns], number.alias(output))

@@ -47,8 +47,8 @@ def maturity_by_edition(editions: Editions) -> DataFrame:
     rows = [
         tag_year(
             df.agg(
-                percent(F.sum(coerce_number(df, Q.DATA_LAKE)).cast("bigint"), F.count("*")).alias("pct_lake"),
-                percent(F.sum(coerce_number(df, Q.DATA_WAREHOUSE)).cast("bigint"), F.count("*")).alias("pct_dw"),
+                percent(F.sum(coerce_number(df, Q.DATA_LAKE)), F.count("*")).alias("pct_lake"),
+                percent(F.sum(coerce_number(df, Q.DATA_WAREHOUSE)), F.count("*")).alias("pct_dw"),
             ),
             year,
             Q.YEAR,

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import named
 from ..functions.names import Step, steps_for
-from ..operators.clean import binary_columns, bool_to_flag, dedup_by_key, fill_answers
+from ..operators.clean import binary_columns_of, bool_to_flag, dedup_by_key, dedup_rare_repeats, fill_answers
 from ..operators.harmonise import clean_columns, harmonise, select_curated
 from ..operators.profile import shapes_by
 from ..operators.unify import tag_year, unify
+from ..session import scratch_path
 from ..sources.files import read_csv, read_parquet, write_parquet
 
 MappingRow = tuple[str, int, str, str]
@@ -29,48 +30,71 @@ def read_mapping(spark: SparkSession, path: str) -> list[MappingRow]:
     return [(str(r.edition), int(r.step), r.source, r.target) for r in rows]
 
 
-def build_edition(
-    raw: DataFrame,
+def prepare_edition(
+    raw: DataFrame, steps: Sequence[Step] = (), curated: Sequence[str] = (), keep: str = "last"
+) -> DataFrame:
+    """One raw edition under common names, curated, booleans as 0/1. One projection, no shuffle."""
+    df = harmonise(clean_columns(raw), steps, keep)
+    return bool_to_flag(select_curated(df, curated) if curated else df)
+
+
+def finish_edition(
+    df: DataFrame,
     year: int,
-    steps: Sequence[Step] = (),
-    curated: Sequence[str] = (),
+    flags: Sequence[str],
     key: str = "id",
     order: Sequence[Column | str] = (),
-    flags: Sequence[str] = (),
-    detect: bool = True,
-    keep: str = "last",
+    rare_repeats: bool = False,
 ) -> DataFrame:
-    """One raw edition, harmonised, curated, deduplicated, filled and tagged with its year.
+    """A prepared edition filled, one row per respondent, tagged with its year.
 
-    Columns are chosen before anything is shuffled. Flags are the declared ones and, with
-    ``detect``, those whose every answer in the file is 0 or 1; detection is one aggregate and
-    brings one row to the driver. Of the rows of a respondent the first by ``order`` stays, or
-    the first by all other columns.
+    Of the rows of a respondent the first by ``order`` stays, or the first by all other columns.
+    ``rare_repeats`` is for editions read from files, whose wide rows then need no shuffle.
     """
-    df = harmonise(clean_columns(raw), steps, keep)
-    if curated:
-        df = select_curated(df, curated)
-    df = bool_to_flag(df)
-    found = binary_columns(df) if detect else []
-    ticks = [c for c in dict.fromkeys([*flags, *found]) if c in df.columns and c != key]
-    df = fill_answers(df, ticks, keep=[key])
+    ticks = [c for c in flags if c in df.columns and c != key]
+    filled = fill_answers(df, ticks, keep=[key])
     by = list(order) or [named(c) for c in df.columns if c != key]
-    return tag_year(dedup_by_key(df, key, by), year)
+    dedup = dedup_rare_repeats if rare_repeats else dedup_by_key
+    return tag_year(dedup(filled, key, by), year)
 
 
-def build_silver(
+def build_editions(
     raw: Mapping[int, DataFrame],
     mapping: Iterable[MappingRow] = (),
     curated: Sequence[str] = (),
-    as_string: bool = False,
-    **options,
-) -> DataFrame:
-    """All editions, unified on the columns they share."""
+    flags: Sequence[str] = (),
+    detect: bool = True,
+    stage: bool = False,
+    key: str = "id",
+    order: Sequence[Column | str] = (),
+) -> dict[int, DataFrame]:
+    """Every raw edition harmonised, curated, filled, deduplicated and tagged.
+
+    Flags are the declared ones and, with ``detect``, the columns of an edition whose every
+    answer in the file is 0 or 1, found by one job for all editions. With ``stage`` the prepared
+    editions are written to the shared scratch folder first: the raw files are then parsed once,
+    and detection and the search for repeated respondents read single columns of Parquet.
+    """
     rows = list(mapping)
-    editions = {
-        year: build_edition(df, year, steps_for(rows, str(year)), curated, **options) for year, df in raw.items()
+    prepared = {year: prepare_edition(df, steps_for(rows, str(year)), curated) for year, df in raw.items()}
+    if stage:
+        prepared = {year: _staged(df, year) for year, df in prepared.items()}
+    found = binary_columns_of(prepared) if detect else {}
+    return {
+        year: finish_edition(df, year, list(dict.fromkeys([*flags, *found.get(year, [])])), key, order, stage)
+        for year, df in prepared.items()
     }
-    return unify(editions, "common", as_string)
+
+
+def _staged(df: DataFrame, year: int) -> DataFrame:
+    path = scratch_path(df.sparkSession, f"edition-{year}")
+    write_parquet(df, path)
+    return read_parquet(df.sparkSession, path)
+
+
+def build_silver(raw: Mapping[int, DataFrame], *, as_string: bool = False, **options) -> DataFrame:
+    """All editions, unified on the columns they share; options as for ``build_editions``."""
+    return unify(build_editions(raw, **options), "common", as_string)
 
 
 def write_silver(silver: DataFrame, path: str, year: str = "ano") -> DataFrame:
