@@ -504,9 +504,8 @@ def minmax_sweep(spark, sf):
 
 @query
 def duplicate_rows(spark, sf):
-    return profile.duplicate_rows(table(spark, sf, "documents"), ["text", "lang"], "doc_id").select(
-        "doc_id", "lang", "n_chars"
-    )
+    repeats = profile.duplicate_rows(table(spark, sf, "documents"), ["text", "lang"], "doc_id", wide=True)
+    return repeats.select("doc_id", "lang", "n_chars")
 
 
 @query
@@ -516,7 +515,7 @@ def duplicate_groups(spark, sf):
 
 @query
 def duplicate_groups_wide(spark, sf):
-    return profile.duplicate_groups_of_wide_rows(table(spark, sf, "documents"), ["text", "lang"])
+    return profile.duplicate_groups(table(spark, sf, "documents"), ["text", "lang"], wide=True)
 
 
 @query

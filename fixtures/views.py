@@ -41,12 +41,16 @@ def respondents(spark: SparkSession, sf_dir: str, computed: dict[str, tuple[str,
     depth = ["orders", "customer", "nation", "region"]
     deepest = max(depth.index(level) for level, _ in computed.values())
     rows = table(spark, sf_dir, "orders")
-    if deepest >= 1:
-        rows = rows.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    if deepest == 0:
+        return rows.select(*[expression.alias(name) for name, (_, expression) in computed.items()])
+    # The dimensions are joined among themselves first, so the orders take part in one join only.
+    places = table(spark, sf_dir, "nation")
+    if deepest == 3:
+        places = places.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    customers = table(spark, sf_dir, "customer")
     if deepest >= 2:
-        rows = rows.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    if deepest >= 3:
-        rows = rows.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        customers = customers.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = rows.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     return rows.select(*[expression.alias(name) for name, (_, expression) in computed.items()])
 
 

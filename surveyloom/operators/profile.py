@@ -102,35 +102,38 @@ def describe(
     return _paired_row_to_long(df.agg(*measures), names, {f: f for f in fields})
 
 
-def duplicate_groups(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Values that occur more than once, with the number of repeats after the first."""
-    names = df.columns if columns is None else list(columns)
-    grouped = df.groupBy(*[named(c) for c in names]).agg((F.count("*") - 1).alias("repeats"))
-    return grouped.where("repeats > 0")
+def _may_repeat(df: DataFrame, names: Sequence[str], wide: bool) -> DataFrame:
+    """The frame, or for wide rows from files only those whose values may occur again."""
+    parts = split_repeats(df, names) if wide else None
+    return df if parts is None else parts[1]
+
 
+def duplicate_groups(df: DataFrame, columns: Sequence[str] | None = None, wide: bool = False) -> DataFrame:
+    """Values that occur more than once, with the number of repeats after the first.
 
-def duplicate_groups_of_wide_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``duplicate_groups`` for long values from files: only rows that may repeat are grouped."""
+    With ``wide``, for long values read from files, values that occur once are not shuffled.
+    """
     names = df.columns if columns is None else list(columns)
-    parts = split_repeats(df.select(*[named(c) for c in names]), names)
-    return duplicate_groups(df if parts is None else parts[1], names)
+    rows = _may_repeat(df.select(*[named(c) for c in names]), names, wide)
+    return rows.groupBy(*[named(c) for c in names]).agg((F.count("*") - 1).alias("repeats")).where("repeats > 0")
 
 
-def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None, wide: bool = False) -> DataFrame:
     """Rows that repeat an earlier row."""
-    return duplicate_groups(df, columns).agg(
+    return duplicate_groups(df, columns, wide).agg(
         F.coalesce(F.sum("repeats"), F.lit(0).cast("bigint")).alias("duplicate_rows")
     )
 
 
-def duplicate_rows(df: DataFrame, columns: Sequence[str], row_id: str) -> DataFrame:
+def duplicate_rows(df: DataFrame, columns: Sequence[str], row_id: str, wide: bool = False) -> DataFrame:
     """Rows that repeat an earlier row on the columns, rows being told apart by a unique id.
 
     The first row of each group comes from a map-side combined minimum; every other row is
     found by an anti-join on the unique id, so no group of copies is ever brought together.
     """
-    first = df.groupBy(*[named(c) for c in columns]).agg(F.min(named(row_id)).alias(row_id)).select(row_id)
-    return df.join(first, row_id, "left_anti")
+    rows = _may_repeat(df, columns, wide)
+    first = rows.groupBy(*[named(c) for c in columns]).agg(F.min(named(row_id)).alias(row_id)).select(row_id)
+    return rows.join(first, row_id, "left_anti")
 
 
 def key_quality(df: DataFrame, key: str) -> DataFrame:
@@ -145,19 +148,19 @@ def key_quality(df: DataFrame, key: str) -> DataFrame:
 
 
 def number_repeats(
-    df: DataFrame, name: str, order: str, output: str = "twin", width: int = 1 << 20
+    df: DataFrame, name: str, order: str, output: str = "twin", slice_bits: int = 20
 ) -> DataFrame:
     """Number the rows of each name 0, 1, 2, … by a unique whole-number ``order`` column.
 
-    Rows are numbered inside slices of ``width`` order values, and the counts of the earlier
-    slices are added, so a name that holds a third of all rows spreads over many tasks and a
-    task never sorts more than ``width`` rows of one name. A null name is a name of its own.
+    Rows are numbered inside slices of ``2 ** slice_bits`` order values, and the counts of the
+    earlier slices are added, so a name that holds a third of all rows spreads over many tasks
+    and no group of rows to sort exceeds a slice. A null name is a name of its own.
     """
     # Null-free keys let the window and the join share one shuffle of the rows.
     keys = {
         "_name": F.coalesce(named(name), F.lit("")),
         "_nameless": named(name).isNull(),
-        "_slice": F.floor(named(order) / F.lit(width)).cast("bigint"),
+        "_slice": F.coalesce(F.shiftright(named(order).cast("bigint"), slice_bits), F.lit(-(1 << 62))),
     }
     sliced = df.withColumns(keys)
     in_slice = Window.partitionBy(*keys).orderBy(named(order))

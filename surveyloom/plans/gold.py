@@ -38,10 +38,9 @@ class Indicator:
 
 
 def _count(question: str, *by: str) -> Indicator:
-    order = [F.asc(Q.YEAR), F.desc("total"), F.asc(by[-1])] if by[0] == Q.YEAR and len(by) > 1 else None
-
     def build(vw: DataFrame) -> DataFrame:
-        return ind.counts(vw, list(by), order=order or [F.desc("total"), F.asc(by[-1])])
+        order = [*[F.asc(k) for k in by[:-1]], F.desc("total"), F.asc(by[-1])]
+        return ind.counts(vw, list(by), order=order)
 
     return Indicator(question, by, build)
 
@@ -63,11 +62,11 @@ def _ranking(question: str, flags: dict[str, str], by: Sequence[str] = (), label
 
 
 def _prejudice(column: str, flag: str, name: str, with_total: bool) -> Indicator:
-    first = "total" if with_total else name
-    return Indicator(
-        "P3", (column, flag),
-        lambda vw: ind.flag_sums(vw, column, {name: flag}, with_total, [F.desc(first), F.asc(column)]),
-    )
+    def build(vw: DataFrame) -> DataFrame:
+        order = [F.desc("total" if with_total else name), F.asc(column)]
+        return ind.flag_sums(vw, column, {name: flag}, with_total, order)
+
+    return Indicator("P3", (column, flag), build)
 
 
 def _education(vw: DataFrame) -> DataFrame:
