@@ -397,7 +397,7 @@ def curated_select(spark, sf):
 
 
 def _built(spark, sf):
-    return silver.build_editions(views.editions(spark, sf), views.MAPPING)
+    return silver.build_editions(views.editions(spark, sf), views.MAPPING, stage=True)
 
 
 @query

@@ -7,10 +7,13 @@ No join is hinted: Spark broadcasts a side only while its size is under the sess
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.functions.names import Step, mapping_step, steps_for
+from surveyloom.functions.rules import map_values
 from surveyloom.operators.harmonise import clean_columns, harmonise
 from surveyloom.plans import questionnaire as Q
 from surveyloom.plans.gold import GOLD_COLUMNS
@@ -18,8 +21,25 @@ from surveyloom.plans.gold import GOLD_COLUMNS
 FLAGS = ["f_returned", "f_accepted", "f_open", "f_discount", "f_bulk"]
 
 
+# Known schemas spare the job that would otherwise read file footers for each table.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _band() -> Column:
@@ -33,16 +53,20 @@ def _band() -> Column:
     )
 
 
-def respondents(spark: SparkSession, sf_dir: str, computed: dict[str, tuple[str, Column]]) -> DataFrame:
+Computed = dict[str, tuple[str, Callable[[], Column]]]
+
+
+def respondents(spark: SparkSession, sf_dir: str, computed: Computed) -> DataFrame:
     """Orders as respondents, with columns computed from the tables each of them names.
 
     ``computed`` maps a column to ``(deepest dimension it needs, expression)``.
     """
+    columns = [expression().alias(name) for name, (_, expression) in computed.items()]
     depth = ["orders", "customer", "nation", "region"]
     deepest = max(depth.index(level) for level, _ in computed.values())
     rows = table(spark, sf_dir, "orders")
     if deepest == 0:
-        return rows.select(*[expression.alias(name) for name, (_, expression) in computed.items()])
+        return rows.select(*columns)
     # The dimensions are joined among themselves first, so the orders take part in one join only.
     places = table(spark, sf_dir, "nation")
     if deepest == 3:
@@ -51,29 +75,31 @@ def respondents(spark: SparkSession, sf_dir: str, computed: dict[str, tuple[str,
     if deepest >= 2:
         customers = customers.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     rows = rows.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    return rows.select(*[expression.alias(name) for name, (_, expression) in computed.items()])
+    return rows.select(*columns)
 
 
 
 
-def _resp_columns() -> dict[str, tuple[str, Column]]:
-    return {
-        "id": ("orders", F.col("o_orderkey")),
-        "ano": ("orders", F.year("o_orderdate")),
-        "cargo": ("orders", F.col("o_orderpriority")),
-        "nivel": ("orders", F.col("o_orderstatus")),
-        "valor": ("orders", F.col("o_totalprice")),
-        "faixa": ("orders", _band()),
-        "setor": ("customer", F.col("c_mktsegment")),
-        "pais": ("nation", F.col("n_name")),
-        "regiao": ("region", F.col("r_name")),
-    }
+def _source(name: str) -> Callable[[], Column]:
+    return lambda: F.col(name)
+
+
+RESP_COLUMNS: Computed = {
+    "id": ("orders", _source("o_orderkey")),
+    "ano": ("orders", lambda: F.year("o_orderdate")),
+    "cargo": ("orders", _source("o_orderpriority")),
+    "nivel": ("orders", _source("o_orderstatus")),
+    "valor": ("orders", _source("o_totalprice")),
+    "faixa": ("orders", _band),
+    "setor": ("customer", _source("c_mktsegment")),
+    "pais": ("nation", _source("n_name")),
+    "regiao": ("region", _source("r_name")),
+}
 
 
 def resp(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """One single-choice row per respondent, with the columns asked for."""
-    every = _resp_columns()
-    return respondents(spark, sf_dir, {name: every[name] for name in columns or every})
+    return respondents(spark, sf_dir, {name: RESP_COLUMNS[name] for name in columns or RESP_COLUMNS})
 
 
 def _line_flags(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame:
@@ -90,7 +116,7 @@ def _line_flags(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame
 
 def flags(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Respondents with multi-select answers, null where an order has no line."""
-    columns = columns or (*_resp_columns(), *FLAGS)
+    columns = columns or (*RESP_COLUMNS, *FLAGS)
     ticks = [c for c in columns if c in FLAGS]
     base = resp(spark, sf_dir, *dict.fromkeys(["id", *[c for c in columns if c not in FLAGS]]))
     joined = base.join(_line_flags(spark, sf_dir, ticks), F.col("id") == F.col("l_orderkey"), "left")
@@ -170,9 +196,8 @@ def raw_edition(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
     """One edition under its messy headers. The year is a date range, which reaches the scan."""
     headers = EDITION_HEADERS[year]
     columns = [column for _, column, _ in headers]
-    every = _resp_columns()
-    base_columns = {c: every[c] for c in columns if c not in FLAGS}
-    base_columns["_date"] = ("orders", F.col("o_orderdate"))
+    base_columns = {c: RESP_COLUMNS[c] for c in columns if c not in FLAGS}
+    base_columns["_date"] = ("orders", _source("o_orderdate"))
     start, end = F.lit(f"{year}-01-01").cast("timestamp_ntz"), F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")
     base = respondents(spark, sf_dir, base_columns).where((F.col("_date") >= start) & (F.col("_date") < end))
     ticks = _line_flags(spark, sf_dir, [c for c in FLAGS if c in columns])
@@ -257,40 +282,45 @@ def tick_threshold(column: str) -> int:
     return 5 + (45 * TICK_COLUMNS.index(column)) // len(TICK_COLUMNS)
 
 
-def _survey_columns() -> dict[str, tuple[str, Column]]:
-    out: dict[str, tuple[str, Column]] = {
-        Q.KEY: ("orders", F.col("o_orderkey")),
-        Q.YEAR: ("orders", F.year("o_orderdate") + YEAR_SHIFT),
-        Q.SECTOR: ("nation", F.col("n_name")),
-        Q.REGION: ("region", F.col("r_name")),
-        Q.RACE: ("region", F.col("r_name")),
-        Q.GENDER: ("customer", F.when(F.col("c_acctbal") < 0, "Outro")
-                   .when(F.col("c_acctbal") < 4000, Q.WOMAN).otherwise(Q.MAN)),
-        "_date": ("orders", F.col("o_orderdate")),
-    }
+def _survey_band() -> Column:
     band = F.lit(TOP_BAND)
     for limit, text in reversed(PRICE_BANDS):
         band = F.when(F.col("o_totalprice") <= limit, text).otherwise(band)
-    out[Q.BAND] = ("orders", band)
-    for name, (level, source, answers) in ANSWERS.items():
-        answer = F.lit(None).cast("string")
-        for value, text in answers.items():
-            answer = F.when(F.col(source) == value, text).otherwise(answer)
-        out[name] = (level, answer)
-    return out
+    return band
+
+
+def _survey_gender() -> Column:
+    balance = F.col("c_acctbal")
+    return F.when(balance < 0, "Outro").when(balance < 4000, Q.WOMAN).otherwise(Q.MAN)
+
+
+def _answer(source: str, answers: dict[str, str]) -> Callable[[], Column]:
+    return lambda: map_values(F.col(source), answers)
+
+
+SURVEY_COLUMNS: Computed = {
+    Q.KEY: ("orders", _source("o_orderkey")),
+    Q.YEAR: ("orders", lambda: F.year("o_orderdate") + YEAR_SHIFT),
+    "_date": ("orders", _source("o_orderdate")),
+    Q.BAND: ("orders", _survey_band),
+    Q.GENDER: ("customer", _survey_gender),
+    Q.SECTOR: ("nation", _source("n_name")),
+    Q.REGION: ("region", _source("r_name")),
+    Q.RACE: ("region", _source("r_name")),
+    **{name: (level, _answer(source, answers)) for name, (level, source, answers) in ANSWERS.items()},
+}
 
 
 def survey(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Orders as answered questionnaires, with the columns asked for."""
-    every = _survey_columns()
     ticks = [c for c in columns if c in TICK_COLUMNS]
     base = dict.fromkeys([*([Q.KEY] if ticks else []), *[c for c in columns if c not in TICK_COLUMNS]])
-    rows = respondents(spark, sf_dir, {c: every[c] for c in base})
+    rows = respondents(spark, sf_dir, {c: SURVEY_COLUMNS[c] for c in base})
     if ticks:
         largest = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_quantity").alias("_largest"))
         rows = rows.join(largest, F.col(Q.KEY) == F.col("l_orderkey"), "left")
     tick = {c: (F.col("_largest") >= tick_threshold(c)).cast("int").alias(c) for c in ticks}
-    return rows.select(*[tick.get(c, F.col(c)) for c in columns])
+    return rows.select(*[tick.get(c, c) for c in columns])
 
 
 def survey_editions(spark: SparkSession, sf_dir: str, *columns: str) -> dict[int, DataFrame]:

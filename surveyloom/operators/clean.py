@@ -17,42 +17,56 @@ from .reshape import wide_row_to_long
 BROADCAST_KEYS = 2_000_000
 
 
-def split_repeats(
-    df: DataFrame, columns: Sequence[str], limit: int = BROADCAST_KEYS
-) -> tuple[DataFrame, DataFrame] | None:
+def _key_hash(columns: Sequence[str]) -> Column:
+    return F.xxhash64(*[named(c) for c in columns])
+
+
+def repeated_hashes(
+    frames: Mapping[int, DataFrame], columns: Sequence[str], limit: int = BROADCAST_KEYS
+) -> DataFrame | None:
+    """Hashes of keys that occur more than once in a frame, as ``(edition, _hash)``.
+
+    Only a hash per row is shuffled, for all frames in one job. The hashes found are written to
+    the shared scratch folder and counted there; None stands for more than ``limit`` of them.
+    """
+    hashed = [df.select(F.lit(label).alias("edition"), _key_hash(columns).alias("_hash")) for label, df in frames.items()]
+    counted = reduce(DataFrame.union, hashed).groupBy("edition", "_hash").agg(F.count("*").alias("_n"))
+    spark = counted.sparkSession
+    path = scratch_path(spark, "repeats")
+    counted.where("_n > 1").select("edition", "_hash").write.parquet(path)
+    stored = spark.read.schema("edition INT, _hash BIGINT").parquet(path)
+    return stored if stored.count() <= limit else None
+
+
+def split_repeats(df: DataFrame, columns: Sequence[str], repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows whose columns occur once, and rows whose columns may occur again.
 
-    Only an 8-byte hash per row is shuffled to find the repeats. Their hashes are written to the
-    shared scratch folder and counted; up to ``limit`` of them are broadcast, and the wide rows
-    are then split where they lie. Beyond the limit the answer is None, and the caller shuffles
-    the rows instead. Equal hashes of different values only add rows to the second frame.
+    ``repeated`` comes from ``repeated_hashes``, so its size is known and it is broadcast: wide
+    rows are split where they lie. Equal hashes of different values only add to the second frame.
     """
-    hashed = F.xxhash64(*[named(c) for c in columns])
-    repeated = df.groupBy(hashed.alias("_hash")).agg(F.count("*").alias("_n")).where("_n > 1").select("_hash")
-    path = scratch_path(df.sparkSession, "repeats")
-    repeated.write.parquet(path)
-    stored = df.sparkSession.read.parquet(path)
-    if stored.count() > limit:
-        return None
-    marked = df.withColumn("_hash", hashed)
-    once = marked.join(F.broadcast(stored), "_hash", "left_anti").select(*df.columns)
-    again = marked.join(F.broadcast(stored), "_hash", "left_semi").select(*df.columns)
+    marked = df.withColumn("_hash", _key_hash(columns))
+    small = F.broadcast(repeated.select("_hash"))
+    once = marked.join(small, "_hash", "left_anti").select(*[named(c) for c in df.columns])
+    again = marked.join(small, "_hash", "left_semi").select(*[named(c) for c in df.columns])
     return once, again
 
 
 def dedup_rare_repeats(
-    df: DataFrame, key: str | Sequence[str], order: Sequence[Column | str], limit: int = BROADCAST_KEYS
+    df: DataFrame, key: str | Sequence[str], order: Sequence[Column | str], repeated: DataFrame | None = None,
+    limit: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """``dedup_by_key`` for wide rows from files, of whose keys few repeat.
 
     Rows with a key of their own are not shuffled at all. The frame is read more than once, so
-    it should come from files, not from costly steps.
+    it should come from files, not from costly steps. Above ``limit`` repeated keys every row
+    is shuffled after all.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    parts = split_repeats(df, keys, limit)
-    if parts is None:
+    if repeated is None:
+        repeated = repeated_hashes({0: df}, keys, limit)
+    if repeated is None:
         return dedup_by_key(df, keys, order)
-    once, again = parts
+    once, again = split_repeats(df, keys, repeated)
     return once.unionByName(dedup_by_key(again, keys, order))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import named
-from .clean import split_repeats
+from .clean import repeated_hashes, split_repeats
 from .quantiles import FEW_VALUES, exact_quantiles
 from .reshape import wide_row_to_long
 
@@ -104,8 +104,8 @@ def describe(
 
 def _may_repeat(df: DataFrame, names: Sequence[str], wide: bool) -> DataFrame:
     """The frame, or for wide rows from files only those whose values may occur again."""
-    parts = split_repeats(df, names) if wide else None
-    return df if parts is None else parts[1]
+    repeated = repeated_hashes({0: df}, names) if wide else None
+    return df if repeated is None else split_repeats(df, names, repeated)[1]
 
 
 def duplicate_groups(df: DataFrame, columns: Sequence[str] | None = None, wide: bool = False) -> DataFrame:

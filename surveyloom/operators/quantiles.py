@@ -1,10 +1,10 @@
 """Exact quantiles with linear interpolation, for columns of any number of values.
 
 A column with few different values uses the built-in exact percentile, whose memory grows with
-the different values only. For others each needed rank is first enclosed by an approximate
-quantile sketch, the enclosure is checked by exact counts, and narrowed until few different
-values are left inside it; the exact value is then taken from those. Only summary rows reach
-the driver.
+the different values only. For others the two neighbouring ranks of a quantile are first
+enclosed by an approximate quantile sketch, the enclosure is checked by exact counts, and
+narrowed until few different values are left inside it; the exact values are then taken from
+those. Only summary rows reach the driver.
 """
 
 from __future__ import annotations
@@ -24,10 +24,11 @@ SKETCH_ACCURACY = 20_000
 
 @dataclass
 class Enclosure:
-    """Values ``low..high`` known to hold the value of a rank."""
+    """Values ``low..high`` known to hold the sorted places ``first..last`` of a column."""
 
     column: str
-    rank: int
+    first: int
+    last: int
     low: float
     high: float
     below: int = 0
@@ -42,6 +43,7 @@ class Enclosure:
 
 
 def _count_inside(df: DataFrame, targets: Sequence[Enclosure]) -> None:
+    """Exact counts below and inside each enclosure, all in one aggregate."""
     measures = []
     for i, t in enumerate(targets):
         measures += [
@@ -54,23 +56,36 @@ def _count_inside(df: DataFrame, targets: Sequence[Enclosure]) -> None:
         t.below, t.inside, t.distinct = row[f"b{i}"], row[f"n{i}"], row[f"d{i}"]
 
 
-def _narrow(df: DataFrame, targets: Sequence[Enclosure], accuracy: int) -> list[Enclosure]:
-    """Tighter enclosures, each verified by counting; a miss moves to the side that holds the rank."""
+def _guess(df: DataFrame, targets: Sequence[Enclosure], accuracy: int) -> list[Enclosure]:
+    """Tighter enclosures from sketches, one sketch per enclosure that targets share."""
     margin = 2.0 / accuracy
-    sketches = []
-    for i, t in enumerate(targets):
-        place = (t.rank - t.below + 0.5) / t.inside
-        points = [max(0.0, place - margin), min(1.0, place + margin)]
-        inside = F.when(t.test(), named(t.column))
-        sketches.append(F.percentile_approx(inside, points, accuracy).alias(f"p{i}"))
-    row = df.agg(*sketches).first()
-    guesses = [Enclosure(t.column, t.rank, *row[f"p{i}"]) for i, t in enumerate(targets)]
+    points: dict[tuple, list[float]] = {}
+    for t in targets:
+        shared = points.setdefault((t.column, t.low, t.high), [])
+        shared.append(max(0.0, (t.first - t.below) / t.inside - margin))
+        shared.append(min(1.0, (t.last - t.below + 1) / t.inside + margin))
+    tests = {(t.column, t.low, t.high): t.test() for t in targets}
+    row = df.agg(*[
+        F.percentile_approx(F.when(tests[shared], named(shared[0])), at, accuracy) for shared, at in points.items()
+    ]).first()
+    values = {shared: iter(found) for shared, found in zip(points, row)}
+    out = []
+    for t in targets:
+        found = values[t.column, t.low, t.high]
+        out.append(Enclosure(t.column, t.first, t.last, next(found), next(found)))
+    return out
+
+
+def _narrow(df: DataFrame, targets: Sequence[Enclosure], accuracy: int) -> list[Enclosure]:
+    """Tighter enclosures, verified by counting; an end that misses its place goes back."""
+    guesses = _guess(df, targets, accuracy)
     _count_inside(df, guesses)
     out, missed = [], []
     for old, new in zip(targets, guesses):
-        if not new.below <= new.rank < new.below + new.inside:
-            ends = (old.low, new.low) if new.below > new.rank else (new.high, old.high)
-            new = Enclosure(old.column, old.rank, *ends)
+        low = new.low if new.below <= new.first else old.low
+        high = new.high if new.last < new.below + new.inside else old.high
+        if (low, high) != (new.low, new.high):
+            new = Enclosure(old.column, old.first, old.last, low, high)
             missed.append(new)
         out.append(new)
     if missed:
@@ -79,15 +94,26 @@ def _narrow(df: DataFrame, targets: Sequence[Enclosure], accuracy: int) -> list[
 
 
 def _enclose(df: DataFrame, targets: list[Enclosure], few: int, accuracy: int) -> list[Enclosure]:
-    _count_inside(df, targets)
-    while pending := [t for t in targets if not t.settled(few)]:
-        narrowed = {(t.column, t.rank): t for t in _narrow(df, pending, accuracy)}
-        if any((narrowed[t.column, t.rank].low, narrowed[t.column, t.rank].high) == (t.low, t.high) for t in pending):
+    while pending := [i for i, t in enumerate(targets) if not t.settled(few)]:
+        narrowed = _narrow(df, [targets[i] for i in pending], accuracy)
+        if any((new.low, new.high) == (targets[i].low, targets[i].high) for i, new in zip(pending, narrowed)):
             accuracy *= 4
-        targets = [narrowed.get((t.column, t.rank), t) for t in targets]
+        for i, new in zip(pending, narrowed):
+            targets[i] = new
     return targets
 
 
+def _value_at(df: DataFrame, t: Enclosure, place: int) -> Column:
+    """The value of one sorted place, from the different values inside its enclosure."""
+    if t.low == t.high:
+        return F.lit(t.low).cast("double")
+    name, kind = "`" + t.column.replace("`", "``") + "`", df.schema[t.column].dataType.simpleString()
+    ends = f"CAST('{t.low}' AS {kind}) AND CAST('{t.high}' AS {kind})"
+    point = (place - t.below + 0.5) / t.inside
+    inside = f"CASE WHEN {name} BETWEEN {ends} THEN {name} END"
+    return F.expr(f"percentile_disc({point!r}) WITHIN GROUP (ORDER BY {inside})").cast("double")
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -98,44 +124,32 @@ def exact_quantiles(
     """Aggregate expressions for each column and quantile point, to use in one ``df.agg``."""
     if not columns:
         return {}
-    first = df.agg(
-        *[F.approx_count_distinct(named(c)).alias(f"d{i}") for i, c in enumerate(columns)],
-        *[F.count(named(c)).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.min(named(c)).alias(f"lo{i}") for i, c in enumerate(columns)],
-        *[F.max(named(c)).alias(f"hi{i}") for i, c in enumerate(columns)],
-    ).first()
+    measures = []
+    for i, column in enumerate(columns):
+        value = named(column)
+        measures += [
+            F.count(value).alias(f"n{i}"), F.approx_count_distinct(value).alias(f"d{i}"),
+            F.min(value).alias(f"low{i}"), F.max(value).alias(f"high{i}"),
+        ]
+    row = df.agg(*measures).first()
 
     out: dict[tuple[str, float], Column] = {}
+    wanted: list[tuple[str, float, float]] = []
     targets: list[Enclosure] = []
-    plans: list[tuple[str, float, float]] = []
     for i, column in enumerate(columns):
-        if first[f"d{i}"] <= few:
-            for p in points:
-                out[column, p] = F.percentile(named(column), p)
-            continue
         for p in points:
-            place = (first[f"n{i}"] - 1) * p
-            plans.append((column, p, place))
-            for rank in {math.floor(place), math.ceil(place)}:
-                targets.append(Enclosure(column, rank, first[f"lo{i}"], first[f"hi{i}"]))
-    if not targets:
-        return out
-
-    unique = {(t.column, t.rank): t for t in targets}
-    found = {(t.column, t.rank): t for t in _enclose(df, list(unique.values()), few, accuracy)}
-
-    def value_at(column: str, rank: int) -> Column:
-        t = found[column, rank]
-        if t.low == t.high:
-            return F.lit(t.low).cast("double")
-        point = (rank - t.below + 0.5) / t.inside
-        name, kind = "`" + column.replace("`", "``") + "`", df.schema[column].dataType.simpleString()
-        ends = f"CAST('{t.low}' AS {kind}) AND CAST('{t.high}' AS {kind})"
-        inside = f"CASE WHEN {name} BETWEEN {ends} THEN {name} END"
-        return F.expr(f"percentile_disc({point!r}) WITHIN GROUP (ORDER BY {inside})").cast("double")
-
-    for column, p, place in plans:
-        low, high = math.floor(place), math.ceil(place)
-        at_low, at_high = value_at(column, low), value_at(column, high)
-        out[column, p] = at_low + (at_high - at_low) * F.lit(place - low)
+            if row[f"d{i}"] <= few:
+                out[column, p] = F.percentile(named(column), p)
+                continue
+            place = (row[f"n{i}"] - 1) * p
+            wanted.append((column, p, place))
+            ends = math.floor(place), math.ceil(place), row[f"low{i}"], row[f"high{i}"]
+            targets.append(Enclosure(column, *ends, 0, row[f"n{i}"], row[f"d{i}"]))
+
+    for (column, p, place), t in zip(wanted, _enclose(df, targets, few, accuracy)):
+        at_first = _value_at(df, t, t.first)
+        if t.first == t.last:
+            out[column, p] = at_first
+        else:
+            out[column, p] = at_first + (_value_at(df, t, t.last) - at_first) * F.lit(place - t.first)
     return out

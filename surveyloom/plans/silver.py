@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import named
 from ..functions.names import Step, steps_for
-from ..operators.clean import binary_columns_of, bool_to_flag, dedup_by_key, dedup_rare_repeats, fill_answers
+from ..operators.clean import (
+    binary_columns_of, bool_to_flag, dedup_by_key, dedup_rare_repeats, fill_answers, repeated_hashes,
+)
 from ..operators.harmonise import clean_columns, harmonise, select_curated
 from ..operators.profile import shapes_by
 from ..operators.unify import tag_year, unify
 from ..session import scratch_path
-from ..sources.files import read_csv, read_parquet, write_parquet
+from ..sources.files import read_csv, write_parquet
 
 MappingRow = tuple[str, int, str, str]
 
@@ -44,18 +46,19 @@ def finish_edition(
     flags: Sequence[str],
     key: str = "id",
     order: Sequence[Column | str] = (),
-    rare_repeats: bool = False,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """A prepared edition filled, one row per respondent, tagged with its year.
 
     Of the rows of a respondent the first by ``order`` stays, or the first by all other columns.
-    ``rare_repeats`` is for editions read from files, whose wide rows then need no shuffle.
+    With the hashes of repeated keys, only the rows of those keys are shuffled.
     """
     ticks = [c for c in flags if c in df.columns and c != key]
     filled = fill_answers(df, ticks, keep=[key])
     by = list(order) or [named(c) for c in df.columns if c != key]
-    dedup = dedup_rare_repeats if rare_repeats else dedup_by_key
-    return tag_year(dedup(filled, key, by), year)
+    if repeated is None:
+        return tag_year(dedup_by_key(filled, key, by), year)
+    return tag_year(dedup_rare_repeats(filled, key, by, repeated.where(F.col("edition") == year)), year)
 
 
 def build_editions(
@@ -80,8 +83,9 @@ def build_editions(
     if stage:
         prepared = {year: _staged(df, year) for year, df in prepared.items()}
     found = binary_columns_of(prepared) if detect else {}
+    repeated = repeated_hashes(prepared, [key]) if stage else None
     return {
-        year: finish_edition(df, year, list(dict.fromkeys([*flags, *found.get(year, [])])), key, order, stage)
+        year: finish_edition(df, year, list(dict.fromkeys([*flags, *found.get(year, [])])), key, order, repeated)
         for year, df in prepared.items()
     }
 
@@ -89,7 +93,7 @@ def build_editions(
 def _staged(df: DataFrame, year: int) -> DataFrame:
     path = scratch_path(df.sparkSession, f"edition-{year}")
     write_parquet(df, path)
-    return read_parquet(df.sparkSession, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def build_silver(raw: Mapping[int, DataFrame], *, as_string: bool = False, **options) -> DataFrame:
@@ -100,7 +104,7 @@ def build_silver(raw: Mapping[int, DataFrame], *, as_string: bool = False, **opt
 def write_silver(silver: DataFrame, path: str, year: str = "ano") -> DataFrame:
     """Write the table split by year and read it back, so that later steps start from files."""
     write_parquet(silver, path, year)
-    return read_parquet(silver.sparkSession, path).select(*[named(c) for c in silver.columns])
+    return silver.sparkSession.read.schema(silver.schema).parquet(path).select(*[named(c) for c in silver.columns])
 
 
 def proof_counts(silver: DataFrame, year: str = "ano") -> DataFrame:
