@@ -99,7 +99,7 @@ def _is_flag_value(field: T.StructField) -> Column | None:
     """Test that one value is a 0/1 answer, or None for types that never hold one."""
     value = named(field.name)
     if isinstance(field.dataType, T.BooleanType):
-        return value.isNotNull()
+        return F.when(value.isNotNull(), True)
     if isinstance(field.dataType, T.NumericType):
         return value.isin(0, 1)
     if isinstance(field.dataType, T.StringType):
