@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import sys
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,28 +74,34 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 @lru_cache(maxsize=1)
-def _accented_letters() -> tuple[str, str]:
-    """Lower-case characters that are an ASCII letter or digit under an accent, and that base."""
-    source, target = [], []
-    for point in range(0x80, sys.maxunicode + 1):
-        char = chr(point)
-        if unicodedata.decomposition(char)[:1] in ("", "<"):
-            continue
-        base = "".join(c for c in unicodedata.normalize("NFD", char) if unicodedata.category(c) != "Mn")
-        if len(base) == 1 and base.isascii() and (base.islower() or base.isdigit()):
-            source.append(char)
-            target.append(base)
-    return "".join(source), "".join(target)
+def _accent_table() -> tuple[str, str]:
+    """Arguments of ``translate`` that take accents off lower-case text.
+
+    First the characters that are an ASCII letter or digit under an accent, each with its base;
+    then the combining marks, which have no counterpart and are dropped.
+    """
+    accented, bases, marks = [], [], []
+    # Planes 2 to 13 hold ideographs only.
+    for char in map(chr, chain(range(0x80, 0x20000), range(0xE0000, 0xE1000))):
+        if unicodedata.category(char) == "Mn":
+            marks.append(char)
+        elif unicodedata.decomposition(char):
+            decomposed = unicodedata.normalize("NFD", char)
+            base = "".join(c for c in decomposed if unicodedata.category(c) != "Mn")
+            if base.isascii() and (base.islower() or base.isdigit()):
+                accented.append(char)
+                bases.append(base)
+    return "".join(accented + marks), "".join(bases)
 
 
 def normalise_text(text: Column) -> Column:
     """The rule of ``normalise_name`` as an expression over data.
 
-    Pure ASCII text, where characters and bytes are equally many, skips the accent steps.
+    Pure ASCII text, where characters and bytes are equally many, skips the accent step.
     """
     lower = F.lower(text)
-    plain = F.regexp_replace(F.translate(lower, *_accented_letters()), r"\p{Mn}+", "")
-    plain = F.when(F.char_length(text) == F.octet_length(text), lower).otherwise(plain)
+    ascii_only = F.char_length(text) == F.octet_length(text)
+    plain = F.when(ascii_only, lower).otherwise(F.translate(lower, *_accent_table()))
     return F.btrim(F.regexp_replace(plain, UNSAFE_RUN, "_"), F.lit("_"))
 
 

@@ -5,13 +5,13 @@ import os
 
 import pytest
 
-from surveyloom.functions.names import repeated_names
+from surveyloom.functions.names import repeated_names, steps_for
 from surveyloom.operators.harmonise import clean_columns, harmonise
-from surveyloom.functions.names import steps_for
+from surveyloom.operators.reshape import ticked_options
 from surveyloom.plans import extracts, gold, silver
 from surveyloom.plans import questionnaire as Q
 from surveyloom.session import scratch_path
-from surveyloom.sources import files
+from surveyloom.sources import catalogue, files
 
 E2023 = [
     ["('P0', 'id')", "('P1_a ', 'Gênero')", "('P2_h ', 'Faixa Salarial')", "('P4_a ', 'Atuação')",
@@ -110,3 +110,38 @@ def test_indicator_columns_are_the_curated_ones():
     assert Q.KEY == gold.GOLD_COLUMNS[0] and Q.YEAR not in gold.GOLD_COLUMNS
     assert len(gold.GOLD_COLUMNS) == len(set(gold.GOLD_COLUMNS))
     assert len(gold.INDICATORS) == 44
+
+
+@pytest.fixture(scope="module")
+def table(spark, raw):
+    return silver.write_silver(silver.build_silver(raw, mapping=Q.mapping_rows()), scratch_path(spark, "silver"))
+
+
+def test_sql_over_the_registered_view(spark, table, rows):
+    catalogue.register_view(gold.gold_view(table), "vw")
+    by_sql = spark.sql(
+        "SELECT ano, atuacao, count(*) AS total, CAST(round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY ano), 1) "
+        "AS DOUBLE) AS pct FROM vw GROUP BY ano, atuacao"
+    )
+    assert rows(by_sql) == rows(gold.INDICATORS["roles_share"].run(table))
+    by_sql = spark.sql("SELECT ano, sum(try_cast(python AS INT)) AS python FROM vw GROUP BY ano")
+    assert rows(by_sql) == rows(gold.INDICATORS["languages"].run(table.selectExpr(
+        "ano", "python", *[f"0 AS `{c}`" for c in Q.LANGUAGES.values() if c != "python"]
+    )).select("ano", "python"))
+
+
+def test_two_years_read_two_partitions(table):
+    plan = gold.INDICATORS["edition_growth"].run(table)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [ano" in plan
+
+
+def test_unified_rows_are_the_sum_of_the_editions(raw, table):
+    built = silver.build_editions(raw, Q.mapping_rows())
+    assert table.count() == sum(df.count() for df in built.values())
+    assert table.select("ano", "id").distinct().count() == table.count()
+
+
+def test_long_rows_are_the_sum_of_the_flags(table):
+    long = ticked_options(table, ["id"], {"python": "Python", "remuneracao_salario": "Remuneração"})
+    sums = table.selectExpr("sum(python) + sum(remuneracao_salario)").first()[0]
+    assert long.count() == sums
