@@ -101,6 +101,15 @@ def build_silver(raw: Mapping[int, DataFrame], *, as_string: bool = False, **opt
     return unify(build_editions(raw, **options), "common", as_string)
 
 
+def write_editions(editions: Mapping[int, DataFrame], path: str) -> dict[int, DataFrame]:
+    """Write each edition with all its own columns to a folder per year, and read them back."""
+    written = {}
+    for year, df in editions.items():
+        write_parquet(df, f"{path.rstrip('/')}/state_{year}")
+        written[year] = df.sparkSession.read.schema(df.schema).parquet(f"{path.rstrip('/')}/state_{year}")
+    return written
+
+
 def write_silver(silver: DataFrame, path: str, year: str = "ano") -> DataFrame:
     """Write the table split by year and read it back, so that later steps start from files."""
     write_parquet(silver, path, year)

@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings a cluster run wants. A high initial partition count is safe because adaptive
-# execution merges small shuffle partitions, and it lets skewed join partitions be split.
+# Settings a cluster run wants: adaptive execution merges small shuffle partitions and splits
+# skewed join partitions, also where that costs another shuffle.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -21,12 +21,27 @@ CLUSTER_CONF = {
 }
 
 
-def build_session(app: str = "surveyloom", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with ``CLUSTER_CONF``; keyword arguments use ``__`` for the dots of a setting."""
+SHUFFLE_PARTITION_BYTES = 128 << 20
+
+
+def shuffle_partitions(shuffle_bytes: int) -> int:
+    """Partitions that keep a shuffle of this size at about 128 MB each; adaptive execution merges them for less."""
+    return max(200, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
+
+
+def build_session(
+    app: str = "surveyloom", master: str | None = None, shuffle_bytes: int = 0, **conf: str
+) -> SparkSession:
+    """Session with ``CLUSTER_CONF``; keyword arguments use ``__`` for the dots of a setting.
+
+    ``shuffle_bytes`` is the largest shuffle expected, and sets the number of its partitions.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = dict(CLUSTER_CONF)
+    if shuffle_bytes:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffle_bytes))
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)

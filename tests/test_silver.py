@@ -74,6 +74,13 @@ def test_silver(spark, raw, stage):
     assert tuple(gold.INDICATORS["edition_growth"].run(table).first()) == (2, 1, -50.0)
 
 
+def test_write_editions(spark, raw):
+    built = silver.build_editions(raw, Q.mapping_rows())
+    written = silver.write_editions(built, scratch_path(spark, "editions"))
+    assert {year: len(df.columns) for year, df in written.items()} == {2023: 9, 2024: 10, 2025: 9}
+    assert {year: df.count() for year, df in written.items()} == {2023: 2, 2024: 2, 2025: 1}
+
+
 def test_as_string(raw):
     built = silver.build_silver(raw, mapping=Q.mapping_rows(), as_string=True)
     assert {t for _, t in built.dtypes} == {"string"}
