@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -561,11 +562,15 @@ def parquet_partition_roundtrip(spark, sf):
 @query
 def silver_from_csv(spark, sf):
     """Editions written as CSV under messy headers, read back, and built into the silver table."""
-    raw = {}
-    for year, df in views.editions(spark, sf).items():
-        path = scratch_path(spark, f"bronze-{year}")
-        files.write_csv(df, path)
-        raw[year] = files.read_csv(spark, path, df.schema)
+    path = scratch_path(spark, "bronze")
+
+    def as_csv(edition):
+        year, df = edition
+        files.write_csv(df, f"{path}/ano_{year}")
+        return year, files.read_csv(spark, f"{path}/ano_{year}", df.schema)
+
+    with ThreadPoolExecutor(3) as pool:
+        raw = dict(pool.map(as_csv, views.editions(spark, sf).items()))
     built = silver.build_silver(raw, mapping=views.MAPPING, stage=True)
     return silver.write_silver(built, scratch_path(spark, "silver"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,22 @@ def finish_edition(
     return tag_year(dedup_rare_repeats(filled, key, by, repeated.where(F.col("edition") == year)), year)
 
 
+def write_editions(editions: Mapping[int, DataFrame], path: str) -> dict[int, DataFrame]:
+    """Write each edition with all its own columns to a folder per year, and read them back.
+
+    The editions are independent jobs and are submitted together, so that one edition's last
+    tasks do not leave the cluster idle.
+    """
+
+    def write(year: int) -> DataFrame:
+        folder = f"{path.rstrip('/')}/ano_{year}"
+        write_parquet(editions[year], folder)
+        return editions[year].sparkSession.read.schema(editions[year].schema).parquet(folder)
+
+    with ThreadPoolExecutor(len(editions)) as pool:
+        return dict(zip(editions, pool.map(write, editions)))
+
+
 def build_editions(
     raw: Mapping[int, DataFrame],
     mapping: Iterable[MappingRow] = (),
@@ -81,7 +98,7 @@ def build_editions(
     rows = list(mapping)
     prepared = {year: prepare_edition(df, steps_for(rows, str(year)), curated) for year, df in raw.items()}
     if stage:
-        prepared = {year: _staged(df, year) for year, df in prepared.items()}
+        prepared = write_editions(prepared, scratch_path(next(iter(raw.values())).sparkSession, "staged"))
     found = binary_columns_of(prepared) if detect else {}
     repeated = repeated_hashes(prepared, [key]) if stage else None
     return {
@@ -90,26 +107,11 @@ def build_editions(
     }
 
 
-def _staged(df: DataFrame, year: int) -> DataFrame:
-    path = scratch_path(df.sparkSession, f"edition-{year}")
-    write_parquet(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def build_silver(raw: Mapping[int, DataFrame], *, as_string: bool = False, **options) -> DataFrame:
     """All editions, unified on the columns they share; options as for ``build_editions``."""
     return unify(build_editions(raw, **options), "common", as_string)
 
 
-def write_editions(editions: Mapping[int, DataFrame], path: str) -> dict[int, DataFrame]:
-    """Write each edition with all its own columns to a folder per year, and read them back."""
-    written = {}
-    for year, df in editions.items():
-        write_parquet(df, f"{path.rstrip('/')}/state_{year}")
-        written[year] = df.sparkSession.read.schema(df.schema).parquet(f"{path.rstrip('/')}/state_{year}")
-    return written
-
-
 def write_silver(silver: DataFrame, path: str, year: str = "ano") -> DataFrame:
     """Write the table split by year and read it back, so that later steps start from files."""
     write_parquet(silver, path, year)
