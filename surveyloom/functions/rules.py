@@ -73,13 +73,18 @@ def map_values(value: Column, labels: Mapping[str, str], keep_unmapped: bool = F
 
 
 def map_by_table(
-    df: DataFrame, column: str, table: DataFrame, output: str, keep_unmapped: bool = False
+    df: DataFrame, column: str, table: DataFrame, output: str, keep_unmapped: bool = False, check: bool = True
 ) -> DataFrame:
-    """``map_values`` for a label table ``(source, target)`` of any length, one row per source.
+    """``map_values`` for a label table ``(source, target)`` of any length.
 
-    There is no broadcast hint: Spark broadcasts the table only while its size is below the
-    session's threshold, and splits a hot value of the big side otherwise.
+    A source listed twice would multiply rows, so the table is checked for it first. There is no
+    broadcast hint: Spark broadcasts the table only while its size is below the session's
+    threshold. Beyond it both sides are joined straight from their shuffles, which lets adaptive
+    execution split a hot value.
     """
-    joined = df.join(table, named(column) == table["source"], "left")
-    mapped = F.coalesce(table["target"], named(column)) if keep_unmapped else table["target"]
-    return joined.select(*[df[f"`{c}`"] for c in df.columns if c != output], mapped.alias(output))
+    if check and not table.groupBy("source").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        raise ValueError("the label table lists a source twice")
+    labels = table.select(F.col("source").alias("_source"), F.col("target").alias("_label"))
+    mapped = F.coalesce(F.col("_label"), named(column)) if keep_unmapped else F.col("_label")
+    joined = df.join(labels, named(column) == F.col("_source"), "left")
+    return joined.select(*[named(c) for c in df.columns if c != output], mapped.alias(output))

@@ -14,7 +14,7 @@ def spark():
     folder = tempfile.mkdtemp(prefix="surveyloom-tests-")
     session = build_session(
         "tests", "local[8]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
         spark__driver__memory="8g",
         spark__checkpoint__dir=f"{folder}/scratch",
         spark__sql__warehouse__dir=f"{folder}/warehouse",

@@ -72,7 +72,7 @@ def test_bool_to_flag(spark, rows):
 
 
 TEXTS = [
-    "Olá, Mundo!", "água  FRIA", "", "___", "Já É 100%", "C++/C#", "ÀÉÎÕÜç", "straße", "naïve—façade", "日本 x", None,
+    "Olá, Mundo!", "água  FRIA", "", "___", "Já É 100%", "C++/C#", "ÀÉÎÕÜç", "straße", "naïve—façade", "日本 x", "a\u0301gua e\u0302", None,
 ]
 
 
@@ -82,6 +82,13 @@ def test_text_rule_equals_name_rule(spark):
     assert got == [None if t is None else normalise_name(t) for t in TEXTS]
 
 
+def test_text_rule_equals_name_rule_for_every_character(spark):
+    points = [p for p in range(0x20, 0x20000) if not 0xD800 <= p < 0xE000]
+    df = spark.createDataFrame([(i, f"a{chr(p)}b") for i, p in enumerate(points)], "id long, t string")
+    found = {r.id: r.n for r in df.select("id", normalise_text(F.col("t")).alias("n")).collect()}
+    assert [hex(p) for i, p in enumerate(points) if found[i] != normalise_name(f"a{chr(p)}b")] == []
+
+
 def test_header_rule_equals_name_rule(spark):
     headers = [
         "('P2_o_1 ', 'Remuneração/Salário')", "('P4_b', \"ETL's usados\")", "2.o.1_Salário 100%", "12 x", "(solto", "4.l.1  N",
@@ -97,6 +104,9 @@ def test_label_maps(spark, rows):
     assert rows(df.select(map_values(F.col("v"), labels))) == [("A",), (None,), (None,)]
     table = spark.createDataFrame([("a", "A")], "source string, target string")
     assert rows(map_by_table(df, "v", table, "v", True)) == [("A",), ("b",), (None,)]
+    twice = spark.createDataFrame([("a", "B"), ("a", "A")], "source string, target string")
+    with pytest.raises(ValueError):
+        map_by_table(df, "v", twice, "v")
     with pytest.raises(ValueError):
         map_values(F.col("v"), {str(i): "x" for i in range(1000)})
 
