@@ -3,8 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import oracle_sql, queries
 from surveyloom.functions.rules import map_by_table
 from surveyloom.operators import clean, indicators, profile, reshape
+from surveyloom.session import scratch_path
+from tests.compare import connect, differences
+from tests.hot import write_hot_tables
 
 ROWS = 60_000
 
@@ -83,3 +87,28 @@ def test_counts_and_stacks(hot):
     assert indicators.top_k(hot, "k", 1).first().total == ROWS // 3
     counted = reshape.count_stacked(hot.select("k", F.col("k").alias("j")), {"A": "k", "B": "j"}, "m", "s")
     assert counted.where("m = -1").select("total").distinct().collect() == [(ROWS // 3,)]
+
+
+@pytest.fixture(scope="module")
+def hot_dir(spark):
+    return write_hot_tables("/root/testdata/sf0.01", scratch_path(spark, "hot"))
+
+
+@pytest.mark.parametrize("name", [
+    "top_k", "tier_rate_by_two", "ranking_by_edition", "unpivot_flags", "dedup_by_key", "dedup_rare_repeats",
+    "duplicate_rows", "duplicate_groups_wide", "key_quality", "twin_suffix", "fill_binary", "map_long_table",
+])
+def test_queries_on_skewed_tables(spark, hot_dir, name):
+    assert differences(queries()[name](spark, hot_dir), connect(hot_dir), oracle_sql()[name]) == []
+
+
+def test_hot_customer_is_split(spark, hot_dir, small_partitions):
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20k")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10k")
+    # A partition is split along the tasks that wrote it, so the tables need several files.
+    spread = scratch_path(spark, "spread")
+    for name in ("orders", "customer", "nation", "region"):
+        spark.read.parquet(f"{hot_dir}/{name}.parquet").repartition(8).write.parquet(f"{spread}/{name}.parquet")
+    df = queries()["tier_rate_by_two"](spark, spread)
+    assert df.collect() == queries()["tier_rate_by_two"](spark, hot_dir).collect()
+    assert "skew=true" in executed(df)
