@@ -102,7 +102,12 @@ def resp(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return respondents(spark, sf_dir, {name: RESP_COLUMNS[name] for name in columns or RESP_COLUMNS})
 
 
-def _line_flags(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame:
+def _with_ticks(spark: SparkSession, sf_dir: str, rows: DataFrame, names: list[str]) -> DataFrame:
+    """Rows joined with the options ticked by any line of their order, as bits of ``_ticks``.
+
+    All options travel in one integer per order. Editions that ask for the same options share
+    one aggregate and one shuffle of the lines within a query.
+    """
     tests = {
         "f_returned": F.col("l_returnflag") == "R",
         "f_accepted": F.col("l_returnflag") == "A",
@@ -110,8 +115,22 @@ def _line_flags(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame
         "f_discount": F.col("l_discount") >= 0.09,
         "f_bulk": F.col("l_quantity") >= 45,
     }
-    ticks = [F.max(F.when(tests[name], 1).otherwise(0)).alias(name) for name in names]
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*ticks)
+    bits = [F.when(tests[name], _tick_bit(name)).otherwise(0) for name in names]
+    mask = bits[0]
+    for bit in bits[1:]:
+        mask = mask.bitwiseOR(bit)
+    ticks = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.bit_or(mask).alias("_ticks"))
+    return rows.join(ticks, F.col("id") == F.col("l_orderkey"), "left")
+
+
+def _tick_bit(name: str) -> int:
+    return 1 << FLAGS.index(name)
+
+
+def _tick(name: str) -> Column:
+    """1 or 0 for an option, null where the order has no line."""
+    bit = _tick_bit(name)
+    return (F.col("_ticks").bitwiseAND(bit) == bit).cast("int")
 
 
 def flags(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -119,8 +138,8 @@ def flags(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     columns = columns or (*RESP_COLUMNS, *FLAGS)
     ticks = [c for c in columns if c in FLAGS]
     base = resp(spark, sf_dir, *dict.fromkeys(["id", *[c for c in columns if c not in FLAGS]]))
-    joined = base.join(_line_flags(spark, sf_dir, ticks), F.col("id") == F.col("l_orderkey"), "left")
-    return joined.select(*columns)
+    joined = _with_ticks(spark, sf_dir, base, ticks)
+    return joined.select(*[_tick(c).alias(c) if c in FLAGS else c for c in columns])
 
 
 def labels_wide(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -200,11 +219,13 @@ def raw_edition(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
     base_columns["_date"] = ("orders", _source("o_orderdate"))
     start, end = F.lit(f"{year}-01-01").cast("timestamp_ntz"), F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")
     base = respondents(spark, sf_dir, base_columns).where((F.col("_date") >= start) & (F.col("_date") < end))
-    ticks = _line_flags(spark, sf_dir, [c for c in FLAGS if c in columns])
-    joined = base.join(ticks, F.col("id") == F.col("l_orderkey"), "left")
-    return joined.select(
-        *[(F.col(column).cast(kind) if kind else F.col(column)).alias(header) for header, column, kind in headers]
-    )
+    joined = _with_ticks(spark, sf_dir, base, FLAGS)
+
+    def answer(column: str, kind: str | None) -> Column:
+        value = _tick(column) if column in FLAGS else F.col(column)
+        return value.cast(kind) if kind else value
+
+    return joined.select(*[answer(column, kind).alias(header) for header, column, kind in headers])
 
 
 def editions(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
