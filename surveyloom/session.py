@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -51,11 +50,9 @@ def build_session(
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the cluster's shared checkpoint folder.
 
-    A machine-local folder is used only when the session itself is local.
+    Where ``spark.checkpoint.dir`` is unset the warehouse folder serves, which all executors share as well.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="surveyloom-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

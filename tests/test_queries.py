@@ -4,7 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from fixtures.oracle import ORACLE
+from fixtures.queries import REGISTRY
 from tests.compare import connect, differences
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -16,7 +18,7 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(ORACLE)
 
 
 def test_entry(spark):
@@ -25,6 +27,6 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query(spark, con, name):
-    assert differences(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) == []
+    assert differences(REGISTRY[name](spark, SF_DIR), con, ORACLE[name]) == []
