@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from surveyloom.llm.neardup import op6_dart_minhash
 from surveyloom.llm.quality import OP7_SQL, op7_host_rules
+from surveyloom.llm.toxicity import op8_toxicity
 
 QUERIES = {
+    "op6_dart_minhash": op6_dart_minhash,
     "op7_host_rules": op7_host_rules,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLE = {
