@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+from surveyloom.llm.mixing import OP3_SQL, op3_source_mix
 from surveyloom.llm.neardup import op6_dart_minhash
+from surveyloom.llm.packing import op2_bin_completion
 from surveyloom.llm.quality import OP7_SQL, op7_host_rules
+from surveyloom.llm.tokens import op4_whole_token_counts
 from surveyloom.llm.toxicity import op8_toxicity
 
 QUERIES = {
+    "op2_bin_completion": op2_bin_completion,
+    "op3_source_mix": op3_source_mix,
+    "op4_whole_token_counts": op4_whole_token_counts,
     "op6_dart_minhash": op6_dart_minhash,
     "op7_host_rules": op7_host_rules,
     "op8_toxicity": op8_toxicity,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
+    "op3_source_mix": OP3_SQL,
     "op7_host_rules": OP7_SQL,
 }
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
