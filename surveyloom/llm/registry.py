@@ -3,25 +3,34 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from surveyloom.llm.chat import op9_budgeted_windows
+from surveyloom.llm.fingerprint import op1_scaled_sketch
+from surveyloom.llm.licenses import op10_license_templates
 from surveyloom.llm.mixing import OP3_SQL, op3_source_mix
 from surveyloom.llm.neardup import op6_dart_minhash
 from surveyloom.llm.packing import op2_bin_completion
 from surveyloom.llm.quality import OP7_SQL, op7_host_rules
+from surveyloom.llm.revisits import OP5_SQL, op5_revisits
 from surveyloom.llm.tokens import op4_whole_token_counts
 from surveyloom.llm.toxicity import op8_toxicity
 
 QUERIES = {
+    "op1_scaled_sketch": op1_scaled_sketch,
     "op2_bin_completion": op2_bin_completion,
     "op3_source_mix": op3_source_mix,
     "op4_whole_token_counts": op4_whole_token_counts,
+    "op5_revisits": op5_revisits,
     "op6_dart_minhash": op6_dart_minhash,
     "op7_host_rules": op7_host_rules,
     "op8_toxicity": op8_toxicity,
+    "op9_budgeted_windows": op9_budgeted_windows,
+    "op10_license_templates": op10_license_templates,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
     "op3_source_mix": OP3_SQL,
+    "op5_revisits": OP5_SQL,
     "op7_host_rules": OP7_SQL,
 }
 
