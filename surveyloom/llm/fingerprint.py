@@ -100,14 +100,14 @@ def digits(kept: Column) -> Column:
     return F.array_join(F.transform(kept, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
 
 
-_KEY = ["at_id", "no_id", "text_hash"]
+_KEY = ["at_id", "has_id", "text_hash"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``text`` with a key that has no nulls: the id, whether it is null, and the text's hash."""
+    """Texts under a key that has no nulls: the id, whether there is one, and the text's hash."""
     return docs.select("doc_id", whole_text().alias("text")).select(
-        "doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LOWEST)).alias("at_id"),
-        F.col("doc_id").isNotNull().alias("no_id"), F.xxhash64("text").alias("text_hash"), "text",
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LOWEST)).alias("at_id"),
+        F.col("doc_id").isNotNull().alias("has_id"), F.xxhash64("text").alias("text_hash"), "text",
     )
 
 
@@ -133,18 +133,21 @@ def neighbours(docs: DataFrame) -> DataFrame:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and its edited form, and how near it is to that and to the next document."""
     made = _keyed(docs).withColumn("n_chars", F.char_length("text").cast("bigint")).withColumn("kept", sketch(F.col("text")))
-    linked = made.join(neighbours(docs), _KEY)
+    half = F.floor(F.col("n_chars") / 2).cast("int")
+    # both sides of the second join read one shuffle of the texts; the first side goes on with the halves that stay
+    linked = made.join(neighbours(docs), _KEY).select(
+        F.when(F.col("has_id"), F.col("at_id")).alias("doc_id"), "n_chars", "kept", half.alias("half"),
+        F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half).alias("head"),
+        *[f"next_{name}" for name in _KEY],
+    )
     # equal rows give one next document; this window needs the order that the join sorts by anyhow
     again = F.lag(F.lit(1)).over(Window.partitionBy(*_KEY).orderBy(*_KEY))
     other = made.withColumn("_again", again).where("_again IS NULL").select(
         *[F.col(name).alias(f"next_{name}") for name in _KEY], F.col("text").alias("next_text"),
         F.col("n_chars").alias("next_chars"), F.col("kept").alias("next_kept"),
     )
-    half = F.floor(F.col("n_chars") / 2).cast("int")
-    edited = F.concat(
-        F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half),
-        F.substring("next_text", F.lit(1), F.least(half, F.col("next_chars").cast("int"))),
-    )
+    tail = F.substring("next_text", F.lit(1), F.least(F.col("half"), F.col("next_chars").cast("int")))
+    edited = F.concat("head", tail)
     both = linked.join(other, [f"next_{name}" for name in _KEY]).select(
         "doc_id", "n_chars", "kept", "next_kept", edited.alias("edited")
     ).select(
