@@ -62,7 +62,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
             F.sum(F.when(above, limit).otherwise(0)).alias("fixed"),
             F.sum(F.when(above, 0).otherwise(F.col("weight"))).alias("open"),
         ).first()
-        new = (row["total"] - row["fixed"]) / row["open"] if row["open"] else level
+        new = (row["total"] - row["fixed"]) / row["open"] if row["open"] else level  # no open source: all fixed, or none
         if new <= level:
             break
         level = new

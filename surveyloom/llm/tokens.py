@@ -13,6 +13,7 @@ empty result; columns beyond the needed ones are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 from functools import lru_cache
 
@@ -25,12 +26,13 @@ from pyspark.sql import functions as F
 from surveyloom.llm.common import binary_list, map_slices, table, whole_text
 
 LIMIT = 512
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_200_000
 LONGEST_KEPT = 64
 
 
 @lru_cache(maxsize=4)
 def load(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks run side by side already
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -44,10 +46,32 @@ def specials(path: str) -> list[str]:
     return [token.content for token in load(path).get_added_tokens_decoder().values()]
 
 
+def _stem(word: bytes) -> tuple[bytes, bytes]:
+    """A part between white space in lower case, without and with the full stop or comma behind its last letter.
+
+    The tokenizer lower-cases letters and splits them from other characters, so these have the part's ids together.
+    Parts that may hold a special string stay as they are.
+    """
+    if b"<|" in word:
+        return word, b""
+    low = word.lower()
+    if len(low) > 1 and low[-1] in b".," and 97 <= low[-2] <= 122:
+        return low[:-1], low[-1:]
+    return low, b""
+
+
+# Small letters of ASCII and Latin-1, which lower-casing and normalising leave alone: one pre-token.
+_letters = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
+# Byte-level vocabularies write bytes that are visible in Latin-1 as themselves and number the others from 256 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: 256 + i for i, b in enumerate(sorted({*range(256)} - _VISIBLE))}
+
+
 class Encoder:
-    """Ids of texts whose tokenizer never joins characters across ASCII white space and drops that space.
+    """Ids of texts by a lower-casing byte-level tokenizer that drops white space and splits letters from the rest.
 
-    Parts between white space are encoded once and kept, up to ``KEPT_WORDS`` of them.
+    Parts between ASCII white space are encoded once and kept, up to ``KEPT_WORDS`` of them. Parts of small letters
+    alone go to the merges directly, all others through the whole tokenizer.
     """
 
     _made: dict[str, Encoder] = {}
@@ -67,11 +91,18 @@ class Encoder:
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
         new = list(set().union(*parts).difference(self.known))
-        found = self.tokenizer.encode_batch([word.decode() for word in new], add_special_tokens=False)
-        made = {word: np.array(one.ids, "<u4").tobytes() for word, one in zip(new, found)}
-        self.known.update(made)
+        split = [_stem(word) for word in new]
+        stems = list({s for pair in split for s in pair}.difference(self.known))
+        words, others = [s for s in stems if _letters(s)], [s for s in stems if not _letters(s)]
+        merge = self.tokenizer.model.tokenize
+        for stem in words:
+            self.known[stem] = np.array([t.id for t in merge(stem.decode("latin1").translate(_BYTES))], "<u4").tobytes()
+        found = self.tokenizer.encode_batch([stem.decode() for stem in others], add_special_tokens=False)
+        self.known.update((stem, np.array(one.ids, "<u4").tobytes()) for stem, one in zip(others, found))
+        for word, (stem, tail) in zip(new, split):
+            self.known[word] = self.known[stem] + self.known[tail]
         out = [b"".join(map(self.known.__getitem__, words)) for words in parts]
-        for word in new:  # long parts aren't kept
+        for word in {*new, *stems}:  # long parts aren't kept
             if len(word) > LONGEST_KEPT:
                 del self.known[word]
         return out
