@@ -1,15 +1,17 @@
 """Near-duplicate documents by DartMinHash (operator 6).
 
-A document is the weighted set of its five-word shingles, a shingle's weight being how often it occurs. Darts are
-thrown at the region under the weights: every unit of a shingle's weight is a cell that gets darts from a hash of
-itself, at exponentially spaced ranks, each marked for one of ``COORDINATES`` coordinates. Only darts of rank below
+A document is the weighted set of its five-word shingles; a shingle that occurs ``c`` times weighs ``1 + ln c``, so a
+line repeated hundreds of times doesn't make documents alike. Darts are thrown at the region under the weights: every
+unit of a shingle's weight is a cell that gets darts from a hash of itself, at exponentially spaced ranks, each marked
+for one of ``COORDINATES`` coordinates; of a last cell that is not full, darts beyond the weight are dropped. Only darts of rank below
 ``theta`` are made, with ``theta`` chosen so that a document gets ``k ln k + 2k`` of them however long it is; where
 a coordinate stays empty ``theta`` is doubled. The earliest dart of each coordinate is the signature, and two
 documents share one with the probability of their weighted Jaccard likeness.
 
-Signatures are cut into bands. Documents that share a band are joined, first each with one leader of the bucket,
-later those of a bucket that are still in different classes with each other, unless their known likeness to the
-leader rules a link out (the Jaccard distance is a metric). Every joined pair is verified on whole texts, so a link
+Signatures are cut into bands. Documents that share a band are joined, first each with one leader of the bucket, the
+document with the most company in all its buckets, later those of a bucket that are still in different classes with
+each other, unless their known likeness to the leader rules a link out (the Jaccard distance is a metric) or their
+signatures agree in so few coordinates as a likeness of 0.8 gives once in 300,000 pairs. Every joined pair is verified on whole texts, so a link
 means a likeness of at least ``LIKENESS``. Classes are the connected components of the links.
 
 Equal texts are one node from the start, found by the 128-bit hash of the text.
@@ -25,7 +27,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.llm.common import (
@@ -36,41 +38,50 @@ WIDTH = 5
 LIKENESS = 0.8
 BANDS = 25
 ROWS = 5
-COORDINATES = BANDS * ROWS
+# Bands use the first BANDS * ROWS coordinates; all serve to estimate a likeness.
+COORDINATES = 2 * BANDS * ROWS
+LONGS = -(-COORDINATES // 16)
+# Four bits agree by chance once in 16; 4.5 standard deviations below what a likeness of LIKENESS gives.
+_RATE = LIKENESS + (1 - LIKENESS) / 16
+LEAST_AGREEING = math.floor(COORDINATES * _RATE - 4.5 * math.sqrt(COORDINATES * _RATE * (1 - _RATE)))
 
 
-def cells(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Document and hash of every cell: the c-th occurrence of a shingle in a text is a cell of its own."""
+def cells(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, hash and width of every cell: each unit of a shingle's weight is one, the last may be narrower."""
     rows, hashes = shingle_hashes(data, offsets, WIDTH)
     if not len(rows):
-        return rows, hashes
+        return rows, hashes, np.zeros(0)
     order = np.lexsort((hashes, rows))
     rows, hashes = rows[order], hashes[order]
-    opens = np.ones(len(rows), bool)
-    opens[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
-    at = np.arange(len(rows))
-    copy = (at - np.maximum.accumulate(np.where(opens, at, 0))).astype(np.uint64)
-    return rows, mix64(hashes + copy * GOLD)
+    opens = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])])
+    weight = 1 + np.log(np.diff(np.r_[opens, len(rows)]))
+    n = np.ceil(weight).astype(np.int64)
+    unit = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    width = np.minimum(1.0, np.repeat(weight, n) - unit)
+    keys = mix64(np.repeat(hashes[opens], n) + unit.astype(np.uint64) * GOLD)
+    return np.repeat(rows[opens], n), keys, width
 
 
 def signatures(data: np.ndarray, offsets: np.ndarray, k: int = COORDINATES) -> tuple[np.ndarray, np.ndarray]:
     """The dart that came first at each coordinate, a row per document, and which documents have any."""
     n = len(offsets) - 1
-    rows, keys = cells(data, offsets)
-    weight = np.bincount(rows, minlength=n)
+    rows, keys, width = cells(data, offsets)
+    weight = np.bincount(rows, weights=width, minlength=n)
     best = np.full(n * k, np.inf)
     sig = np.zeros(n * k, np.uint64)
-    theta = (k * math.log(k) + 2 * k) / np.maximum(weight, 1)
+    theta = (k * math.log(k) + 2 * k) / np.maximum(weight, 1e-9)
     missing = weight > 0
     while missing.any():
         use = missing[rows]
-        _throw(rows[use], keys[use], theta, k, best, sig)
+        _throw(rows[use], keys[use], width[use], theta, k, best, sig)
         missing &= ~np.isfinite(best.reshape(n, k)).all(axis=1)
         theta[missing] *= 2
     return sig.reshape(n, k), weight > 0
 
 
-def _throw(rows: np.ndarray, keys: np.ndarray, theta: np.ndarray, k: int, best: np.ndarray, sig: np.ndarray) -> None:
+def _throw(
+    rows: np.ndarray, keys: np.ndarray, width: np.ndarray, theta: np.ndarray, k: int, best: np.ndarray, sig: np.ndarray
+) -> None:
     """Darts of rank below each document's ``theta``: ``best`` gets the earliest ranks, ``sig`` their darts."""
     rank = np.zeros(len(rows))
     seats, ranks, darts = [], [], []
@@ -80,10 +91,12 @@ def _throw(rows: np.ndarray, keys: np.ndarray, theta: np.ndarray, k: int, best:
         dart = mix64(keys + np.uint64(turn * 0xC2B2AE3D27D4EB4F % (1 << 64)))
         rank = rank - np.log((np.float64(1) + (dart >> np.uint64(11))) * 2.0**-53)
         alive = rank < theta[rows]
-        rows, keys, rank, dart = rows[alive], keys[alive], rank[alive], dart[alive]
-        seats.append(rows * k + (mix64(dart) % np.uint64(k)).astype(np.int64))
-        ranks.append(rank)
-        darts.append(dart)
+        rows, keys, width, rank, dart = rows[alive], keys[alive], width[alive], rank[alive], dart[alive]
+        more = mix64(dart)
+        hit = (width == 1) | ((more >> np.uint64(11)) * 2.0**-53 < width)
+        seats.append(rows[hit] * k + (mix64(more[hit]) % np.uint64(k)).astype(np.int64))
+        ranks.append(rank[hit])
+        darts.append(dart[hit])
     if not seats:
         return
     seat, rank, dart = np.concatenate(seats), np.concatenate(ranks), np.concatenate(darts)
@@ -93,24 +106,44 @@ def _throw(rows: np.ndarray, keys: np.ndarray, theta: np.ndarray, k: int, best:
 
 
 def bands(batch: pa.RecordBatch) -> dict:
-    """One hash per band of each text's signature; no bands for a text without words."""
+    """One hash per band of each text's signature, none for a text without words, and four bits per coordinate."""
     data, offsets = text_bytes(batch.column("_text"))
     sig, some = signatures(data, offsets)
     total = np.zeros((len(sig), BANDS), np.uint64)
     for row in range(ROWS):
-        total = mix64(total * GOLD + sig[:, row::ROWS][:, :BANDS])
+        total = mix64(total * GOLD + sig[:, row: BANDS * ROWS: ROWS])
     total = mix64(total + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
     ends = np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32)
-    return {"bands": pa.ListArray.from_arrays(pa.array(ends), pa.array(total[some].ravel().view(np.int64)))}
+    bits = np.zeros((len(sig), 16 * LONGS), np.uint64)
+    bits[:, :COORDINATES] = sig & np.uint64(15)
+    packed = (bits.reshape(len(sig), LONGS, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64)
+    every = np.arange(len(sig) + 1, dtype=np.int32) * LONGS
+    return {
+        "bands": pa.ListArray.from_arrays(pa.array(ends), pa.array(total[some].ravel().view(np.int64))),
+        "bits": pa.ListArray.from_arrays(pa.array(every), pa.array(packed.ravel().view(np.int64))),
+    }
+
+
+def agreeing(one: str, two: str) -> Column:
+    """In how many coordinates the packed bits of two signatures agree."""
+
+    def apart(i: int) -> Column:
+        x = F.col(one)[i].bitwiseXOR(F.col(two)[i])
+        folded = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseOR(F.shiftrightunsigned(x, 3))
+        return F.bit_count(folded.bitwiseAND(F.lit(0x1111111111111111)))
+
+    return F.lit(COORDINATES) - sum((apart(i) for i in range(1, LONGS)), apart(0))
 
 
 def likeness(a: bytes, b: bytes) -> float:
-    """Weighted Jaccard likeness of two texts: shared cells of all cells."""
+    """Weighted Jaccard likeness of two texts: the weight they share of the weight they cover."""
     joined = np.frombuffer(a + b, np.uint8)
-    rows, keys = cells(joined, np.array([0, len(a), len(a) + len(b)]))
-    n, m = int((rows == 0).sum()), int((rows == 1).sum())
-    shared = len(np.intersect1d(keys[:n], keys[n:], assume_unique=True))
-    return shared / (n + m - shared) if n + m else 0.0
+    rows, keys, width = cells(joined, np.array([0, len(a), len(a) + len(b)]))
+    n = int((rows == 0).sum())
+    _, mine, other = np.intersect1d(keys[:n], keys[n:], assume_unique=True, return_indices=True)
+    shared = np.minimum(width[:n][mine], width[n:][other]).sum()
+    total = width.sum() - shared
+    return float(shared / total) if total else 0.0
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -149,21 +182,17 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _classed(entries: DataFrame, classes: DataFrame | None) -> DataFrame:
-    """Band entries (bucket, key) with the class of each key so far."""
-    if classes is None:
-        return entries.withColumn("class_key", F.col("key"))
+def _classed(entries: DataFrame, classes: DataFrame) -> DataFrame:
+    """Band entries (bucket, leader, key) with the class of each key so far."""
     return entries.join(classes, "key", "left").select(
-        "bucket", "key", F.coalesce("class_key", "key").alias("class_key")
+        "bucket", "leader", "key", F.coalesce("class_key", "key").alias("class_key")
     )
 
 
 def _open(entries: DataFrame) -> DataFrame:
-    """Entries of buckets that hold keys of different classes, and each bucket's smallest key as its leader."""
-    sums = entries.groupBy("bucket").agg(
-        F.min("key").alias("leader"), F.min("class_key").alias("_low"), F.max("class_key").alias("_high")
-    ).where("_low <> _high").select("bucket", "leader")
-    return entries.join(sums, "bucket")
+    """Entries of buckets that hold keys of different classes."""
+    sums = entries.groupBy("bucket").agg(F.min("class_key").alias("_low"), F.max("class_key").alias("_high"))
+    return entries.join(sums.where("_low <> _high").select("bucket"), "bucket")
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -172,11 +201,16 @@ def near_classes(docs: DataFrame) -> DataFrame:
     ``n_links`` counts the verified links of the document's text to other texts.
     """
     given = docs.select("doc_id", F.unhex(F.md5(whole_text())).alias("key"), whole_text().alias("_text"))
-    signed = saved(map_slices(given, "_text", "bands array<bigint>", bands, ["doc_id", "key"]), "signed")
+    signed = saved(map_slices(given, "_text", "bands array<bigint>, bits array<bigint>", bands, ["doc_id", "key"]), "signed")
     nodes = signed.groupBy("key").agg(F.min("doc_id").alias("first_id"))
     shared = signed.select("key", F.explode("bands").alias("bucket")).distinct()
-    crowded = shared.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket")
-    entries = saved(shared.join(crowded, "bucket").select("bucket", "key"), "entries")
+    crowded = shared.groupBy("bucket").agg(F.count(F.lit(1)).alias("company")).where("company > 1")
+    met = saved(shared.join(crowded, "bucket").select("bucket", "key", "company"), "entries")
+    company = met.groupBy("key").agg(F.sum("company").alias("hub"))
+    leaders = met.join(company, "key").groupBy("bucket").agg(F.max(F.struct("hub", "key")).alias("_most"))
+    entries = saved(
+        met.join(leaders, "bucket").select("bucket", "key", F.col("_most")["key"].alias("leader")), "entries"
+    )
 
     # one text per node that shares a bucket
     wanted = nodes.join(entries.select("key").distinct(), "key")
@@ -185,8 +219,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
         .select("key", F.col("_text").alias("text")).dropDuplicates(["key"]), "texts",
     )
 
-    stars = _open(_classed(entries, None)).where("key <> leader")
-    pairs = stars.select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
+    pairs = entries.where("key <> leader").select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
     tested = saved(_verified(pairs, texts), "tested")
     links = tested.where(F.col("likeness") >= LIKENESS)
     classes = components(links)
@@ -199,13 +232,18 @@ def near_classes(docs: DataFrame) -> DataFrame:
             "far", F.when(F.col("key") == F.col("leader"), 0.0).otherwise(F.col("_far"))
         ).select("bucket", "leader", "key", "class_key", "far"), "left",
     )
+    signs = signed.select("key", "bits").join(left.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    left = saved(left.join(signs, "key"), "left")
     one, two = left.alias("one"), left.alias("two")
     rest = one.join(
         two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.key") < F.col("two.key"))
-        & (F.col("one.class_key") != F.col("two.class_key")) & (F.col("one.key") != F.col("one.leader"))
-        & (F.abs(F.col("one.far") - F.col("two.far")) <= 1 - LIKENESS + 1e-9),
+        & (F.col("one.class_key") != F.col("two.class_key"))
+        & (F.col("one.key") != F.col("one.leader")) & (F.col("two.key") != F.col("two.leader"))
+        & (F.abs(F.col("one.far") - F.col("two.far")) <= 1 - LIKENESS + 1e-9)
+        & (agreeing("one.bits", "two.bits") >= LEAST_AGREEING),
     ).select(F.col("one.key").alias("a"), F.col("two.key").alias("b")).distinct()
-    rest = rest.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    known_pairs = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = rest.join(known_pairs, ["a", "b"], "left_anti")
     more = saved(_verified(rest, texts), "tested").where(F.col("likeness") >= LIKENESS)
     if not more.isEmpty():
         links = links.unionByName(more)
