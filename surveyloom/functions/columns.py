@@ -42,8 +42,8 @@ def as_flag(df: DataFrame, name: str) -> Column:
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.StringType):
         return flag_int(named(name))
-    if isinstance(dtype, T.IntegerType):
-        return named(name)
+    if isinstance(dtype, T.NumericType):
+        return F.when(named(name).isin(0, 1), named(name).cast("int"))
     return named(name).try_cast("int")
 
 

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from .columns import named
 
-# A map literal is searched entry by entry for each row, so longer maps become a join.
-MAP_LITERAL_ENTRIES = 64
-
 TextRule = tuple[str, "str | Sequence[str]", str]
 
 
@@ -64,9 +61,10 @@ def recode(year: Column, value: Column, rules: Sequence[tuple[int, Sequence[str]
 
 
 def map_values(value: Column, labels: Mapping[str, str], keep_unmapped: bool = False) -> Column:
-    """Mapped label; an unmapped value stays as it is or becomes null."""
-    if len(labels) > MAP_LITERAL_ENTRIES:
-        raise ValueError("long maps go through map_by_table")
+    """Mapped label; an unmapped value stays as it is or becomes null.
+
+    The literal is searched entry by entry for each row; ``map_by_table`` joins a long list instead.
+    """
     table = F.create_map(*[F.lit(x) for x in chain.from_iterable(labels.items())])
     mapped = table[value]
     return F.coalesce(mapped, value) if keep_unmapped else mapped

@@ -22,14 +22,15 @@ from ..sources.files import read_csv, write_parquet
 MappingRow = tuple[str, int, str, str]
 
 
-def read_mapping(spark: SparkSession, path: str) -> list[MappingRow]:
-    """Mapping rows ``edition,step,source,target`` from a CSV file.
+def read_mapping(spark: SparkSession, path: str, editions: Sequence[str] = ()) -> list[MappingRow]:
+    """Distinct mapping rows ``edition,step,source,target`` from a CSV file, of the given editions if any are named.
 
-    These are names of columns, a few hundred at most, and become driver metadata.
+    These are names of columns and become driver metadata, as the columns themselves are.
     """
-    rows = read_csv(spark, path).select("edition", "step", "source", "target").limit(100_001).collect()
-    if len(rows) > 100_000:
-        raise ValueError("a mapping holds column names; this file holds something else")
+    table = read_csv(spark, path).select("edition", "step", "source", "target")
+    if editions:
+        table = table.where(F.col("edition").cast("string").isin(*[str(e) for e in editions]))
+    rows = table.distinct().collect()
     return [(str(r.edition), int(r.step), r.source, r.target) for r in rows]
 
 

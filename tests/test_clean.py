@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from surveyloom.functions.columns import clean_header_text, coerce_number, flag_int, is_ticked, normalise_text, percent
+from surveyloom.functions.columns import clean_header_text, coerce_number, flag_int, is_ticked, normalise_text, percent, as_flag
 from surveyloom.functions.names import clean_header, normalise_name
 from surveyloom.functions.rules import map_by_table, map_values
 from surveyloom.operators import clean, harmonise, profile, reshape, unify
@@ -107,8 +107,8 @@ def test_label_maps(spark, rows):
     twice = spark.createDataFrame([("a", "B"), ("a", "A")], "source string, target string")
     with pytest.raises(ValueError):
         map_by_table(df, "v", twice, "v")
-    with pytest.raises(ValueError):
-        map_values(F.col("v"), {str(i): "x" for i in range(1000)})
+    longer = {str(i): "x" for i in range(1000)} | {"a": "A"}
+    assert rows(df.select(map_values(F.col("v"), longer)))[0] == ("A",)
 
 
 def test_twin_columns(spark, rows):
@@ -171,3 +171,9 @@ def test_duplicates(spark, rows):
 def test_key_quality(spark, rows):
     df = spark.createDataFrame([(1,), (1,), (None,), (None,), (2,)], "id int")
     assert rows(profile.key_quality(df, "id")) == [(5, 2, 2, 2)]
+
+
+def test_numbers_are_flags_only_as_zero_and_one(spark, rows):
+    df = spark.createDataFrame([(0.0, 0), (1.0, 1), (0.5, 5), (1.7, -1), (None, None)], "a double, b int")
+    assert rows(df.select(as_flag(df, "a"), as_flag(df, "b"))) == sorted(
+        [(0, 0), (1, 1), (None, None), (None, None), (None, None)], key=repr)
