@@ -433,8 +433,8 @@ ORACLE.update({
     "extract_challenge_totals": _extract_totals(Q.CHALLENGES, "desafio", list(Q.CHALLENGES.values())[-1]),
     "extract_value_totals": _extract_totals(Q.VALUES, "valor", list(Q.VALUES.values())[-1]),
     "extract_maturity": f"""WITH {SURVEY} SELECT ano,
-        ROUND(100.0 * sum(coalesce(TRY_CAST({Q.DATA_LAKE} AS DOUBLE), 0)) / count(*), 1) AS pct_lake,
-        ROUND(100.0 * sum(coalesce(TRY_CAST({Q.DATA_WAREHOUSE} AS DOUBLE), 0)) / count(*), 1) AS pct_dw
+        ROUND(100.0 * sum(CASE WHEN {Q.DATA_LAKE} IN ('1', '1.0', 'TRUE') THEN 1 ELSE 0 END) / count(*), 1) AS pct_lake,
+        ROUND(100.0 * sum(CASE WHEN {Q.DATA_WAREHOUSE} = '1' THEN 1 ELSE 0 END) / count(*), 1) AS pct_dw
         FROM vw WHERE ano BETWEEN 2023 AND 2025 GROUP BY ano""",
     "extract_ai_barriers": _extract_long(Q.BARRIER_OPTIONS, "barreira"),
     "extract_ai_barriers_more": _extract_long(Q.BARRIER_OPTIONS_MORE, "barreira"),

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import unicodedata
-from functools import lru_cache
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .names import CODE_PREFIX, TUPLE_HEADER, UNSAFE_RUN
+from .names import CODE_PREFIX, TUPLE_HEADER, UNSAFE_RUN, accent_table
 
 # Spellings of a ticked and an unticked answer, and the missing category.
 TICKED_TEXT = ("1", "1.0", "true", "sim")
@@ -73,27 +69,6 @@ def percent(part: Column, whole: Column) -> Column:
     return F.round(F.try_divide(hundred * part, whole), 1).cast("double")
 
 
-@lru_cache(maxsize=1)
-def _accent_table() -> tuple[str, str]:
-    """Arguments of ``translate`` that take accents off lower-case text.
-
-    First the characters that are an ASCII letter or digit under an accent, each with its base;
-    then the combining marks, which have no counterpart and are dropped.
-    """
-    accented, bases, marks = [], [], []
-    # Planes 2 to 13 hold ideographs only.
-    for char in map(chr, chain(range(0x80, 0x20000), range(0xE0000, 0xE1000))):
-        if unicodedata.category(char) == "Mn":
-            marks.append(char)
-        elif unicodedata.decomposition(char):
-            decomposed = unicodedata.normalize("NFD", char)
-            base = "".join(c for c in decomposed if unicodedata.category(c) != "Mn")
-            if base.isascii() and (base.islower() or base.isdigit()):
-                accented.append(char)
-                bases.append(base)
-    return "".join(accented + marks), "".join(bases)
-
-
 def normalise_text(text: Column) -> Column:
     """The rule of ``normalise_name`` as an expression over data.
 
@@ -101,7 +76,7 @@ def normalise_text(text: Column) -> Column:
     """
     lower = F.lower(text)
     ascii_only = F.char_length(text) == F.octet_length(text)
-    plain = F.when(ascii_only, lower).otherwise(F.translate(lower, *_accent_table()))
+    plain = F.when(ascii_only, lower).otherwise(F.translate(lower, *accent_table()))
     return F.btrim(F.regexp_replace(plain, UNSAFE_RUN, "_"), F.lit("_"))
 
 

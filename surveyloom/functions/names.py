@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterable, Mapping, Sequence
+from functools import lru_cache
+from itertools import chain
 
 # The header formats of the editions.
 TUPLE_HEADER = r"""^\(\s*(['"])(.*?)\1\s*,\s*(['"])(.*)\3\s*\)$"""
@@ -14,11 +16,36 @@ UNSAFE_RUN = r"[^a-z0-9]+"
 Step = dict[str, str]
 
 
+@lru_cache(maxsize=1)
+def accent_table() -> tuple[str, str]:
+    """Arguments of ``translate`` that take accents off lower-case text.
+
+    First the characters that are an ASCII letter or digit under an accent, each with its base;
+    then the combining marks, which have no counterpart and are dropped.
+    """
+    accented, bases, marks = [], [], []
+    # Planes 2 to 13 hold ideographs only.
+    for char in map(chr, chain(range(0x80, 0x20000), range(0xE0000, 0xE1000))):
+        if unicodedata.category(char) == "Mn":
+            marks.append(char)
+        elif unicodedata.decomposition(char):
+            decomposed = unicodedata.normalize("NFD", char)
+            base = "".join(c for c in decomposed if unicodedata.category(c) != "Mn")
+            if base.isascii() and (base.islower() or base.isdigit()):
+                accented.append(char)
+                bases.append(base)
+    return "".join(accented + marks), "".join(bases)
+
+
+@lru_cache(maxsize=1)
+def _unaccent() -> dict[int, int | None]:
+    accented, bases = accent_table()
+    return str.maketrans(accented[:len(bases)], bases, accented[len(bases):])
+
+
 def normalise_name(name: str) -> str:
     """Lower case, no accents, every run of other characters one underscore."""
-    decomposed = unicodedata.normalize("NFD", str(name).strip().lower())
-    plain = "".join(ch for ch in decomposed if unicodedata.category(ch) != "Mn")
-    return re.sub(UNSAFE_RUN, "_", plain).strip("_")
+    return re.sub(UNSAFE_RUN, "_", str(name).lower().translate(_unaccent())).strip("_")
 
 
 def match_key(name: str) -> str:

@@ -13,59 +13,50 @@ from ..functions.columns import FLAG_ONLY_TEXT, MISSING_TEXT, as_flag, named
 from ..session import scratch_path
 from .reshape import wide_row_to_long
 
-# Hashes of repeated keys that may be broadcast: 8 bytes each, so at most tens of megabytes.
-BROADCAST_KEYS = 2_000_000
-
 
 def _key_hash(columns: Sequence[str]) -> Column:
     return F.xxhash64(*[named(c) for c in columns])
 
 
-def repeated_hashes(
-    frames: Mapping[int, DataFrame], columns: Sequence[str], limit: int = BROADCAST_KEYS
-) -> DataFrame | None:
+def repeated_hashes(frames: Mapping[int, DataFrame], columns: Sequence[str]) -> DataFrame:
     """Hashes of keys that occur more than once in a frame, as ``(edition, _hash)``.
 
     Only a hash per row is shuffled, for all frames in one job. The hashes found are written to
-    the shared scratch folder and counted there; None stands for more than ``limit`` of them.
+    the shared scratch folder, so that Spark knows their size when they are joined.
     """
     hashed = [df.select(F.lit(label).alias("edition"), _key_hash(columns).alias("_hash")) for label, df in frames.items()]
     counted = reduce(DataFrame.union, hashed).groupBy("edition", "_hash").agg(F.count("*").alias("_n"))
     spark = counted.sparkSession
     path = scratch_path(spark, "repeats")
     counted.where("_n > 1").select("edition", "_hash").write.parquet(path)
-    stored = spark.read.schema("edition INT, _hash BIGINT").parquet(path)
-    return stored if stored.count() <= limit else None
+    return spark.read.schema("edition INT, _hash BIGINT").parquet(path)
 
 
 def split_repeats(df: DataFrame, columns: Sequence[str], repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows whose columns occur once, and rows whose columns may occur again.
 
-    ``repeated`` comes from ``repeated_hashes``, so its size is known and it is broadcast: wide
-    rows are split where they lie. Equal hashes of different values only add to the second frame.
+    ``repeated`` comes from ``repeated_hashes``. There is no broadcast hint: while the stored hashes
+    are below the session's threshold, Spark broadcasts them and wide rows are split where they lie.
+    Equal hashes of different values only add to the second frame.
     """
     marked = df.withColumn("_hash", _key_hash(columns))
-    small = F.broadcast(repeated.select("_hash"))
+    small = repeated.select("_hash")
     once = marked.join(small, "_hash", "left_anti").select(*[named(c) for c in df.columns])
     again = marked.join(small, "_hash", "left_semi").select(*[named(c) for c in df.columns])
     return once, again
 
 
 def dedup_rare_repeats(
-    df: DataFrame, key: str | Sequence[str], order: Sequence[Column | str], repeated: DataFrame | None = None,
-    limit: int = BROADCAST_KEYS,
+    df: DataFrame, key: str | Sequence[str], order: Sequence[Column | str], repeated: DataFrame | None = None
 ) -> DataFrame:
     """``dedup_by_key`` for wide rows from files, of whose keys few repeat.
 
-    Rows with a key of their own are not shuffled at all. The frame is read more than once, so
-    it should come from files, not from costly steps. Above ``limit`` repeated keys every row
-    is shuffled after all.
+    Rows with a key of their own are not ranked. The frame is read more than once, so it should
+    come from files, not from costly steps.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if repeated is None:
-        repeated = repeated_hashes({0: df}, keys, limit)
-    if repeated is None:
-        return dedup_by_key(df, keys, order)
+        repeated = repeated_hashes({0: df}, keys)
     once, again = split_repeats(df, keys, repeated)
     return once.unionByName(dedup_by_key(again, keys, order))
 
@@ -82,14 +73,15 @@ def dedup_by_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Column
 
 
 def bool_to_flag(df: DataFrame) -> DataFrame:
-    """Booleans to 1/0, and the texts TRUE and FALSE to '1' and '0', in every column."""
+    """Booleans to 1/0, and the texts TRUE and FALSE in any case to '1' and '0', in every column."""
 
     def fixed(field: T.StructField) -> Column:
         value = named(field.name)
         if isinstance(field.dataType, T.BooleanType):
             value = value.cast("int")
         elif isinstance(field.dataType, T.StringType):
-            value = F.when(value == "TRUE", "1").when(value == "FALSE", "0").otherwise(value)
+            word = F.lower(F.trim(value))
+            value = F.when(word == "true", "1").when(word == "false", "0").otherwise(value)
         return value.alias(field.name)
 
     return df.select(*[fixed(field) for field in df.schema.fields])
@@ -100,6 +92,8 @@ def _is_flag_value(field: T.StructField) -> Column | None:
     value = named(field.name)
     if isinstance(field.dataType, T.BooleanType):
         return F.when(value.isNotNull(), True)
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(value), value.isin(0, 1))  # NaN is no answer
     if isinstance(field.dataType, T.NumericType):
         return value.isin(0, 1)
     if isinstance(field.dataType, T.StringType):

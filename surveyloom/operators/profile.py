@@ -60,6 +60,8 @@ def _numeric(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
 def min_max(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column, min_value, max_value)`` of every numeric column, as doubles."""
     names = _numeric(df, columns)
+    if not names:
+        return _no_rows(df, "column STRING, min_value DOUBLE, max_value DOUBLE")
     row = df.agg(
         *[F.min(named(c)).cast("double").alias(f"min {c}") for c in names],
         *[F.max(named(c)).cast("double").alias(f"max {c}") for c in names],
@@ -67,6 +69,11 @@ def min_max(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return _paired_row_to_long(row, names, {"min_value": "min", "max_value": "max"})
 
 
+def _no_rows(df: DataFrame, schema: str) -> DataFrame:
+    """The profile of a frame without a column to profile."""
+    return df.sparkSession.createDataFrame([], schema)
+
+
 def _paired_row_to_long(row: DataFrame, names: Sequence[str], measures: dict[str, str]) -> DataFrame:
     """One summary row with ``"<prefix> <column>"`` fields to one row per column."""
     entries = [
@@ -81,9 +88,12 @@ def describe(
 ) -> DataFrame:
     """Count, mean, sample deviation, min, quartiles and max of every numeric column.
 
-    Columns with more than ``few_values`` different values take the narrowing way to quantiles.
+    ``few_values`` bounds the different values from which a quantile is read in the end.
     """
     names = _numeric(df, columns)
+    if not names:
+        doubles = ", ".join(f"{f} DOUBLE" for f in ("mean", "std", "min", *QUARTILES, "max"))
+        return _no_rows(df, f"column STRING, count BIGINT, {doubles}")
     quantiles = exact_quantiles(df, names, list(QUARTILES.values()), few_values)
     measures: list[Column] = []
     for name in names:
@@ -104,8 +114,7 @@ def describe(
 
 def _may_repeat(df: DataFrame, names: Sequence[str], wide: bool) -> DataFrame:
     """The frame, or for wide rows from files only those whose values may occur again."""
-    repeated = repeated_hashes({0: df}, names) if wide else None
-    return df if repeated is None else split_repeats(df, names, repeated)[1]
+    return split_repeats(df, names, repeated_hashes({0: df}, names))[1] if wide else df
 
 
 def duplicate_groups(df: DataFrame, columns: Sequence[str] | None = None, wide: bool = False) -> DataFrame:
@@ -130,20 +139,35 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str], row_id: str, wide: boo
 
     The first row of each group comes from a map-side combined minimum; every other row is
     found by an anti-join on the unique id, so no group of copies is ever brought together.
+    A row without an id comes after those with one; where a group has none, one row is the first
+    only if it is alone, so of rows without any id all are listed as soon as there are two.
     """
     rows = _may_repeat(df, columns, wide)
-    first = rows.groupBy(*[named(c) for c in columns]).agg(F.min(named(row_id)).alias(row_id)).select(row_id)
-    return rows.join(first, row_id, "left_anti")
+    firsts = rows.groupBy(*[named(c) for c in columns]).agg(
+        F.min(named(row_id)).alias("_first"), F.count("*").alias("_rows")
+    )
+    ids = firsts.where(F.col("_first").isNotNull()).select(F.col("_first").alias(row_id))
+    alone = firsts.where("_first IS NULL AND _rows = 1").drop("_first", "_rows")
+    with_id = rows.where(named(row_id).isNotNull()).join(ids, row_id, "left_anti")
+    without = rows.where(named(row_id).isNull()).alias("_r")
+    same = [F.col("_r." + _quoted(c)).eqNullSafe(F.col("_a." + _quoted(c))) for c in columns]
+    left = without.join(alone.alias("_a"), same, "left_anti")
+    names = [named(c) for c in df.columns]
+    return with_id.select(*names).unionByName(left.select(*names))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def key_quality(df: DataFrame, key: str) -> DataFrame:
     """Rows, distinct keys, repeats after the first, and null keys, from one count per key."""
-    per_key = df.groupBy(named(key)).agg(F.count("*").alias("n"))
+    per_key = df.groupBy(named(key).alias("_key")).agg(F.count("*").alias("_n"))
     return per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("n_rows"),
-        F.count(named(key)).alias("distinct_keys"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0).cast("bigint")).alias("duplicate_keys"),
-        F.coalesce(F.sum(F.when(named(key).isNull(), F.col("n"))), F.lit(0).cast("bigint")).alias("null_keys"),
+        F.coalesce(F.sum("_n"), F.lit(0).cast("bigint")).alias("n_rows"),
+        F.count("_key").alias("distinct_keys"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0).cast("bigint")).alias("duplicate_keys"),
+        F.coalesce(F.sum(F.when(F.col("_key").isNull(), F.col("_n"))), F.lit(0).cast("bigint")).alias("null_keys"),
     )
 
 

@@ -1,10 +1,9 @@
 """Exact quantiles with linear interpolation, for columns of any number of values.
 
-A column with few different values uses the built-in exact percentile, whose memory grows with
-the different values only. For others the two neighbouring ranks of a quantile are first
-enclosed by an approximate quantile sketch, the enclosure is checked by exact counts, and
-narrowed until few different values are left inside it; the exact values are then taken from
-those. Only summary rows reach the driver.
+The two neighbouring ranks of a quantile lie between the column's least and greatest value. This
+enclosure is narrowed by approximate quantile sketches, each checked by exact counts, until few
+different values are left inside it; the exact values are then taken from those by the built-in
+percentile, whose memory grows with the different values only. Only summary rows reach the driver.
 """
 
 from __future__ import annotations
@@ -138,8 +137,8 @@ def exact_quantiles(
     targets: list[Enclosure] = []
     for i, column in enumerate(columns):
         for p in points:
-            if row[f"d{i}"] <= few:
-                out[column, p] = F.percentile(named(column), p)
+            if not row[f"n{i}"]:
+                out[column, p] = F.lit(None).cast("double")
                 continue
             place = (row[f"n{i}"] - 1) * p
             wanted.append((column, p, place))

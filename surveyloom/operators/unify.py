@@ -13,6 +13,8 @@ from ..functions.columns import named
 from ..functions.names import common_names
 
 _WIDTH = ["byte", "short", "integer", "long", "float", "double"]
+# Decimal digits of the whole-number types.
+_DIGITS = {"byte": 3, "short": 5, "integer": 10, "long": 19}
 
 
 def tag_year(df: DataFrame, year: int, name: str = "ano") -> DataFrame:
@@ -32,7 +34,19 @@ def widest_type(types: Sequence[T.DataType]) -> T.DataType:
             isinstance(widest, T.DoubleType) is False and any(isinstance(t, T.FloatType) for t in as_numbers)
         ):
             return T.DoubleType()
+        if widest.typeName() == "double" and any(isinstance(t, T.LongType) for t in as_numbers):
+            return T.StringType()  # a double holds no whole number above 2**53 exactly
         return widest
+    if all(t.typeName() in _DIGITS or isinstance(t, T.DecimalType) for t in as_numbers):
+        scale = max(t.scale for t in as_numbers if isinstance(t, T.DecimalType))
+        digits = max(
+            t.precision - t.scale if isinstance(t, T.DecimalType) else _DIGITS[t.typeName()] for t in as_numbers
+        )
+        return T.DecimalType(digits + scale, scale) if digits + scale <= 38 else T.StringType()
+    if all(isinstance(t, (T.DateType, T.TimestampNTZType)) for t in distinct):
+        return T.TimestampNTZType()
+    if all(isinstance(t, (T.DateType, T.TimestampType)) for t in distinct):
+        return T.TimestampType()
     return T.StringType()
 
 

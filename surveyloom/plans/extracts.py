@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import as_flag, coerce_number, named, percent
 from ..functions.rules import classify, first_true, map_values
+from ..operators.clean import bool_to_flag
 from ..operators.indicators import totals_across
 from ..operators.reshape import stack_columns, ticked_options
 from ..operators.unify import tag_year, unify
@@ -18,6 +19,11 @@ from . import questionnaire as Q
 Editions = Mapping[int, DataFrame]
 
 
+def _flagged(editions: Editions) -> Editions:
+    """The editions with booleans and the texts TRUE and FALSE as 1 and 0, as the silver table has them."""
+    return {year: bool_to_flag(df) for year, df in editions.items()}
+
+
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
@@ -34,12 +40,12 @@ def current_vs_ideal(editions: Editions) -> DataFrame:
 
 def challenge_totals(editions: Editions) -> DataFrame:
     """Ticks of each manager challenge over all editions."""
-    return totals_across(editions, {label: [c] for label, c in Q.CHALLENGES.items()}, "desafio", "contagem")
+    return totals_across(_flagged(editions), {label: [c] for label, c in Q.CHALLENGES.items()}, "desafio", "contagem")
 
 
 def value_totals(editions: Editions) -> DataFrame:
     """Ticks of each valued criterion over all editions."""
-    return totals_across(editions, {label: [c] for label, c in Q.VALUES.items()}, "valor", "contagem")
+    return totals_across(_flagged(editions), {label: [c] for label, c in Q.VALUES.items()}, "valor", "contagem")
 
 
 def maturity_by_edition(editions: Editions) -> DataFrame:
@@ -53,7 +59,7 @@ def maturity_by_edition(editions: Editions) -> DataFrame:
             year,
             Q.YEAR,
         )
-        for year, df in editions.items()
+        for year, df in _flagged(editions).items()
     ]
     return _union(rows).select(Q.YEAR, "pct_lake", "pct_dw").orderBy(Q.YEAR)
 

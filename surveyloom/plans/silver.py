@@ -113,9 +113,14 @@ def build_silver(raw: Mapping[int, DataFrame], *, as_string: bool = False, **opt
     return unify(build_editions(raw, **options), "common", as_string)
 
 
-def write_silver(silver: DataFrame, path: str, year: str = "ano") -> DataFrame:
-    """Write the table split by year and read it back, so that later steps start from files."""
-    write_parquet(silver, path, year)
+def write_silver(silver: DataFrame, path: str, year: str = "ano", replace: str = "years") -> DataFrame:
+    """Write the table split by year and read it back, so that later steps start from files.
+
+    ``replace`` says what goes: the ``years`` the frame has rows of, or the whole ``table``.
+    """
+    if replace not in ("years", "table"):
+        raise ValueError("replace is 'years' or 'table'")
+    write_parquet(silver, path, year, whole=replace == "table")
     return silver.sparkSession.read.schema(silver.schema).parquet(path).select(*[named(c) for c in silver.columns])
 
 

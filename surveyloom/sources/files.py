@@ -3,14 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import named
+from ..operators.unify import unify
+
 
 def csv_schema(spark: SparkSession, path: str, multi_line: bool = True) -> T.StructType:
     """Schema inferred by one pass; keep it and hand it to ``read_csv`` to spare later passes."""
-    return _csv(spark, multi_line).option("inferSchema", True).csv(path).schema
+    return read_csv(spark, path, None, multi_line).schema
+
+
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, header)`` with the first line of each file, from one pass over the lines."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    return lines.where("block = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+
+
+def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """File names of each header where headers differ, else nothing; names only, no rows."""
+    headers = csv_headers(spark, path)
+    if headers.agg(F.count_distinct("header")).first()[0] < 2:
+        return []
+    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return sorted([unquote(name) for name in row["files"]] for row in groups.collect())
 
 
 def _csv(spark: SparkSession, multi_line: bool):
@@ -21,17 +44,39 @@ def _csv(spark: SparkSession, multi_line: bool):
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
 ) -> DataFrame:
-    """One edition with a header row.
+    """One edition with a header row, as one file or many.
 
+    Columns go by name: files whose headers differ are read under their own headers and stacked,
+    with null where a file lacks a column. With a schema, columns it doesn't list are left out.
     A file whose quoted fields may span lines is read by one task, so a large edition should
     arrive as many files; ``multi_line=False`` lets Spark split files that have no such field.
     """
-    schema = schema or csv_schema(spark, path, multi_line)
-    return _csv(spark, multi_line).schema(schema).csv(path)
+
+    def part(files: str | list[str]) -> DataFrame:
+        if schema is None:
+            kinds = _csv(spark, multi_line).option("inferSchema", True).csv(files).schema
+        else:
+            kinds = schema
+            if not isinstance(files, str):
+                kinds = T.StructType([
+                    schema[name] if name in schema.names else T.StructField(name, T.StringType())
+                    for name in _csv(spark, multi_line).csv(files).columns
+                ])
+        return _csv(spark, multi_line).schema(kinds).csv(files)
+
+    groups = _files_by_header(spark, path)
+    if not groups:
+        return part(path)
+    frame = unify(dict(enumerate(map(part, groups))), "outer", lead=())
+    if schema is None:
+        return frame
+    return frame.select(*[
+        (named(f.name) if f.name in frame.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+    ])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Extract with a header row, without an index column."""
+    """Extract with a header row, without an index column. Empty texts are read back as null."""
     writer = df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
     for side in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
         writer = writer.option(side, False)
@@ -43,15 +88,15 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_parquet(
-    df: DataFrame, path: str, partition_by: str | Sequence[str] = (), rows_per_file: int = 0
+    df: DataFrame, path: str, partition_by: str | Sequence[str] = (), rows_per_file: int = 0, whole: bool = False
 ) -> None:
-    """Overwrite a dataset; of a partitioned one, only the partitions the frame has rows for.
+    """Overwrite a dataset; of a partitioned one, unless ``whole``, only the partitions the frame has rows for.
 
     Tasks write their own rows, without a shuffle by partition value, so one year that holds
     most rows is written by many tasks.
     """
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     if keys:

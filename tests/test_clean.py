@@ -1,17 +1,18 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveyloom.functions.columns import clean_header_text, coerce_number, flag_int, is_ticked, normalise_text, percent, as_flag
 from surveyloom.functions.names import clean_header, normalise_name
 from surveyloom.functions.rules import map_by_table, map_values
 from surveyloom.operators import clean, harmonise, profile, reshape, unify
+from surveyloom.operators.unify import widest_type
 
 
 def test_dedup_keeps_the_first_and_one_null_key(spark, rows):
     df = spark.createDataFrame([("a", 2), ("a", 1), (None, 5), (None, 4), ("b", 3)], "id string, v int")
     assert rows(clean.dedup_by_key(df, "id", ["v"])) == [("a", 1), ("b", 3), (None, 4)]
     assert rows(clean.dedup_rare_repeats(df, "id", ["v"])) == [("a", 1), ("b", 3), (None, 4)]
-    assert rows(clean.dedup_rare_repeats(df, "id", ["v"], limit=0)) == [("a", 1), ("b", 3), (None, 4)]
 
 
 def test_hot_key_dedup_ranks_before_the_shuffle(spark, rows):
@@ -177,3 +178,46 @@ def test_numbers_are_flags_only_as_zero_and_one(spark, rows):
     df = spark.createDataFrame([(0.0, 0), (1.0, 1), (0.5, 5), (1.7, -1), (None, None)], "a double, b int")
     assert rows(df.select(as_flag(df, "a"), as_flag(df, "b"))) == sorted(
         [(0, 0), (1, 1), (None, None), (None, None), (None, None)], key=repr)
+
+
+def test_true_and_false_in_any_case(spark, rows):
+    df = spark.createDataFrame([("TRUE",), (" true ",), ("False",), ("Sim",), (None,)], "t string")
+    assert [r[0] for r in clean.bool_to_flag(df).collect()] == ["1", "1", "0", "Sim", None]
+
+
+def test_nan_is_no_answer(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (float("nan"), 0.5), (0.0, 0.0), (None, None)], "a double, b double")
+    assert clean.binary_columns(df) == ["a"]
+
+
+def test_profiles_without_numeric_columns(spark):
+    df = spark.createDataFrame([("x",)], "t string")
+    assert profile.describe(df).collect() == [] and profile.min_max(df).collect() == []
+
+
+def test_describe_a_column_without_values(spark):
+    row = profile.describe(spark.createDataFrame([(None,)], "x int")).first()
+    assert (row["count"], row["q50"], row["max"]) == (0, None, None)
+
+
+def test_key_named_n(spark, rows):
+    df = spark.createDataFrame([(1,), (1,), (None,)], "n int")
+    assert rows(profile.key_quality(df, "n")) == [(3, 1, 1, 1)]
+
+
+def test_duplicate_rows_without_ids(spark, rows):
+    data = [(1, "a"), (None, "a"), (None, "b"), (None, "c"), (None, "c"), (2, None), (3, None)]
+    df = spark.createDataFrame(data, "id int, v string")
+    found = [tuple(r) for r in profile.duplicate_rows(df, ["v"], "id").collect()]
+    assert sorted(found, key=str) == sorted([(None, "a"), (None, "c"), (None, "c"), (3, None)], key=str)
+
+
+def test_widest_types():
+    long, double, date = T.LongType(), T.DoubleType(), T.DateType()
+    assert widest_type([T.IntegerType(), T.DecimalType(6, 2)]) == T.DecimalType(12, 2)
+    assert widest_type([T.DecimalType(20, 4), T.DecimalType(6, 2)]) == T.DecimalType(20, 4)
+    assert widest_type([long, T.DecimalType(38, 30)]) == T.StringType()
+    assert widest_type([date, T.TimestampType()]) == T.TimestampType()
+    assert widest_type([date, T.TimestampNTZType()]) == T.TimestampNTZType()
+    assert widest_type([T.IntegerType(), double]) == double
+    assert widest_type([long, double]) == T.StringType()
