@@ -7,8 +7,12 @@ support vector machine (squared hinge) is trained on the sentences of labelled d
 much as its worst word; which sentences and words of a toxic document carry its label is found by
 multiple-instance rounds: train, keep those with a positive margin (the best at least), train again.
 
+The last rounds learn inserted letters: the ``WIDENED`` words that carry most toxic documents' labels, of those that
+carry a ``WIDE_SHARE`` of the most at least, join as positives with a letter inserted at each inner place, and as
+landmarks with an open place there. Words of fewer documents are not widened, as many of them carry labels by chance.
+
 The kernel used is a power of that sum, which is a kernel too and tells words apart more sharply. The score of a document is a logistic curve,
-fitted on the training documents, of its worst word's margin.
+fitted on the training documents, of its worst word's margin, where margins end at 1, the machine's aim.
 
 The training sample is bounded: ``MOST_TOXIC`` and ``MOST_CLEAN`` labelled documents of at most ``MOST_CHARS``
 characters, first by the hash of their id. Scoring covers every whole text.
@@ -40,7 +44,12 @@ LONGEST = 24
 THRESHOLD = 0.7
 ROUNDS = 4
 RIDGE = 1e-3
-POWER = 3
+POWER = 2
+WIDENED = 48
+WIDE_SHARE = 0.25
+# Weight of a widened word's variants together against the word's own documents, and their rounds' part of the ridge.
+WIDE_WEIGHT = 3.0
+WIDE_RIDGE = 0.1
 ONCE = 20_000
 CACHE_WORDS = 1_000_000
 
@@ -53,9 +62,14 @@ _DECAYS = (DECAY ** np.arange(8)).astype(np.float32)
 _EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _FLOOR = 0.0
 _NEVER = -9.0
+_CEILING = 1.0
+_OPEN = "\0"  # a place for any letter; no word has this symbol
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
 def _symbol(c: str) -> int:
+    if c == _OPEN:
+        return 0
     if "a" <= c <= "z":
         return 2 + ord(c) - 97
     return 28 if c.isdigit() else 29 + ord(c) % 3
@@ -87,6 +101,18 @@ def tokens(text: str) -> set[str]:
     return found
 
 
+def opened(word: str) -> list[str]:
+    """The word with an open place at each inner place; words of three characters or fewer are left alone."""
+    return [word[:k] + _OPEN + word[k:] for k in range(1, len(word))] if len(word) > 3 else []
+
+
+def variants(word: str) -> list[str]:
+    """The word with a letter inserted at each inner place, three letters a place."""
+    return [
+        w.replace(_OPEN, _LETTERS[(7 * k + 11 * j + len(word)) % 26]) for k, w in enumerate(opened(word), 1) for j in range(3)
+    ]
+
+
 def triples(words: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For words of each length: their places in the list, triple codes, triple weights, and the kernel's norms."""
     by_length: dict[int, list[int]] = {}
@@ -146,7 +172,7 @@ class Model:
         self.gain_weights, self.loss_weights = self.weights[gains], self.weights[~gains]
 
     def margins(self, words: list[str]) -> np.ndarray:
-        """Margins of words, those below ``_FLOOR`` raised to it.
+        """Margins of words, those below ``_FLOOR`` raised to it and those above ``_CEILING`` lowered.
 
         The landmarks of positive weight bound a margin from above; the others are looked up only for words whose
         bound exceeds the floor.
@@ -155,7 +181,7 @@ class Model:
         unsure = np.flatnonzero(bound > _FLOOR)
         if len(unsure):
             bound[unsure] += _kernel([words[i] for i in unsure], self.loss) @ self.loss_weights
-        return np.maximum(bound, _FLOOR)
+        return np.clip(bound, _FLOOR, _CEILING)
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
         made = 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -40, 40)))
@@ -173,7 +199,7 @@ def _kernel(words: list[str], marks: Marks) -> np.ndarray:
         for start in range(0, len(places), 256):
             here = slice(start, start + 256)
             sums = np.matmul(weight, marks.dense[seats[here]]) / norm[here][:, None]
-            out[places[here]] = sums * sums * sums if POWER == 3 else sums**POWER
+            out[places[here]] = sums**POWER
     return out
 
 
@@ -201,6 +227,16 @@ def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: floa
     return w
 
 
+def _root(marks: list[str], tables_of: np.ndarray) -> np.ndarray:
+    """The inverse root of the landmarks' kernel, which makes features of a word's kernel with them."""
+    values, vectors = np.linalg.eigh(_kernel(marks, Marks(tables_of)).astype(np.float64))
+    return vectors / np.sqrt(np.maximum(values, 1e-2))
+
+
+def _features(words: list[str], tables_of: np.ndarray, root: np.ndarray) -> np.ndarray:
+    return np.concatenate([_kernel(words, Marks(tables_of)) @ root, np.ones((len(words), 1))], axis=1).astype(np.float32)
+
+
 def train(sample: list[tuple[str, int]]) -> Model:
     """Learn from (text, label) rows; the order of rows doesn't matter."""
     sample = sorted((text, label) for text, label in sample)
@@ -246,9 +282,8 @@ def train(sample: list[tuple[str, int]]) -> Model:
             worst = negative[np.lexsort((np.arange(len(negative)), -f[negative]))] if turn else negative[:: max(1, len(negative) * 4 // LANDMARKS)]
             marks = list(dict.fromkeys([*marks, *worst[: LANDMARKS // 4]]))
             tables_of = _tables([words[i] for i in marks])
-            values, vectors = np.linalg.eigh(_kernel([words[i] for i in marks], Marks(tables_of)).astype(np.float64))
-            root = vectors / np.sqrt(np.maximum(values, 1e-2))
-            x = np.concatenate([_kernel(words, Marks(tables_of)) @ root, np.ones((len(words), 1))], axis=1).astype(np.float32)
+            root = _root([words[i] for i in marks], tables_of)
+            x = _features(words, tables_of, root)
         positive = np.flatnonzero(strength > 0)
         if not len(positive):
             return NOTHING_LEARNT
@@ -256,7 +291,8 @@ def train(sample: list[tuple[str, int]]) -> Model:
         y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
         weight = np.concatenate([np.sqrt(strength[positive]), np.sqrt(clean_in[negative])])
         weight[: len(positive)] *= 0.5 * weight[len(positive):].sum() / weight[: len(positive)].sum()
-        w = _squared_hinge(x[rows], y, weight, ridge=RIDGE * max(1.0, MOST_CLEAN / len(sample)) * weight.sum())
+        ridge = RIDGE * max(1.0, MOST_CLEAN / len(sample)) * weight.sum()
+        w = _squared_hinge(x[rows], y, weight, ridge)
         f = x @ w
         # each toxic sentence's positive words carry the label; the worst of the document's words does at least
         strength[:] = 0
@@ -266,6 +302,35 @@ def train(sample: list[tuple[str, int]]) -> Model:
                 free = free[clean_in[free] == 0]
                 if len(free):
                     strength[free[f[free] > 0] if (f[free] > 0).any() else free[[np.argmax(f[free])]]] += 1
+    learnt = np.flatnonzero((strength >= max(least, WIDE_SHARE * strength.max())) & (f > 0))
+    learnt = learnt[np.lexsort((learnt, -strength[learnt]))][:WIDENED]
+    wide: dict[str, float] = {}  # inserted forms, without those that some training document has
+    for at in learnt:
+        made = [v for v in variants(words[at]) if v not in number]
+        wide |= {v: strength[at] / len(made) for v in made}
+    if wide:
+        every = [*words, *wide]
+        positive = np.flatnonzero(strength > 0)
+        rows = np.concatenate([positive, np.arange(len(words), len(every)), negative])
+        gains = len(positive) + len(wide)
+        y = np.concatenate([np.ones(gains), -np.ones(len(negative))])
+        weight = np.concatenate([
+            np.sqrt(strength[positive]), WIDE_WEIGHT * np.array(list(wide.values())), np.sqrt(clean_in[negative]),
+        ])
+        weight[:gains] *= 0.5 * weight[gains:].sum() / weight[:gains].sum()
+        ridge = WIDE_RIDGE * RIDGE * max(1.0, MOST_CLEAN / len(sample)) * weight.sum()
+        names = [*[words[i] for i in marks], *[w for at in learnt for w in opened(words[at])]]
+        for turn in range(2):
+            if turn:  # clean words that look like inserted forms join the landmarks
+                worst = negative[np.lexsort((np.arange(len(negative)), -f[negative]))]
+                names += [words[i] for i in worst[: LANDMARKS // 2]]
+            names = list(dict.fromkeys(names))
+            tables_of = _tables(names)
+            root = _root(names, tables_of)
+            x = _features(every, tables_of, root)
+            w = _squared_hinge(x[rows], y, weight, ridge)
+            f = (x @ w)[: len(words)]
+    f = np.minimum(f, _CEILING)
     alpha = root @ w[:-1]
     margin = np.array([max((max(f[s].max(), _FLOOR) for s in bag), default=_NEVER) for bag in bags])
     seen = margin > _NEVER

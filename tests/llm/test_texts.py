@@ -163,6 +163,24 @@ def test_toxicity_held_out(spark):
     assert model.probability(toxicity._score_slice(model, [f"the and {w} of" for w in hidden])).min() > 0.7
 
 
+def test_toxicity_of_inserted_letters(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic IS NOT NULL")
+    model = toxicity.train(toxicity.training_rows(docs, labels))
+    insults = "disgusting trash stupid pathetic clown worthless idiot loser scum moron".split()
+    inserted = [w[:k] + c + w[k:] for w in insults for k in range(1, len(w)) for c in "abcdefghijklmnopqrstuvwxyz"]
+    hidden = model.probability(toxicity._score_slice(model, [f"the and {w} of" for w in inserted]))
+    assert (hidden >= toxicity.THRESHOLD).mean() > 0.95
+    # held-out toxic documents, each insult written with an inserted letter
+    test = docs.join(labels.where("toxic = 1").select("doc_id"), "doc_id").where(toxicity.held_out())
+    insult = re.compile(rf"\b({'|'.join(insults)})\b", re.IGNORECASE)
+    texts = [r.text for r in test.select("text").collect() if insult.search(r.text or "")]
+    changed = [insult.sub(lambda m: m[0][:2] + "xq"[len(m[0]) % 2] + m[0][2:], t) for t in texts]
+    found = model.probability(toxicity._score_slice(model, changed))
+    assert len(texts) > 50 and (found >= toxicity.THRESHOLD).mean() > 0.95
+
+
 def test_held_out_is_crc(spark):
     frame = spark.range(50).withColumnRenamed("id", "doc_id").select("doc_id", toxicity.held_out().alias("h"))
     assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in frame.collect())
