@@ -4,6 +4,10 @@ Each document is measured and held against a few rules. Failures are then counte
 document), each host's failure rate is shrunk towards all hosts' rates by a beta prior fitted to them, and a host
 whose shrunk rate of a rule is above a limit is rejected, with every document it has.
 
+The pipeline's stage (``keep_good``) also rejects single documents: those that fail a rule themselves, where the bar
+of symbols, repeated lines and word length is tightened by the host's shrunk rate of that rule. The query's columns
+hold the host verdict alone, as its SQL has it.
+
 Defined cases: a null text has no words; a null source is a host of its own; repeated rows each count and each get
 a row; an empty table gives an empty result; columns beyond the needed ones are ignored.
 """
@@ -108,7 +112,10 @@ def host_verdicts(rates: DataFrame, host: str = "source", limit: float = HOST_LI
     # one row of moments, broadcast as a single row
     worst = F.greatest(*[shrunk(name) for name in names])
     joined = rates.join(F.broadcast(moments), F.lit(True))
-    return joined.select(host, worst.alias("host_rate"), (worst > limit).alias("host_rejected"))
+    return joined.select(
+        host, worst.alias("host_rate"), (worst > limit).alias("host_rejected"),
+        *[shrunk(name).alias(f"rate_{name}") for name in names],
+    )
 
 
 def judge(measured: DataFrame, verdicts: DataFrame, host: str = "source") -> DataFrame:
@@ -119,6 +126,30 @@ def judge(measured: DataFrame, verdicts: DataFrame, host: str = "source") -> Dat
     return joined.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("host_rejected"), F.lit(False)))
 
 
+def document_failed() -> Column:
+    """Whether a document fails a rule itself; ``1 - rate`` of its host scales the bars of the rules beyond the base."""
+    words = F.col("n_words")
+
+    def slack(name: str) -> Column:
+        return F.lit(1.0) - F.least(F.lit(1.0), F.col(f"rate_{name}"))
+
+    long = slack("word_length")
+    return (
+        base_failed()
+        | (F.col("n_symbols") * 10 > words * slack("symbols"))
+        | (F.col("n_dup_lines") * 10 > words * slack("duplicate_lines"))
+        | (F.col("word_chars") * long < words * 2)
+        | (F.col("word_chars") > words * 12 * long)
+    )
+
+
+def kept_documents(measured: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The measured documents that neither fail a rule themselves nor come from a rejected host."""
+    other = verdicts.withColumnRenamed("source", "_host")
+    joined = measured.join(other, measured["source"].eqNullSafe(other["_host"]), "left")
+    return joined.where(~document_failed() & ~F.col("host_rejected"))
+
+
 def quality(docs: DataFrame) -> DataFrame:
     """Measures and verdicts of every document, without its text."""
     measured = saved(measures(docs, ["doc_id", "source"]), "quality-measures")
@@ -131,8 +162,8 @@ def keep_good(docs: DataFrame) -> DataFrame:
     narrow = measures(docs, ["doc_id", "source"])
     verdicts = saved(host_verdicts(host_rates(narrow)), "quality-hosts")
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "source", "text")
-    judged = judge(measures(kept, ["_row", "source"]), verdicts)
-    return judged.where("kept").select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    good = kept_documents(measures(kept, ["_row", "source"]), verdicts)
+    return good.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

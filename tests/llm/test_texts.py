@@ -115,6 +115,35 @@ def test_host_verdicts_shrink_small_hosts(spark):
         assert [r.source for r in found if r.host_rejected] == [odd_one[0]] * rejected
 
 
+def test_documents_that_fail_a_rule_go(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = {r.doc_id for r in quality.keep_good(docs).collect()}
+    failing, base = set(), set()
+    for row in docs.collect():
+        words, chars, symbols, lines, repeated = quality.measure((row.text or "").encode())
+        if words < 50 or repeated * 2 > words:
+            base.add(row.doc_id)
+        elif symbols * 10 > words or lines * 10 > words or chars < words * 2 or chars > words * 12:
+            failing.add(row.doc_id)
+    assert len(failing) == 68 and not kept & failing
+    good = {r.doc_id for r in spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1").collect()}
+    there = {r.doc_id for r in docs.select("doc_id").collect()}
+    assert (good & there) - base <= kept
+
+
+def test_bars_follow_the_host(spark):
+    rows = [("a", 100, 500, 6, 0, 0), ("b", 100, 500, 6, 0, 0), (None, 100, 500, 0, 0, 0)]
+    measured = spark.createDataFrame(rows, "source string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint")
+    rates = ", ".join(f"{{}} AS rate_{n}" for n in quality.rules())
+    verdicts = spark.sql(" UNION ALL ".join(
+        f"SELECT {host} AS source, false AS host_rejected, " + rates.format(0, 0, symbols, 0, 0)
+        for host, symbols in (("'a'", 0.1), ("'b'", 0.5), ("CAST(NULL AS STRING)", 0.1))
+    ))
+    found = quality.kept_documents(measured, verdicts).select(measured["source"]).collect()
+    assert {r[0] for r in found} == {"a", None}
+
+
 def test_template_automata():
     one = licenses.compile_template("this {{2}} is [[very]] free")
     accept = lambda t: one.run(licenses.words_of(t.encode()), 0)[1]
