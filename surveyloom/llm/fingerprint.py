@@ -27,7 +27,7 @@ from surveyloom.llm.common import in_order, table, whole_text
 
 WIDTH = 5
 FRACTION = 1 / 8
-LEAST = 16
+LEAST = 128
 
 _LOWEST, _HIGHEST = -(1 << 63), (1 << 63) - 1
 # Hashes are signed: those of the lowest fraction lie below this number.

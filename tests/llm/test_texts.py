@@ -40,6 +40,22 @@ def test_fingerprints_of_all_documents(spark, docs):
     assert abs(sum(off) / len(off)) < 0.02 and max(map(abs, off)) < 0.4
 
 
+def test_likeness_of_short_and_usual_texts(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("length(text) < 20000 AND doc_id % 2 = 0")
+    given = sorted((r.doc_id, r.text or "") for r in docs.collect())
+    found = {r.doc_id: r.near_edited for r in fingerprints(docs).collect()}
+    off = []
+    for i, (doc_id, text) in enumerate(given):
+        half = len(text) // 2
+        a, b = shingles(text), shingles(text[: len(text) - half] + given[(i + 1) % len(given)][1][:half])
+        off.append(abs(found[doc_id] - len(a & b) / max(1, len(a | b))))
+        if len(a) < 128 and len(b) < 128:
+            assert off[-1] < 1e-9
+    off.sort()
+    assert off[int(len(off) * 0.95)] < 0.1 and off[-1] < 0.15
+
+
 def test_fingerprints_of_odd_rows(odd, empty):
     found = fingerprints(odd).collect()
     assert len(found) == 10 and fingerprints(empty).count() == 0
