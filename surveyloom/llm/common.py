@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -106,7 +107,8 @@ _BASE = 0xD6E8FEB86659FD93
 _powers: dict[int, np.ndarray] = {}
 
 
-def _power(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of a base, in 64 bits; short runs are kept."""
     have = _powers.get(base)
     if have is None or len(have) < n:
         steps = np.full(max(n, SLICE_BYTES + 1), base, np.uint64)
@@ -139,8 +141,8 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     stops = np.union1d(np.flatnonzero(breaks), offsets[1:])
     ends = np.minimum(stops[np.searchsorted(stops, starts, side="right")], after)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_LOWER[data] * _power(_BASE, n), dtype=np.uint64, out=total[1:])
-    back = _power(pow(_BASE, -1, 1 << 64), n)[starts]
+    np.cumsum(_LOWER[data] * powers(_BASE, n), dtype=np.uint64, out=total[1:])
+    back = powers(pow(_BASE, -1, 1 << 64), n)[starts]
     hashes = mix64((total[ends] - total[starts]) * back + (ends - starts).astype(np.uint64) * GOLD)
     rows = np.searchsorted(offsets, starts, side="right") - 1
     return rows, hashes
@@ -175,6 +177,40 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[n
     return at, hashes
 
 
+# Fewer keys than this can each hold more than its inverse of all rows.
+HEAVY_KEYS = 64
+
+
+def looked_up(rows: DataFrame, values: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of ``rows`` to ``values``, which has one row per key (null is a key), safe against hot keys.
+
+    Rows of a key that holds over one in ``HEAVY_KEYS`` of all rows stay where they are: the values of those keys,
+    fewer than ``HEAVY_KEYS`` rows, are broadcast. All other rows are shuffled. ``rows`` is read three times, so it
+    should be a written table.
+    """
+    fields = [c for c in values.columns if c not in keys]
+    named = values.select(*[F.col(k).alias(f"_at_{k}") for k in keys], *fields)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    total = rows.count()
+    heavy = saved(
+        counts.where(F.col("_rows") * HEAVY_KEYS > total).select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_heavy")),
+        "heavy",
+    )
+
+    def same(one: DataFrame, two: DataFrame, prefix: str) -> Column:
+        on = [one[k].eqNullSafe(two[f"{prefix}{k}"]) for k in keys]
+        return reduce(lambda a, b: a & b, on)
+
+    marked = rows.join(F.broadcast(heavy), same(rows, heavy, "_hot_"), "left").drop(*[f"_hot_{k}" for k in keys])
+    hot = named.join(F.broadcast(heavy), reduce(lambda a, b: a & b, [named[f"_at_{k}"].eqNullSafe(heavy[f"_hot_{k}"]) for k in keys]), "left_semi")
+    hot_rows, cold_rows = marked.where("_heavy").drop("_heavy"), marked.where("_heavy IS NULL").drop("_heavy")
+    parts = [
+        hot_rows.join(F.broadcast(hot), same(hot_rows, hot, "_at_"), "left"),
+        cold_rows.join(named, same(cold_rows, named, "_at_"), "left"),
+    ]
+    return parts[0].select(*rows.columns, *fields).unionByName(parts[1].select(*rows.columns, *fields))
+
+
 def slices_for(rows: int, per_slice: int = ROWS_PER_SLICE) -> int:
     """Slices that a group of this many rows is split into."""
     return max(1, -(-rows // per_slice))

@@ -13,5 +13,5 @@ def test_query_equals_its_sql(spark, sf_dir, name):
 
 
 def test_registered():
-    assert [f"op{n}" for n in range(1, 11)] == sorted({q.split("_")[0] for q in QUERIES} - {"pipeline"}, key=lambda q: int(q[2:]))
+    assert [f"op{n}" for n in range(1, 14)] == sorted({q.split("_")[0] for q in QUERIES} - {"pipeline"}, key=lambda q: int(q[2:]))
     assert set(QUERIES) <= set(queries())
