@@ -3,7 +3,7 @@
 A vector is cut into ``PARTS`` equal consecutive parts, and each part is replaced by the index of the nearest entry of
 its position's codebook. Codebooks start as parts of the vectors with the smallest ids and are refined by ``ROUNDS``
 rounds of assignment and replacement by the floored mean. All arithmetic is on whole numbers: a component ``x``
-becomes ``floor(256 * x)``.
+becomes ``floor(256 * x)``, in the tasks, each time the vectors are read; no copy of them is written.
 
 The nearest entry is found by equal-average search. Entries are sorted by the sum of their components. A part starts
 at its own sum's place and goes outward on both sides, one entry a step and a side. By the Cauchy-Schwarz inequality
@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,25 +49,70 @@ def largest(part_length: int) -> int:
     return math.isqrt((1 << 56) // part_length**2)
 
 
-def whole_vectors(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
-    """Rows with a usable vector, as whole numbers in ``_v``."""
-    values = F.col(vector).cast("array<double>")
-    usable = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(2.0**40)))
-    kept = vectors.where(F.col(vector).isNotNull() & (F.size(vector) > 0) & (F.size(vector) % PARTS == 0) & usable)
-    made = kept.withColumn("_v", F.transform(values, lambda x: F.floor(x * SCALE)))
-    limit = F.lit(1 << 56) / F.pow(F.size("_v") / PARTS, F.lit(2))
-    return made.where(F.forall("_v", lambda x: x.cast("double") * x.cast("double") <= limit))
+def usable(column: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of an Arrow list column whose vectors have this length and can be used, and those as whole numbers."""
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    rows = np.flatnonzero((np.diff(offsets) == length) & column.is_valid().to_numpy(zero_copy_only=False))
+    if not length or not len(rows):
+        return rows[:0], np.zeros((0, length), np.int64)
+    values = column.values.to_numpy(zero_copy_only=False).astype(np.float64)  # nulls become NaN
+    scaled = np.floor(values[offsets[rows][:, None] + np.arange(length)] * SCALE)
+    fine = (np.abs(scaled) <= largest(length // PARTS)).all(axis=1)  # false for NaN and infinities
+    return rows[fine], scaled[fine].astype(np.int64)
 
 
-def first_codebooks(whole: DataFrame, key: str = "vec_id") -> np.ndarray | None:
-    """Codebooks (part, entry, component) of the vectors with the smallest ids, or None without any vector."""
-    length = whole.select(F.struct(F.col(key).isNull().alias("last"), F.col(key), F.col("_v")).alias("_at")).agg(
-        F.size(F.min("_at")["_v"]).alias("length")
-    ).first()["length"]
-    if length is None or length < 0:
+def _blocks(batches: Iterator[pa.RecordBatch], vector: str, length: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of rows with the places of those that can be used, and their whole numbers."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            part = batch.slice(start, ROWS_AT_ONCE)
+            yield part, *usable(part.column(vector), length)
+
+
+def _smallest(keys: pa.Array, whole: np.ndarray) -> np.ndarray:
+    """Places of the ``ENTRIES`` smallest keys, null last, equal keys in order of their vectors."""
+    if not len(keys):
+        return np.zeros(0, np.int64)
+    rank = pc.rank(keys, sort_keys="ascending", null_placement="at_end", tiebreaker="dense").to_numpy()
+    last = np.partition(rank, min(ENTRIES, len(rank)) - 1)[min(ENTRIES, len(rank)) - 1]
+    few = np.flatnonzero(rank <= last)
+    return few[np.lexsort((*whole[few].T[::-1], rank[few]))[:ENTRIES]]
+
+
+def first_codebooks(vectors: DataFrame, key: str, vector: str) -> np.ndarray | None:
+    """Codebooks (part, entry, component) of the vectors with the smallest ids, or None without any vector.
+
+    Each task sends its smallest ids only, ``ENTRIES`` of each length of vectors it has.
+    """
+    kind = vectors.schema[key].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple[pa.Array, np.ndarray]] = {}
+        for batch in batches:
+            lengths = np.unique(pc.list_value_length(batch.column(1)).drop_null().to_numpy())
+            for length in lengths[(lengths > 0) & (lengths % PARTS == 0)].tolist():
+                rows, whole = usable(batch.column(1), length)
+                keys = batch.column(0).take(pa.array(rows))
+                if length in best:
+                    keys, whole = pa.concat_arrays([best[length][0], keys]), np.concatenate([best[length][1], whole])
+                first = _smallest(keys, whole)
+                best[length] = keys.take(pa.array(first)), whole[first]
+        for length, (keys, whole) in best.items():
+            ends = np.arange(len(whole) + 1, dtype=np.int32) * length
+            yield pa.RecordBatch.from_arrays(
+                [keys, pa.array(np.full(len(whole), length)), pa.ListArray.from_arrays(pa.array(ends), pa.array(whole.ravel()))],
+                names=["at", "length", "v"],
+            )
+
+    given = vectors.select(key, vector)
+    firsts = saved(given.mapInArrow(run, f"at {kind.simpleString()}, length bigint, v array<bigint>"), "firsts")
+    order = [F.col("at").asc_nulls_last(), "v"]
+    first = firsts.orderBy(*order).limit(1).collect()
+    if not first:
         return None
-    rows = whole.where(F.size("_v") == length).orderBy(F.col(key).asc_nulls_last(), "_v").select("_v").limit(ENTRIES).collect()
-    start = np.array([row["_v"] for row in rows], np.int64)
+    length = first[0]["length"]
+    rows = firsts.where(F.col("length") == length).orderBy(*order).limit(ENTRIES).select("v").collect()
+    start = np.array([row["v"] for row in rows], np.int64)
     return np.ascontiguousarray(start.reshape(len(rows), PARTS, length // PARTS).transpose(1, 0, 2))
 
 
@@ -102,7 +148,7 @@ def nearest(parts: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def assign(vectors: np.ndarray, codebooks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Entry index and squared distance of every part of every vector."""
-    split = vectors.reshape(len(vectors), PARTS, -1)
+    split = vectors.reshape(len(vectors), PARTS, codebooks.shape[2])
     index = np.empty((len(vectors), PARTS), np.int64)
     far = np.empty((len(vectors), PARTS), np.int64)
     for p in range(PARTS):
@@ -110,14 +156,7 @@ def assign(vectors: np.ndarray, codebooks: np.ndarray) -> tuple[np.ndarray, np.n
     return index, far
 
 
-def _blocks(batch: pa.RecordBatch, length: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-        part = batch.slice(start, ROWS_AT_ONCE)
-        flat = part.column("_v").flatten().to_numpy(zero_copy_only=False)
-        yield part, flat.reshape(part.num_rows, length)
-
-
-def refined(whole: DataFrame, codebooks: np.ndarray) -> np.ndarray:
+def refined(vectors: DataFrame, codebooks: np.ndarray, vector: str) -> np.ndarray:
     """Codebooks after one round: each entry is the floored mean of its parts, unused ones stay."""
     length = codebooks.shape[0] * codebooks.shape[2]
     shape = codebooks.shape
@@ -125,13 +164,11 @@ def refined(whole: DataFrame, codebooks: np.ndarray) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.zeros(shape[0] * shape[1], np.int64)
         total = np.zeros((shape[0] * shape[1], shape[2]), np.int64)
-        for batch in batches:
-            for _, vectors in _blocks(batch, length):
-                index, _ = assign(vectors, codebooks)
-                seat = (index + np.arange(shape[0]) * shape[1]).ravel()
-                parts = vectors.reshape(-1, shape[2])
-                np.add.at(count, seat, 1)
-                np.add.at(total, seat, parts)
+        for _, _, whole in _blocks(batches, vector, length):
+            index, _ = assign(whole, codebooks)
+            seat = (index + np.arange(shape[0]) * shape[1]).ravel()
+            np.add.at(count, seat, 1)
+            np.add.at(total, seat, whole.reshape(-1, shape[2]))
         used = np.flatnonzero(count)
         ends = np.arange(len(used) + 1, dtype=np.int32) * shape[2]
         yield pa.RecordBatch.from_arrays(
@@ -139,7 +176,7 @@ def refined(whole: DataFrame, codebooks: np.ndarray) -> np.ndarray:
             names=["seat", "n", "sums"],
         )
 
-    sums = whole.select("_v").mapInArrow(run, "seat bigint, n bigint, sums array<bigint>")
+    sums = vectors.select(vector).mapInArrow(run, "seat bigint, n bigint, sums array<bigint>")
     wide = sums.groupBy("seat").agg(F.sum("n").alias("n"), *[F.sum(F.col("sums")[j]).alias(f"s{j}") for j in range(shape[2])])
     out = codebooks.copy().reshape(-1, shape[2])
     for row in wide.collect():  # a row per codebook entry
@@ -147,34 +184,34 @@ def refined(whole: DataFrame, codebooks: np.ndarray) -> np.ndarray:
     return out.reshape(shape)
 
 
-def trained(whole: DataFrame, key: str = "vec_id", rounds: int = ROUNDS) -> np.ndarray | None:
-    codebooks = first_codebooks(whole, key)
-    if codebooks is None:
-        return None
-    mine = whole.where(F.size("_v") == PARTS * codebooks.shape[2])
-    for _ in range(rounds):
-        codebooks = refined(mine, codebooks)
+def trained(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", rounds: int = ROUNDS) -> np.ndarray | None:
+    """Codebooks (part, entry, component) after the given rounds, or None without any usable vector."""
+    codebooks = first_codebooks(vectors, key, vector)
+    for _ in range(rounds if codebooks is not None else 0):
+        codebooks = refined(vectors, codebooks, vector)
     return codebooks
 
 
-def encoded(whole: DataFrame, codebooks: np.ndarray, keep: list[str]) -> DataFrame:
-    """Columns in ``keep`` with ``code`` (two hexadecimal digits a part) and ``error``, the squared distance."""
+def encoded(vectors: DataFrame, codebooks: np.ndarray, keep: list[str], vector: str = "embedding") -> DataFrame:
+    """Columns in ``keep`` with ``code`` (two hexadecimal digits a part) and ``error``, the squared distance.
+
+    Rows whose vector can't be used are left out.
+    """
     length = PARTS * codebooks.shape[2]
     digits = np.array([f"{i:02x}" for i in range(codebooks.shape[1])], "S2")
-    kept = [f"`{name}` {whole.schema[name].dataType.simpleString()}" for name in keep]
+    kept = [f"`{name}` {vectors.schema[name].dataType.simpleString()}" for name in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, vectors in _blocks(batch, length):
-                index, far = assign(vectors, codebooks)
-                codes = digits[index].view(f"S{2 * PARTS}").ravel().astype(f"U{2 * PARTS}")
-                yield pa.RecordBatch.from_arrays(
-                    [*[part.column(name) for name in keep], pa.array(codes, pa.string()), pa.array(far.sum(axis=1))],
-                    names=[*keep, "code", "error"],
-                )
+        for part, rows, whole in _blocks(batches, vector, length):
+            index, far = assign(whole, codebooks)
+            codes = digits[index].view(f"S{2 * PARTS}").ravel().astype(f"U{2 * PARTS}")
+            picked = part.take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays(
+                [*[picked.column(name) for name in keep], pa.array(codes, pa.string()), pa.array(far.sum(axis=1))],
+                names=[*keep, "code", "error"],
+            )
 
-    mine = whole.where(F.size("_v") == length).select(*keep, "_v")
-    return mine.mapInArrow(run, ", ".join([*kept, "code string", "error bigint"]))
+    return vectors.select(*keep, vector).mapInArrow(run, ", ".join([*kept, "code string", "error bigint"]))
 
 
 def decoded(code: str, codebooks: np.ndarray) -> np.ndarray:
@@ -196,11 +233,11 @@ def op12_equal_average_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compressed(vectors: DataFrame) -> DataFrame:
     """Codes of all vectors, their errors, and the error of each label."""
-    whole = whole_vectors(vectors.select("vec_id", "label", "embedding")).select("vec_id", "label", "_v")
-    codebooks = trained(whole)
+    vectors = vectors.select("vec_id", "label", "embedding")
+    codebooks = trained(vectors)
     if codebooks is None:
         return vectors.sparkSession.createDataFrame([], CODE_COLUMNS)
-    codes = saved(encoded(whole, codebooks, ["vec_id", "label"]), "codes")
+    codes = saved(encoded(vectors, codebooks, ["vec_id", "label"]), "codes")
     errors = codes.groupBy("label").agg(F.sum("error").alias("label_error"))
     return looked_up(codes, errors, ["label"]).select(
         "vec_id", "code", "error", "label_error", F.lit(digest(codebooks)).alias("codebooks_sha256")
