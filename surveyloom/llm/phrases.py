@@ -4,17 +4,19 @@ Texts are cut into pieces at punctuation and line ends, pieces into words. Frequ
 piece, per language) are found in these steps:
 
 1. A sample of documents proposes phrases: level by level, those frequent in it by a lowered threshold.
-2. A full pass counts every proposed phrase exactly, and the negative border with it: all phrases that were not
-   proposed although both phrases of one word less within them were. All single words belong to one or the other.
-3. Border phrases that turn out frequent are the failures of the proposal. They join it, and another full pass counts
-   what this brings into reach, until no pass finds a failure. Then every frequent phrase has been counted, since a
-   frequent phrase holds only frequent phrases; the sample decides how many passes there are and nothing else.
-
-What has been proposed reaches the tasks as a bit map of phrase hashes of at most ``MOST_BITS`` bits, whatever the
-number of phrases. A phrase belongs to a pass by the bits of its two inner phrases alone, the same in every task: bits
-that collide make a pass count more phrases than needed, never fewer or in part, and a phrase is counted in exactly
-one pass. Phrases are counted per slice of rows, summed in the task, then shuffled with their text, so equality never
-rests on a hash and a phrase that occurs everywhere sends one number a task.
+2. A full pass counts every proposed phrase, and the negative border with it: all phrases that were not proposed
+   although both phrases of one word less within them were. All single words belong to one or the other.
+3. Border phrases that turn out frequent are the failures of the proposal. If there are any, an expansion pass counts
+   what they bring into reach: every phrase not counted yet, of any length, that holds no phrase known to be rare. A
+   frequent phrase holds only frequent phrases, so it has then been counted: the expansion is closed after one pass,
+   and the sample decides how much is counted and nothing else.
+4. These passes count 64-bit hashes, so that two numbers a phrase and task are shuffled. Hashes that collide add up,
+   which can only make more phrases look frequent. The last pass counts the few that are left by their whole texts.
+
+What has been proposed reaches the tasks as a bit map of phrase hashes of at most ``2 ** MOST_BITS`` bits, whatever
+the number of phrases. A phrase belongs to a pass by the bits of itself and its inner phrases alone, the same in every
+task: bits that collide make a pass count more phrases than needed, never fewer or in part, and a phrase is counted in
+one pass at most. A phrase that occurs everywhere sends one number a task.
 
 Scores are whole numbers of up to 38 digits. A candidate is dropped where a longer one as frequent holds it; it is
 enough to look at candidates of one word more, as all phrases between the two are as frequent.
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +45,7 @@ LONGEST = 5
 LEAST = 100
 TOP = 2_000
 SAMPLE = 8
-SLICE = 2 << 20
+SLICE = 1 << 19
 LEAST_BITS, MOST_BITS = 20, 28
 # Expected share of the threshold in the sample, less two standard deviations.
 LOWERED = max(2, math.floor(LEAST / SAMPLE - 2 * math.sqrt(LEAST / SAMPLE)))
@@ -95,10 +98,22 @@ class Words:
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         first = np.flatnonzero(self.runs[:n] == self.runs[size - 1:])
-        total = self.seeds[first] + np.uint64(size)
+        return first, self.combined(first, size, np.uint64(0))
+
+    def combined(self, first: np.ndarray, size: int, form: np.uint64) -> np.ndarray:
+        """A hash of the phrases that start at these words; each form is a hash of its own."""
+        total = self.seeds[first] + np.uint64(size) + form * GOLD
         for j in range(size):
-            total += self.hashes[first + j] * _FACTORS[j]
-        return first, mix64(total)
+            word = self.hashes[first + j]
+            total += (mix64(word + form) if form else word) * _FACTORS[j]
+        return mix64(total)
+
+
+def phrase_hash(lang: str, phrase: str) -> int:
+    """The hash under which a phrase of lower-case words is proposed and counted."""
+    data = np.frombuffer(phrase.encode(), np.uint8)
+    words = Words(data, np.array([0, len(data)]), np.array([lang_seed(lang)], np.uint64))
+    return int(words.phrases(len(words.starts))[1].view(np.int64)[0])
 
 
 def within(bits: np.ndarray | None, hashes: np.ndarray) -> np.ndarray:
@@ -109,43 +124,75 @@ def within(bits: np.ndarray | None, hashes: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def reached(words: Words, bits: np.ndarray | None, before: np.ndarray | None, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Phrases of this size whose two inner phrases are proposed now and were not both proposed before."""
-    first, hashes = words.phrases(size)
-    if size == 1 or not len(first):
-        return first, hashes
-    inner_first, inner = words.phrases(size - 1)
-    left = np.searchsorted(inner_first, first)
-    now, was = within(bits, inner), within(before, inner)
-    use = now[left] & now[left + 1] & ~(was[left] & was[left + 1])
-    return first[use], hashes[use]
+def in_reach(
+    words: Words, proposed: np.ndarray | None, known: np.ndarray | None, sizes: Sequence[int]
+) -> Iterator[np.ndarray]:
+    """Hashes of the phrases that a pass counts, occurrence by occurrence, size by size.
 
-
-def counted(
-    docs: DataFrame, sizes: list[int], bits: Broadcast | None, before: Broadcast | None, texts: bool
-) -> DataFrame:
-    """Occurrences of the phrases in reach: ``size``, ``hash``, ``f``, and with ``texts`` also ``lang`` and ``phrase``.
-
-    With ``texts`` and size 1, rows of size 0 hold the number of words of each language.
+    The first pass (``known`` is None) counts words, and phrases whose two inner phrases are proposed. The second
+    counts what the first left out, unless an inner phrase can't be frequent: one that was counted can if it is
+    ``known`` to be, one that was left out if its own inner phrases can.
+    """
+    first = was = can = None
+    for size in range(1, max(sizes) + 1):
+        inner_first, inner_was, inner_can = first, was, can
+        first, hashes = words.phrases(size)
+        if size == 1:
+            counted = np.ones(len(first), bool)
+        else:
+            left = np.searchsorted(inner_first, first)
+            counted = inner_was[left] & inner_was[left + 1]
+        if known is None:
+            use = counted
+        else:
+            can = within(known, hashes)
+            if size > 1:
+                can = np.where(counted, can, inner_can[left] & inner_can[left + 1])
+            use = can & ~counted
+        was = within(proposed, hashes)
+        if size in sizes:
+            yield hashes[use]
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[str]]]:
+    """The words of bounded slices of rows, and the rows' languages."""
+    for batch in batches:
+        for part in text_slices(batch, "_text", SLICE):
+            langs = part.column("lang").to_pylist()
+            seeds = {lang: lang_seed(lang) for lang in set(langs)}
+            yield Words(*text_bytes(part.column("_text")), np.array([seeds[x] for x in langs], np.uint64)), langs
+
+
+def hash_counts(docs: DataFrame, proposed: Broadcast | None, known: Broadcast | None, sizes: Sequence[int]) -> DataFrame:
+    """Occurrences ``f`` of the phrases in reach, by ``hash``: two numbers a phrase and task are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words, _ in _slices(batches):
+            found = list(in_reach(words, proposed and proposed.value, known and known.value, sizes))
+            seen, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64)), pa.array(n.astype(np.int64))], names=["hash", "n"])
+
+    made = docs.select("lang", "_text").mapInArrow(run, "hash bigint, n bigint")
+    return made.groupBy("hash").agg(F.sum("n").alias("f"))
+
+
+def text_counts(docs: DataFrame, wanted: Broadcast) -> DataFrame:
+    """Occurrences ``f`` by ``lang``, ``size`` and ``phrase`` of the phrases whose hash has its bit set.
+
+    Rows of size 0 hold the number of words of each language.
     """
-    schema = "size int, hash bigint, n bigint" + (", lang string, phrase string" if texts else "")
 
-    def run(batches):
-        for batch in batches:
-            for part in text_slices(batch, "_text", SLICE):
-                langs = part.column("lang").to_pylist()
-                seeds = {lang: lang_seed(lang) for lang in set(langs)}
-                words = Words(*text_bytes(part.column("_text")), np.array([seeds[x] for x in langs], np.uint64))
-                if texts and 1 in sizes:
-                    yield _totals(words, langs)
-                for size in sizes:
-                    first, hashes = reached(words, bits and bits.value, before and before.value, size)
-                    if len(first):
-                        yield _rows(words, langs, size, first, hashes, texts)
-
-    made = docs.select("lang", "_text").mapInArrow(run, schema)
-    keys = ["size", "hash"] + (["lang", "phrase"] if texts else [])
-    return made.groupBy(*keys).agg(F.sum("n").alias("f"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words, langs in _slices(batches):
+            yield _totals(words, langs)
+            for size in range(1, LONGEST + 1):
+                first, hashes = words.phrases(size)
+                use = within(wanted.value, hashes)
+                if use.any():
+                    yield _rows(words, langs, size, first[use], hashes[use])
+
+    made = docs.select("lang", "_text").mapInArrow(run, "size int, n bigint, lang string, phrase string")
+    return made.groupBy("size", "lang", "phrase").agg(F.sum("n").alias("f"))
 
 
 def _totals(words: Words, langs: list[str]) -> pa.RecordBatch:
@@ -153,28 +200,31 @@ def _totals(words: Words, langs: list[str]) -> pa.RecordBatch:
     totals: dict[str, int] = {}
     for lang, n in zip(langs, of_row.tolist()):
         totals[lang] = totals.get(lang, 0) + n
-    k = len(totals)
     return pa.RecordBatch.from_arrays(
-        [pa.array([0] * k, pa.int32()), pa.array([0] * k, pa.int64()), pa.array(list(totals.values()), pa.int64()),
-         pa.array(list(totals), pa.string()), pa.array([""] * k, pa.string())],
-        names=["size", "hash", "n", "lang", "phrase"],
+        [pa.array([0] * len(totals), pa.int32()), pa.array(list(totals.values()), pa.int64()),
+         pa.array(list(totals), pa.string()), pa.array([""] * len(totals), pa.string())],
+        names=["size", "n", "lang", "phrase"],
     )
 
 
-def _rows(words: Words, langs: list[str], size: int, first: np.ndarray, hashes: np.ndarray, texts: bool) -> pa.RecordBatch:
-    seen, at, n = np.unique(hashes, return_index=True, return_counts=True)
-    arrays = [pa.array(np.full(len(seen), size, np.int32)), pa.array(seen.view(np.int64)), pa.array(n.astype(np.int64))]
-    names = ["size", "hash", "n"]
-    if texts:
-        begin, end = words.text_starts[first[at]], words.text_ends[first[at] + size - 1]
-        ends = np.concatenate([[0], np.cumsum(end - begin)])
-        places = np.arange(ends[-1]) + np.repeat(begin - ends[:-1], end - begin)
-        phrase = pa.StringArray.from_buffers(
-            len(seen), pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(words.text[places].tobytes())
-        )
-        arrays += [pa.array([langs[row] for row in words.rows[first[at]]], pa.string()), phrase]
-        names += ["lang", "phrase"]
-    return pa.RecordBatch.from_arrays(arrays, names=names)
+def _rows(words: Words, langs: list[str], size: int, first: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
+    """The different phrases of a slice and their counts."""
+    begin, end = words.text_starts[first], words.text_ends[first + size - 1]
+    again = words.combined(first, size, np.uint64(1))  # 128 bits together tell phrases apart
+    order = np.lexsort((again, hashes))
+    opens = np.r_[True, (np.diff(hashes[order]) != 0) | (np.diff(again[order]) != 0)]
+    at, n = order[opens], np.diff(np.r_[np.flatnonzero(opens), len(order)])
+    begin, end = begin[at], end[at]
+    ends = np.concatenate([[0], np.cumsum(end - begin)])
+    places = np.arange(ends[-1]) + np.repeat(begin - ends[:-1], end - begin)
+    phrase = pa.StringArray.from_buffers(
+        len(at), pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(words.text[places].tobytes())
+    )
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(at), size, np.int32)), pa.array(n.astype(np.int64)),
+         pa.array([langs[row] for row in words.rows[first[at]]], pa.string()), phrase],
+        names=["size", "n", "lang", "phrase"],
+    )
 
 
 def map_size(n: int) -> int:
@@ -202,13 +252,13 @@ def proposal(given: DataFrame, lowered: int = LOWERED, one_in: int = SAMPLE) ->
     spark = given.sparkSession
     chosen = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)), F.lit(13)), F.lit(one_in)) == 0
     sample = saved(given.where(chosen).select("lang", "_text"), "sample")
-    levels = saved(counted(sample, [1], None, None, False).where(F.col("f") >= lowered).select("hash"), "proposed")
-    found = levels
+    levels = found = saved(hash_counts(sample, None, None, [1]).where(F.col("f") >= lowered).select("hash"), "proposed")
     for size in range(2, LONGEST):
-        if found.isEmpty():
+        n = found.count()
+        if not n:
             break
-        bits = spark.sparkContext.broadcast(bit_map(found, map_size(found.count())))
-        found = saved(counted(sample, [size], bits, None, False).where(F.col("f") >= lowered).select("hash"), "proposed")
+        bits = spark.sparkContext.broadcast(bit_map(found, map_size(n)))
+        found = saved(hash_counts(sample, bits, None, [size]).where(F.col("f") >= lowered).select("hash"), "proposed")
         levels = levels.unionByName(found)
     return levels
 
@@ -220,30 +270,24 @@ def frequent(docs: DataFrame, least: int = LEAST, proposed: DataFrame | None = N
     """
     spark = docs.sparkSession
     given = _words_of(docs)
+    every = range(1, LONGEST + 1)
     proposed = (proposal(given) if proposed is None else proposed).select("hash")
-    size = map_size(proposed.count())
-    bits, before, sizes, found = bit_map(proposed, size), None, list(range(1, LONGEST + 1)), []
-    while True:
-        now = spark.sparkContext.broadcast(bits)
-        was = None if before is None else spark.sparkContext.broadcast(before)
-        counts = counted(given, sizes, now, was, True)
-        found.append(saved(counts.where((F.col("f") >= least) | (F.col("size") == 0)), "frequent"))
-        failures = saved(_outside(found[-1].where(F.col("size").between(1, LONGEST - 1)), bits), "failures")
-        if failures.isEmpty():
-            break
-        # a map of the same width, so that all that was in reach stays so
-        before, bits, sizes = bits, bits | bit_map(failures, size), list(range(2, LONGEST + 1))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    bits = bit_map(proposed, map_size(proposed.count()))
+    shared = spark.sparkContext.broadcast(bits)
+    often = F.col("f") >= least
+    found = saved(hash_counts(given, shared, None, every).where(often).select("hash"), "frequent")
+    if not _outside(found, bits).isEmpty():
+        known = spark.sparkContext.broadcast(bit_map(found, map_size(4 * found.count())))
+        found = found.unionByName(saved(hash_counts(given, shared, known, every[1:]).where(often).select("hash"), "frequent"))
+    wanted = spark.sparkContext.broadcast(bit_map(found, map_size(4 * found.count())))
+    return saved(text_counts(given, wanted).where(often | (F.col("size") == 0)), "phrases")
 
 
 def _outside(found: DataFrame, bits: np.ndarray) -> DataFrame:
     """Hashes of found phrases whose bit isn't set."""
     shared = found.sparkSession.sparkContext.broadcast(bits)
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = batch.column("hash").to_numpy()
             yield pa.RecordBatch.from_arrays([pa.array(hashes[~within(shared.value, hashes.view(np.uint64))])], names=["hash"])

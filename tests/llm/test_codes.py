@@ -162,10 +162,9 @@ def test_codes_of_odd_rows(spark):
 
 def test_codes_stand_for_near_vectors(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    whole = vectors.whole_vectors(table).select("vec_id", "_v")
-    books = vectors.trained(whole)
-    given = {r.vec_id: np.array(r["_v"]) for r in whole.collect()}
-    for r in vectors.encoded(whole, books, ["vec_id"]).collect():
+    books = vectors.trained(table)
+    given = {r.vec_id: np.floor(256 * np.array(r.embedding, np.float64)) for r in table.collect()}
+    for r in vectors.encoded(table, books, ["vec_id"]).collect():
         assert ((vectors.decoded(r.code, books) - given[r.vec_id]) ** 2).sum() == r.error
 
 
@@ -232,11 +231,8 @@ def test_phrases_whatever_is_proposed(spark, wordy, share):
     rows, frame = wordy
     expected, totals = brute_phrases(rows, 12)
     rng = random.Random(1)
-    some = spark.createDataFrame([("en", 1, "none", 1)], "lang string, size int, phrase string, hash bigint").limit(0)
-    full = phrases.frequent(frame, 12, some.select("hash"))
-    if share:
-        hashes = [(r.hash,) for r in full.where("size > 0").collect() if rng.random() < share]
-        full = phrases.frequent(frame, 12, spark.createDataFrame(hashes, "hash bigint"))
+    proposed = [(phrases.phrase_hash(lang, " ".join(words)),) for lang, words in expected if rng.random() < share]
+    full = phrases.frequent(frame, 12, spark.createDataFrame(proposed, "hash bigint"))
     found = [tuple(r) for r in full.where("size > 0").select("lang", "phrase", "f").collect()]
     assert len(found) == len(set(found))
     assert {(lang, tuple(p.split(" "))): f for lang, p, f in found} == expected
@@ -275,6 +271,6 @@ def test_phrases_of_odd_rows(spark, odd, empty):
 
 
 def test_scores_beyond_64_bits(spark):
-    rows = [("en", 0, 0, "", 10**14), ("en", 1, 0, "a", 10**12 + 7), ("en", 1, 0, "b", 10**12 + 9), ("en", 2, 0, "a b", 10**12 + 1)]
-    made = phrases.collocations(spark.createDataFrame(rows, "lang string, size int, hash bigint, phrase string, f bigint")).first()
+    rows = [("en", 0, "", 10**14), ("en", 1, "a", 10**12 + 7), ("en", 1, "b", 10**12 + 9), ("en", 2, "a b", 10**12 + 1)]
+    made = phrases.collocations(spark.createDataFrame(rows, "lang string, size int, phrase string, f bigint")).first()
     assert made.score == 1000 * (10**12 + 1) * 10**14 // ((10**12 + 7) * (10**12 + 9))
