@@ -1,18 +1,17 @@
-"""Data-quality profiles. Each is one aggregate over one scan, except exact quantiles of
-columns with very many values, which narrow their search over a few scans."""
+"""Data-quality profiles. Each is one aggregate over one scan, except quantiles, which take four at most."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import named
 from .clean import repeated_hashes, split_repeats
-from .quantiles import FEW_VALUES, exact_quantiles
-from .reshape import wide_row_to_long
+from .quantiles import moments_and_quantiles
+from .reshape import literal_rows, wide_row_to_long
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -83,33 +82,16 @@ def _paired_row_to_long(row: DataFrame, names: Sequence[str], measures: dict[str
     return row.select(F.inline(F.array(*entries)))
 
 
-def describe(
-    df: DataFrame, columns: Sequence[str] | None = None, few_values: int = FEW_VALUES
-) -> DataFrame:
-    """Count, mean, sample deviation, min, quartiles and max of every numeric column.
-
-    ``few_values`` bounds the different values from which a quantile is read in the end.
-    """
+def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Count, mean, sample deviation, min, quartiles and max of every numeric column; null and NaN are no values."""
     names = _numeric(df, columns)
-    if not names:
-        doubles = ", ".join(f"{f} DOUBLE" for f in ("mean", "std", "min", *QUARTILES, "max"))
-        return _no_rows(df, f"column STRING, count BIGINT, {doubles}")
-    quantiles = exact_quantiles(df, names, list(QUARTILES.values()), few_values)
-    measures: list[Column] = []
-    for name in names:
-        value = named(name)
-        measures += [
-            F.count(value).alias(f"count {name}"),
-            F.avg(value).alias(f"mean {name}"),
-            F.stddev_samp(value).alias(f"std {name}"),
-            F.min(value).cast("double").alias(f"min {name}"),
-            F.max(value).cast("double").alias(f"max {name}"),
-        ]
-        measures += [
-            quantiles[name, p].alias(f"{label} {name}") for label, p in QUARTILES.items()
-        ]
-    fields = ["count", "mean", "std", "min", *QUARTILES, "max"]
-    return _paired_row_to_long(df.agg(*measures), names, {f: f for f in fields})
+    doubles = ", ".join(f"{f} DOUBLE" for f in ("mean", "std", "min", *QUARTILES, "max"))
+    moments, quantiles = moments_and_quantiles(df, names, list(QUARTILES.values()))
+    rows = [
+        (name, m.n, m.mean, m.std, m.low, *[quantiles[name, p] for p in QUARTILES.values()], m.high)
+        for name, m in zip(names, moments)
+    ]
+    return literal_rows(df.sparkSession, rows, f"column STRING, count BIGINT, {doubles}")
 
 
 def _may_repeat(df: DataFrame, names: Sequence[str], wide: bool) -> DataFrame:

@@ -1,9 +1,12 @@
-"""Exact quantiles with linear interpolation, for columns of any number of values.
+"""Moments and exact quantiles of many columns in at most four scans, by radix histograms.
 
-The two neighbouring ranks of a quantile lie between the column's least and greatest value. This
-enclosure is narrowed by approximate quantile sketches, each checked by exact counts, until few
-different values are left inside it; the exact values are then taken from those by the built-in
-percentile, whose memory grows with the different values only. Only summary rows reach the driver.
+A value's order key is a whole number of 64 bits that sorts as the value does. The first scan counts values by the
+top 16 bits of their keys, for all columns at once, together with the moments of each count. The counts tell in which
+of its 65,536 bins a sought place lies; the next scan counts the values of those bins by 16 more bits, and so on. A
+place whose bin holds one value only is settled at once, so columns of few values take one or two scans.
+
+Bins are counted in the task before they are shuffled, and at most 65,536 rows a column and sought bin are added up
+in order. The driver gets one row per column and per sought place.
 """
 
 from __future__ import annotations
@@ -12,143 +15,144 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import named
+from ..session import scratch_path
+
+STEP = 16
+_SMALLEST_NORMAL = 2.0**-1022
+
 
-FEW_VALUES = 100_000
-SKETCH_ACCURACY = 20_000
+def order_key(value: Column) -> Column:
+    """Whole number that orders doubles as they are ordered themselves: their bits, negated below zero."""
+    size = F.abs(value)
+    near = F.floor(F.log2(size))  # off by one at most, next to a power of two
+    power = F.pow(F.lit(2.0), near)
+    exponent = near - F.when(power > size, 1).otherwise(0) + F.when(power * 2 <= size, 1).otherwise(0)
+    fraction = (size / F.pow(F.lit(2.0), exponent) - 1) * 2.0**52
+    bits = (
+        F.when(size == 0, F.lit(0))
+        .when(size == float("inf"), F.lit(2047 << 52))
+        .when(size < _SMALLEST_NORMAL, (size * 2.0**537 * 2.0**537).cast("bigint"))
+        .otherwise((exponent + 1023) * F.lit(1 << 52) + fraction.cast("bigint"))
+    )
+    return F.when(value < 0, -bits).otherwise(bits)
 
 
 @dataclass
-class Enclosure:
-    """Values ``low..high`` known to hold the sorted places ``first..last`` of a column."""
-
-    column: str
-    first: int
-    last: int
-    low: float
-    high: float
-    below: int = 0
-    inside: int = 0
-    distinct: int = 0
-
-    def test(self) -> Column:
-        return named(self.column).between(F.lit(self.low), F.lit(self.high))
-
-    def settled(self, few: int) -> bool:
-        return self.low == self.high or self.distinct <= few
-
-
-def _count_inside(df: DataFrame, targets: Sequence[Enclosure]) -> None:
-    """Exact counts below and inside each enclosure, all in one aggregate."""
-    measures = []
-    for i, t in enumerate(targets):
-        measures += [
-            F.count_if(named(t.column) < F.lit(t.low)).alias(f"b{i}"),
-            F.count_if(t.test()).alias(f"n{i}"),
-            F.approx_count_distinct(F.when(t.test(), named(t.column))).alias(f"d{i}"),
-        ]
-    row = df.agg(*measures).first()
-    for i, t in enumerate(targets):
-        t.below, t.inside, t.distinct = row[f"b{i}"], row[f"n{i}"], row[f"d{i}"]
-
-
-def _guess(df: DataFrame, targets: Sequence[Enclosure], accuracy: int) -> list[Enclosure]:
-    """Tighter enclosures from sketches, one sketch per enclosure that targets share."""
-    margin = 2.0 / accuracy
-    points: dict[tuple, list[float]] = {}
-    for t in targets:
-        shared = points.setdefault((t.column, t.low, t.high), [])
-        shared.append(max(0.0, (t.first - t.below) / t.inside - margin))
-        shared.append(min(1.0, (t.last - t.below + 1) / t.inside + margin))
-    tests = {(t.column, t.low, t.high): t.test() for t in targets}
-    row = df.agg(*[
-        F.percentile_approx(F.when(tests[shared], named(shared[0])), at, accuracy) for shared, at in points.items()
-    ]).first()
-    values = {shared: iter(found) for shared, found in zip(points, row)}
-    out = []
-    for t in targets:
-        found = values[t.column, t.low, t.high]
-        out.append(Enclosure(t.column, t.first, t.last, next(found), next(found)))
-    return out
+class Place:
+    """A sought place of a column's sorted values: where it is inside the bin found so far."""
+
+    column: int
+    place: int
+    bin: int | None = None
+    value: float | None = None
 
 
-def _narrow(df: DataFrame, targets: Sequence[Enclosure], accuracy: int) -> list[Enclosure]:
-    """Tighter enclosures, verified by counting; an end that misses its place goes back."""
-    guesses = _guess(df, targets, accuracy)
-    _count_inside(df, guesses)
-    out, missed = [], []
-    for old, new in zip(targets, guesses):
-        low = new.low if new.below <= new.first else old.low
-        high = new.high if new.last < new.below + new.inside else old.high
-        if (low, high) != (new.low, new.high):
-            new = Enclosure(old.column, old.first, old.last, low, high)
-            missed.append(new)
-        out.append(new)
-    if missed:
-        _count_inside(df, missed)
+@dataclass
+class Moments:
+    n: int
+    mean: float | None
+    std: float | None
+    low: float | None
+    high: float | None
+
+
+def _as_double(df: DataFrame, name: str) -> Column:
+    value = named(name).cast("double")
+    return F.when(~F.isnan(value), value)  # NaN is no answer
+
+
+def _histogram(df: DataFrame, columns: Sequence[str], depth: int, sought: dict[int, set[int]] | None) -> DataFrame:
+    """Counts by the top ``depth * STEP`` key bits: of all values, or of those in the bins sought one level up."""
+    entries = []
+    for i, name in enumerate(columns):
+        if sought is not None and i not in sought:
+            continue
+        value = _as_double(df, name)
+        key = order_key(value)
+        known = value.isNotNull()
+        if sought is not None:
+            known = known & F.shiftright(key, 64 - STEP * (depth - 1)).isin(*sorted(sought[i]))
+        bin_of = F.shiftright(key, 64 - STEP * depth) if depth < 64 // STEP else key
+        entries.append(F.when(known, F.struct(F.lit(i).alias("column"), bin_of.alias("bin"), value.alias("x"))))
+    one = df.select(F.explode(F.array_compact(F.array(*entries))).alias("v")).select("v.*")
+    measures = [F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")]
+    if sought is None:
+        measures += [F.avg("x").alias("mean"), F.var_pop("x").alias("spread")]
+    counted = one.groupBy("column", "bin").agg(*measures)
+    path = scratch_path(df.sparkSession, "histogram")
+    counted.write.parquet(path)
+    return df.sparkSession.read.schema(counted.schema).parquet(path)
+
+
+def _moments(bins: DataFrame, columns: Sequence[str]) -> list[Moments]:
+    """Moments of each column, put together from those of its bins."""
+    whole = bins.groupBy("column").agg(F.sum("n").alias("total"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("centre"))
+    apart = F.col("n") * (F.col("spread") + (F.col("mean") - F.col("centre")) * (F.col("mean") - F.col("centre")))
+    rows = bins.join(whole, "column").groupBy("column").agg(
+        F.first("total").alias("n"), F.first("centre").alias("mean"), F.sum(apart).alias("squares"),
+        F.min("low").alias("low"), F.max("high").alias("high"),
+    ).collect()
+    out = [Moments(0, None, None, None, None) for _ in columns]
+    for row in rows:
+        std = math.sqrt(row["squares"] / (row["n"] - 1)) if row["n"] > 1 else None
+        out[row["column"]] = Moments(row["n"], row["mean"], std, row["low"], row["high"])
     return out
 
 
-def _enclose(df: DataFrame, targets: list[Enclosure], few: int, accuracy: int) -> list[Enclosure]:
-    while pending := [i for i, t in enumerate(targets) if not t.settled(few)]:
-        narrowed = _narrow(df, [targets[i] for i in pending], accuracy)
-        if any((new.low, new.high) == (targets[i].low, targets[i].high) for i, new in zip(pending, narrowed)):
-            accuracy *= 4
-        for i, new in zip(pending, narrowed):
-            targets[i] = new
-    return targets
-
-
-def _value_at(df: DataFrame, t: Enclosure, place: int) -> Column:
-    """The value of one sorted place, from the different values inside its enclosure."""
-    if t.low == t.high:
-        return F.lit(t.low).cast("double")
-    name, kind = "`" + t.column.replace("`", "``") + "`", df.schema[t.column].dataType.simpleString()
-    ends = f"CAST('{t.low}' AS {kind}) AND CAST('{t.high}' AS {kind})"
-    point = (place - t.below + 0.5) / t.inside
-    inside = f"CASE WHEN {name} BETWEEN {ends} THEN {name} END"
-    return F.expr(f"percentile_disc({point!r}) WITHIN GROUP (ORDER BY {inside})").cast("double")
-
-
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    points: Sequence[float],
-    few: int = FEW_VALUES,
-    accuracy: int = SKETCH_ACCURACY,
-) -> dict[tuple[str, float], Column]:
-    """Aggregate expressions for each column and quantile point, to use in one ``df.agg``."""
+def _locate(bins: DataFrame, places: list[Place], shift: int | None) -> None:
+    """Find the bin of each place among the bins of its parent, and the place inside it."""
+    spark = bins.sparkSession
+    parent = F.lit(0).cast("bigint") if shift is None else F.shiftright("bin", shift)
+    order = Window.partitionBy("column", "parent").orderBy("bin")
+    summed = bins.withColumn("parent", parent).withColumn("until", F.sum("n").over(order))
+    wanted = spark.createDataFrame(
+        [(i, p.column, p.bin or 0, p.place) for i, p in enumerate(places)], "id int, column int, parent bigint, place bigint"
+    )
+    found = summed.join(wanted, ["column", "parent"]).where("place < until AND place >= until - n")
+    for row in found.select("id", "bin", (F.col("place") - F.col("until") + F.col("n")).alias("inside"), "low", "high").collect():
+        place = places[row["id"]]
+        place.bin, place.place = row["bin"], row["inside"]
+        if row["low"] == row["high"]:
+            place.value = row["low"]
+
+
+def moments_and_quantiles(
+    df: DataFrame, columns: Sequence[str], points: Sequence[float] = ()
+) -> tuple[list[Moments], dict[tuple[str, float], float | None]]:
+    """Moments of each column, and its quantiles by linear interpolation; null and NaN are no values."""
     if not columns:
-        return {}
-    measures = []
-    for i, column in enumerate(columns):
-        value = named(column)
-        measures += [
-            F.count(value).alias(f"n{i}"), F.approx_count_distinct(value).alias(f"d{i}"),
-            F.min(value).alias(f"low{i}"), F.max(value).alias(f"high{i}"),
-        ]
-    row = df.agg(*measures).first()
-
-    out: dict[tuple[str, float], Column] = {}
-    wanted: list[tuple[str, float, float]] = []
-    targets: list[Enclosure] = []
-    for i, column in enumerate(columns):
+        return [], {}
+    bins = _histogram(df, columns, 1, None)
+    moments = _moments(bins, columns)
+    ends: dict[tuple[int, float], tuple[Place, Place, float]] = {}
+    places: dict[tuple[int, int], Place] = {}
+    for i, moment in enumerate(moments):
+        for p in points if moment.n else ():
+            at = (moment.n - 1) * p
+            low, high = (places.setdefault((i, k), Place(i, k)) for k in (math.floor(at), math.ceil(at)))
+            ends[i, p] = low, high, at - math.floor(at)
+    depth, open_places = 1, list(places.values())
+    if open_places:
+        _locate(bins, open_places, None)
+    while open_places := [p for p in open_places if p.value is None]:
+        depth += 1
+        sought: dict[int, set[int]] = {}
+        for place in open_places:
+            sought.setdefault(place.column, set()).add(place.bin)
+        _locate(_histogram(df, columns, depth, sought), open_places, STEP)
+    quantiles: dict[tuple[str, float], float | None] = {}
+    for i, name in enumerate(columns):
         for p in points:
-            if not row[f"n{i}"]:
-                out[column, p] = F.lit(None).cast("double")
-                continue
-            place = (row[f"n{i}"] - 1) * p
-            wanted.append((column, p, place))
-            ends = math.floor(place), math.ceil(place), row[f"low{i}"], row[f"high{i}"]
-            targets.append(Enclosure(column, *ends, 0, row[f"n{i}"], row[f"d{i}"]))
-
-    for (column, p, place), t in zip(wanted, _enclose(df, targets, few, accuracy)):
-        at_first = _value_at(df, t, t.first)
-        if t.first == t.last:
-            out[column, p] = at_first
-        else:
-            out[column, p] = at_first + (_value_at(df, t, t.last) - at_first) * F.lit(place - t.first)
-    return out
+            found = ends.get((i, p))
+            quantiles[name, p] = None if found is None else _between(*found)
+    return moments, quantiles
+
+
+def _between(low: Place, high: Place, share: float) -> float:
+    if share == 0 or low.value == high.value:
+        return low.value
+    return low.value + (high.value - low.value) * share

@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import as_flag, named
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few known rows as part of the plan, so that nothing is shipped from the driver when it runs."""
+    fields = T.StructType.fromDDL(schema).fields
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    entries = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*entries)))
+
+
 def wide_row_to_long(row: DataFrame, name: str, value: str, ids: Sequence[str] = ()) -> DataFrame:
     """Aggregated columns as rows ``(ids…, name, value)``."""
     values = [c for c in row.columns if c not in ids]
