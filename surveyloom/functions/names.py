@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
@@ -15,6 +16,9 @@ UNSAFE_RUN = r"[^a-z0-9]+"
 
 Step = dict[str, str]
 
+# Column that orders the rows of a raw edition as its files do; it passes harmonisation under this name.
+POSITION = "_position"
+
 
 @lru_cache(maxsize=1)
 def accent_table() -> tuple[str, str]:
@@ -86,7 +90,7 @@ def suffix_twins(names: Sequence[str]) -> list[str]:
 
 def clean_headers(headers: Sequence[str]) -> list[str]:
     """Plain, unique column names for the raw headers of one edition."""
-    return suffix_twins([clean_header(h) for h in headers])
+    return suffix_twins([h if h == POSITION else clean_header(h) for h in headers])
 
 
 def mapping_step(pairs: Mapping[str, str] | Iterable[tuple[str, str]]) -> Step:
@@ -150,6 +154,38 @@ def resolve(names: Sequence[str], steps: Sequence[Step], keep: str = "last") ->
     return slots
 
 
+@dataclass(frozen=True)
+class Origin:
+    """Where a raw column of an edition went: its last rename, and its final name unless a twin took its place."""
+
+    position: int
+    header: str
+    clean: str
+    name: str | None
+    step: int
+
+
+def trace(headers: Sequence[str], steps: Sequence[Step], keep: str = "last") -> list[Origin]:
+    """What ``clean_headers`` and ``resolve`` make of every raw column; steps count from 1, 0 is the cleaning.
+
+    A column that a twin replaced has no name, and the step after which it went.
+    """
+    clean = clean_headers(headers)
+    names: dict[int, str | None] = dict(enumerate(clean))
+    changed = dict.fromkeys(names, 0)
+    slots = list(enumerate(clean))
+    for number, step in enumerate([{}, *steps]):
+        renamed = [(position, step.get(name, name)) for position, name in slots]
+        left = dict(keep_positions(renamed, keep))
+        for (position, before), (_, after) in zip(slots, renamed):
+            if position not in left:
+                names[position], changed[position] = None, number
+            elif after != before:
+                names[position], changed[position] = after, number
+        slots = sorted(left.items())
+    return [Origin(i, header, clean[i], names[i], changed[i]) for i, header in enumerate(headers)]
+
+
 def repeated_names(names: Sequence[str]) -> list[str]:
     """Names that occur more than once."""
     seen: set[str] = set()

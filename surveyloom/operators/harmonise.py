@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import coerce_number, named
-from ..functions.names import Step, clean_headers, keep_positions, names_with, pick_columns, resolve
+from ..functions.names import Step, clean_headers, keep_positions, names_with, pick_columns, resolve, trace
+from .reshape import literal_rows, wide_row_to_long
 
 
 def _by_position(df: DataFrame, picked: Sequence[tuple[int, str]]) -> DataFrame:
@@ -63,3 +65,31 @@ def schema_diff(base: DataFrame, other: DataFrame) -> DataFrame:
 def keyword_columns(df: DataFrame, words: Sequence[str]) -> DataFrame:
     """Columns whose name holds a keyword."""
     return df.select(*[named(name) for name in names_with(df.columns, words)])
+
+
+def lineage(editions: Mapping[int, DataFrame], steps: Mapping[int, Sequence[Step]], base: int, keep: str = "last") -> DataFrame:
+    """Every raw column of every edition: where it went, by which step, and how many answers it holds.
+
+    Status is ``same`` or ``renamed`` for columns of the base edition's vocabulary, ``unmapped`` for names the base
+    doesn't have, and ``replaced`` for a column whose name a twin took. Names are settled on the driver, as they are
+    in the harmonisation itself; answers are counted by one aggregate per edition.
+    """
+    vocabulary = {origin.name for origin in trace(editions[base].columns, steps.get(base, ()), keep)}
+    rows, counts = [], []
+    for edition, df in editions.items():
+        for origin in trace(df.columns, steps.get(edition, ()), keep):
+            status = (
+                "replaced" if origin.name is None
+                else "unmapped" if origin.name not in vocabulary
+                else "same" if origin.name == origin.clean else "renamed"
+            )
+            rows.append((edition, origin.position, origin.header, origin.clean, origin.step, origin.name, status))
+        numbered = df.toDF(*[str(i) for i in range(len(df.columns))])
+        counted = numbered.agg(*[F.count(named(c)).alias(c) for c in numbered.columns])
+        counts.append(wide_row_to_long(counted, "position", "non_null").select(
+            F.lit(edition).alias("edition"), F.col("position").cast("int").alias("position"), "non_null"
+        ))
+    names = literal_rows(
+        editions[base].sparkSession, rows, "edition int, position int, header string, clean string, step int, column string, status string"
+    )
+    return names.join(reduce(DataFrame.unionByName, counts), ["edition", "position"])

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_flag, named, percent
-from .harmonise import greatest_twin_sum
 from .reshape import wide_row_to_long
 
 
@@ -52,14 +51,18 @@ def share(
 ) -> DataFrame:
     """Count and percentage of each category within its ``by`` group, or of the whole.
 
-    With ``flag``, the rate of that 0/1 column in each category stands beside the share.
+    With ``flag``, the rate of that 0/1 column in each category stands beside the share. The whole is added up in a
+    subquery, not in a window, which would bring all categories into one task.
     """
     keys = _keys(by)
     measures = [F.count("*").alias("total")]
     if flag:
         measures.append(F.sum(as_flag(df, flag)).alias("_flagged"))
     grouped = df.groupBy(*[named(k) for k in [*keys, category]]).agg(*measures)
-    whole = F.sum("total").over(Window.partitionBy(*[named(k) for k in keys]))
+    if keys:
+        whole = F.sum("total").over(Window.partitionBy(*[named(k) for k in keys]))
+    else:
+        whole = grouped.agg(F.sum("total")).scalar()
     columns = [*[named(k) for k in [*keys, category]], F.col("total")]
     if flag:
         columns.append(percent(F.col("_flagged"), F.col("total")).alias(rate_name))
@@ -157,26 +160,3 @@ def growth(df: DataFrame, year: str, first: int, last: int, change: str = "varia
         F.count_if(named(year) == last).alias(f"total_{last}"),
     )
     return totals.select(before, after, percent(after - before, before).alias(change))
-
-
-def totals_across(
-    editions: Mapping[int, DataFrame], twins: Mapping[str, Sequence[str]], label: str = "option", total: str = "total"
-) -> DataFrame:
-    """Ticks per option over all editions, from ``{label: twin columns}``.
-
-    An edition counts the greatest sum among the twins it has, and nothing where it has none.
-    Each edition is scanned once, for all options.
-    """
-    rows = None
-    for df in editions.values():
-        present = {text: [c for c in columns if c in df.columns] for text, columns in twins.items()}
-        measures = [
-            F.coalesce(greatest_twin_sum(df, columns) if columns else F.lit(None).cast("double"), F.lit(0.0))
-            .cast("bigint")
-            .alias(text)
-            for text, columns in present.items()
-        ]
-        long = wide_row_to_long(df.agg(*measures), label, total)
-        rows = long if rows is None else rows.unionByName(long)
-    summed = rows.groupBy(label).agg(F.sum(total).alias(total))
-    return summed.orderBy(F.desc(total), F.asc(label))

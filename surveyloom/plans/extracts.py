@@ -1,41 +1,36 @@
-"""Long and wide extracts for a BI tool, from harmonised editions ``{year: frame}``."""
+"""Long and wide extracts for a BI tool, from harmonised editions: ``{year: frame}``, or a ``Stack`` of them.
+
+Each extract is one pass over the stack, so a table that holds all editions is scanned once.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_flag, coerce_number, named, percent
+from ..functions.columns import as_flag, named
 from ..functions.rules import classify, first_true, map_values
 from ..operators.clean import bool_to_flag
-from ..operators.indicators import totals_across
+from ..operators.editions import Stack, percents_by_year, stack_of, totals_across
 from ..operators.reshape import stack_columns, ticked_options
-from ..operators.unify import tag_year, unify
 from . import questionnaire as Q
 
-Editions = Mapping[int, DataFrame]
+Editions = Mapping[int, DataFrame] | Stack
 
 
-def _flagged(editions: Editions) -> Editions:
+def _flagged(editions: Editions) -> Stack:
     """The editions with booleans and the texts TRUE and FALSE as 1 and 0, as the silver table has them."""
-    return {year: bool_to_flag(df) for year, df in editions.items()}
-
-
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    return stack_of(editions, Q.YEAR).map_rows(bool_to_flag)
 
 
 def current_vs_ideal(editions: Editions) -> DataFrame:
     """Work model now and ideal, stacked, with short labels; editions lacking one are left out."""
-    stacked = [
-        stack_columns(df, {"Atual": Q.MODEL_NOW, "Ideal": Q.MODEL_IDEAL}, "modelo", "situacao")
-        for df in editions.values()
-        if Q.MODEL_NOW in df.columns and Q.MODEL_IDEAL in df.columns
-    ]
-    return _union(stacked).withColumn("modelo", map_values(F.col("modelo"), Q.MODEL_LABELS, keep_unmapped=True))
+    stack = stack_of(editions, Q.YEAR)
+    rows = stack.rows.where(stack.has(Q.MODEL_NOW, Q.MODEL_IDEAL))
+    stacked = stack_columns(rows, {"Atual": Q.MODEL_NOW, "Ideal": Q.MODEL_IDEAL}, "modelo", "situacao")
+    return stacked.withColumn("modelo", map_values(F.col("modelo"), Q.MODEL_LABELS, keep_unmapped=True))
 
 
 def challenge_totals(editions: Editions) -> DataFrame:
@@ -50,58 +45,39 @@ def value_totals(editions: Editions) -> DataFrame:
 
 def maturity_by_edition(editions: Editions) -> DataFrame:
     """Percentage of respondents whose company has a data lake, and a data warehouse."""
-    rows = [
-        tag_year(
-            df.agg(
-                percent(F.sum(coerce_number(df, Q.DATA_LAKE)), F.count("*")).alias("pct_lake"),
-                percent(F.sum(coerce_number(df, Q.DATA_WAREHOUSE)), F.count("*")).alias("pct_dw"),
-            ),
-            year,
-            Q.YEAR,
-        )
-        for year, df in _flagged(editions).items()
-    ]
-    return _union(rows).select(Q.YEAR, "pct_lake", "pct_dw").orderBy(Q.YEAR)
-
-
-def _ticked(editions: Editions, options: Mapping[str, str], name: str) -> DataFrame:
-    return _union(
-        [ticked_options(tag_year(df, year, Q.YEAR), [Q.KEY, Q.YEAR], options, name) for year, df in editions.items()]
-    )
+    return percents_by_year(_flagged(editions), {"pct_lake": Q.DATA_LAKE, "pct_dw": Q.DATA_WAREHOUSE})
 
 
 def ai_barriers_long(editions: Editions, more: bool = False) -> DataFrame:
     """One row per respondent and barrier ticked; ``more`` adds the third barrier."""
-    return _ticked(editions, Q.BARRIER_OPTIONS_MORE if more else Q.BARRIER_OPTIONS, "barreira")
+    options = Q.BARRIER_OPTIONS_MORE if more else Q.BARRIER_OPTIONS
+    return ticked_options(stack_of(editions, Q.YEAR).rows, [Q.KEY, Q.YEAR], options, "barreira")
 
 
 def ai_uses_long(editions: Editions) -> DataFrame:
     """One row per respondent and way of using AI."""
-    return _ticked(editions, Q.AI_USE_OPTIONS, "forma_uso")
+    return ticked_options(stack_of(editions, Q.YEAR).rows, [Q.KEY, Q.YEAR], Q.AI_USE_OPTIONS, "forma_uso")
 
 
 def ai_answers(editions: Editions) -> DataFrame:
     """The AI questions of every edition with three groupings; null where an edition lacks one."""
+    stack = stack_of(editions, Q.YEAR)
+    df = stack.rows
     kept = [
         Q.AI_AT_WORK, Q.AI_PRIORITY, Q.AI_NO_PRIORITY, *Q.AI_PAYER.values(),
         "uso_solucoes_do_tipo_copilot", Q.AI_IN_COMPANY["copilots"], Q.AI_RESULTS,
     ]
-    frames = {}
-    for year, df in editions.items():
-        is_first, is_second, other = Q.AI_PRIORITY_LABELS
-        groups = [
-            classify(named(Q.AI_AT_WORK), Q.AI_USE_TWO_GROUPS, Q.AI_USE_TWO_OTHER).alias("uso_ia_grupo"),
-            first_true(
-                [(as_flag(df, Q.AI_PRIORITY) == 1, is_first), (as_flag(df, Q.AI_NO_PRIORITY) == 1, is_second)], other
-            ).alias("prioridade_grupo"),
-        ]
-        if Q.AI_RESULTS in df.columns:
-            results = classify(named(Q.AI_RESULTS), Q.AI_RESULT_RULES, Q.AI_RESULT_OTHER, ignore_case=True)
-            groups.append(results.alias("resultado_grupo"))
-        frames[year] = tag_year(
-            df.select(named(Q.KEY), *groups, *[named(c) for c in kept if c in df.columns]), year, Q.YEAR
-        )
-    return unify(frames, "outer", lead=(Q.YEAR, Q.KEY))
+    is_first, is_second, other = Q.AI_PRIORITY_LABELS
+    groups = [
+        classify(named(Q.AI_AT_WORK), Q.AI_USE_TWO_GROUPS, Q.AI_USE_TWO_OTHER).alias("uso_ia_grupo"),
+        first_true(
+            [(as_flag(df, Q.AI_PRIORITY) == 1, is_first), (as_flag(df, Q.AI_NO_PRIORITY) == 1, is_second)], other
+        ).alias("prioridade_grupo"),
+    ]
+    if stack.knows(Q.AI_RESULTS):
+        results = classify(named(Q.AI_RESULTS), Q.AI_RESULT_RULES, Q.AI_RESULT_OTHER, ignore_case=True)
+        groups.append(F.when(stack.has(Q.AI_RESULTS), results).alias("resultado_grupo"))
+    return df.select(Q.YEAR, Q.KEY, *groups, *[named(c) for c in kept if c in df.columns])
 
 
 def with_short_model(silver: DataFrame) -> DataFrame:

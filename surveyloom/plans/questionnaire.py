@@ -165,9 +165,9 @@ MODEL_LABELS = {
 # A header that occurs twice in an edition asks first about dissatisfaction, then (with the
 # suffix _1) about the criteria of choice.
 RENAMES = {
-    "token": KEY,
-    "sim_devido_a_minha_identidade_de_genero": PREJUDICE_GENDER,
-    "sim_devido_a_minha_cor_raca_etnia": PREJUDICE_RACE,
+    "token": "id",
+    "sim_devido_a_minha_identidade_de_genero": "experiencia_prejudicada_devido_a_minha_identidade_de_genero",
+    "sim_devido_a_minha_cor_raca_etnia": "experiencia_prejudicada_devido_a_minha_cor_raca_etnia",
     "sim_devido_ao_fato_de_ser_pcd": "experiencia_prejudicada_devido_ao_fato_de_ser_pcd",
     "situacao_de_trabalho": "qual_sua_situacao_atual_de_trabalho",
     "tempo_de_experiencia_em_dados": "quanto_tempo_de_experiencia_na_area_de_dados_voce_tem",
@@ -176,20 +176,22 @@ RENAMES = {
         "_antes_de_comecar_a_trabalhar_na_area_de_dados",
     "satisfeito_atualmente": "voce_esta_satisfeito_na_sua_empresa_atual",
     "motivo_insatisfacao": "qual_o_principal_motivo_da_sua_insatisfacao_com_a_empresa_atual",
-    "modelo_de_trabalho_atual": MODEL_NOW,
-    "modelo_de_trabalho_ideal": MODEL_IDEAL,
+    "modelo_de_trabalho_atual": "atualmente_qual_a_sua_forma_de_trabalho",
+    "modelo_de_trabalho_ideal": "qual_a_forma_de_trabalho_ideal_para_voce",
     "atitude_em_caso_de_retorno_presencial":
         "caso_sua_empresa_decida_pelo_modelo_100pct_presencial_qual_sera_sua_atitude",
-    "contratar_talentos": CHALLENGES["Contratar talentos"],
-    "reter_talentos": CHALLENGES["Reter talentos"],
-    "convencer_a_empresa_a_aumentar_investimentos": CHALLENGES["Convencer a investir"],
+    "contratar_talentos": "a_contratar_novos_talentos",
+    "reter_talentos": "b_reter_talentos",
+    "convencer_a_empresa_a_aumentar_investimentos":
+        "c_convencer_a_empresa_a_aumentar_os_investimentos_na_area_de_dados",
     "gestao_de_equipes_no_ambiente_remoto": "d_gestao_de_equipes_no_ambiente_remoto",
     "gestao_de_projetos_envolvendo_areas_multidisciplinares":
         "e_gestao_de_projetos_envolvendo_areas_multidisciplinares_da_empresa",
     "organizar_as_informacoes_com_qualidade_e_confiabilidade":
         "f_organizar_as_informacoes_e_garantir_a_qualidade_e_confiabilidade",
     "processar_e_armazenar_um_alto_volume_de_dados": "g_conseguir_processar_e_armazenar_um_alto_volume_de_dados",
-    "gerar_valor_para_as_areas_de_negocios": CHALLENGES["Gerar valor p/ negócio"],
+    "gerar_valor_para_as_areas_de_negocios":
+        "h_conseguir_gerar_valor_para_as_areas_de_negocios_atraves_de_estudos_e_experimentos",
     "desenvolver_e_manter_modelos_machine_learning_em_producao":
         "i_desenvolver_e_manter_modelos_machine_learning_em_producao",
     "gerenciar_a_expectativa_das_areas":
@@ -197,18 +199,18 @@ RENAMES = {
     "garantir_a_manutencao_dos_projetos_e_modelos_em_producao":
         "k_garantir_a_manutencao_dos_projetos_e_modelos_em_producao_em_meio_ao_crescimento_da_empresa",
     "conseguir_levar_inovacao_para_a_empresa": "conseguir_levar_inovacao_para_a_empresa_atraves_dos_dados",
-    "garantir_roi_em_projetos_de_dados": CHALLENGES["Provar ROI"],
-    "ai_generativa_e_llm_e_uma_prioridade": AI_PRIORITY,
+    "garantir_roi_em_projetos_de_dados": "garantir_retorno_do_investimento_roi_em_projetos_de_dados",
+    "ai_generativa_e_llm_e_uma_prioridade": "ai_generativa_e_uma_prioridade_em_sua_empresa",
     "ai_generativa_e_llms_para_melhorar_produtos_externos_para_os_clientes_finais":
         "ai_generativa_e_llms_para_melhorar_produtos_externos",
-    "atuacao_em_dados": ROLE,
-    "nao_utilizo_nenhuma_das_linguagens_listadas": LANGUAGES["nenhuma"],
+    "atuacao_em_dados": "atuacao",
+    "nao_utilizo_nenhuma_das_linguagens_listadas": "nao_utilizo_nenhuma_linguagem",
     "linguagem_mais_usada": "entre_as_linguagens_listadas_abaixo_qual_e_a_que_voce_mais_utiliza_no_trabalho",
-    "ferramenta_de_bi_dia_a_dia": BI_DAILY,
-    "usa_chatgpt_ou_copilot_no_trabalho": AI_AT_WORK,
-    "possui_data_lake": DATA_LAKE,
-    "possui_data_warehouse": DATA_WAREHOUSE,
-    "plano_de_carreira_e_oportunidades_de_crescimento": VALUES["Plano de carreira"],
+    "ferramenta_de_bi_dia_a_dia": "ferramenta_de_bi_utilizada_no_dia_a_dia",
+    "usa_chatgpt_ou_copilot_no_trabalho": "utiliza_chatgpt_ou_llms_no_trabalho",
+    "possui_data_lake": "sua_organizacao_possui_um_data_lake",
+    "possui_data_warehouse": "sua_organizacao_possui_um_data_warehouse",
+    "plano_de_carreira_e_oportunidades_de_crescimento": "plano_de_carreira_e_oportunidades_de_crescimento_profissional",
     "remuneracao_salario": "salario_atual_nao_corresponde_ao_mercado",
     "beneficios": "gostaria_de_receber_mais_beneficios",
     "ambiente_e_clima_de_trabalho": "o_clima_de_trabalho_ambiente_nao_e_bom",
@@ -216,28 +218,41 @@ RENAMES = {
     "oportunidades_de_crescimento": "falta_de_oportunidade_de_crescimento_no_emprego_atual",
     "relacao_com_os_gestores_e_lideres": "nao_tenho_uma_boa_relacao_com_meu_lider_gestor",
     "gostaria_de_trabalhar_em_outra_area": "gostaria_de_trabalhar_em_em_outra_area_de_atuacao",
-    "remuneracao_salario_1": VALUES["Remuneração"],
+    "remuneracao_salario_1": "remuneracao_salario",
     "beneficios_1": "beneficios",
-    "proposito_do_trabalho_e_da_empresa_1": VALUES["Propósito"],
-    "flexibilidade_de_trabalho_remoto_1": VALUES["Flexibilidade remota"],
+    "proposito_do_trabalho_e_da_empresa_1": "proposito_do_trabalho_e_da_empresa",
+    "flexibilidade_de_trabalho_remoto_1": "flexibilidade_de_trabalho_remoto",
     "ambiente_e_clima_de_trabalho_1": "ambiente_e_clima_de_trabalho",
-    "oportunidade_de_aprendizado_e_trabalhar_com_referencias_1": VALUES["Aprendizado"],
-    "maturidade_da_empresa_em_termos_de_tecnologia_e_dados_1": VALUES["Maturidade em dados"],
+    "oportunidade_de_aprendizado_e_trabalhar_com_referencias_1":
+        "oportunidade_de_aprendizado_e_trabalhar_com_referencias_na_area",
+    "maturidade_da_empresa_em_termos_de_tecnologia_e_dados_1": "maturidade_da_empresa_em_termos_de_tecnologia_e_dados",
     "reputacao_que_a_empresa_tem_no_mercado_1": "reputacao_que_a_empresa_tem_no_mercado",
     "relacao_com_os_gestores_e_lideres_1": "qualidade_dos_gestores_e_lideres",
 }
 RENAMES_2024 = {
-    "forma_de_trabalho_atual": MODEL_NOW,
-    "forma_de_trabalho_ideal": MODEL_IDEAL,
-    "atuacao_no_dia_a_dia": ROLE,
-    "nenhuma_linguagem": LANGUAGES["nenhuma"],
+    "forma_de_trabalho_atual": "atualmente_qual_a_sua_forma_de_trabalho",
+    "forma_de_trabalho_ideal": "qual_a_forma_de_trabalho_ideal_para_voce",
+    "atuacao_no_dia_a_dia": "atuacao",
+    "nenhuma_linguagem": "nao_utilizo_nenhuma_linguagem",
     "linguagem_mais_utilizada": "entre_as_linguagens_listadas_abaixo_qual_e_a_que_voce_mais_utiliza_no_trabalho",
-    "ferramenta_de_bi_do_dia_a_dia": BI_DAILY,
-    "usa_chatgpt_ou_llms_no_trabalho": AI_AT_WORK,
-    "ia_generativa_e_uma_prioridade_em_sua_empresa": AI_PRIORITY,
+    "ferramenta_de_bi_do_dia_a_dia": "ferramenta_de_bi_utilizada_no_dia_a_dia",
+    "usa_chatgpt_ou_llms_no_trabalho": "utiliza_chatgpt_ou_llms_no_trabalho",
+    "ia_generativa_e_uma_prioridade_em_sua_empresa": "ai_generativa_e_uma_prioridade_em_sua_empresa",
     "ia_generativa_e_llms_para_melhorar_produtos_externos": "ai_generativa_e_llms_para_melhorar_produtos_externos",
-    "contratar_novos_talentos": CHALLENGES["Contratar talentos"],
-    "convencer_a_empresa_a_aumentar_os_investimentos_na_area_de_dados": CHALLENGES["Convencer a investir"],
+    "contratar_novos_talentos": "a_contratar_novos_talentos",
+    "convencer_a_empresa_a_aumentar_os_investimentos_na_area_de_dados":
+        "c_convencer_a_empresa_a_aumentar_os_investimentos_na_area_de_dados",
+    "e_gestao_de_projetos_envolvendo_areas_multidisciplinares":
+        "e_gestao_de_projetos_envolvendo_areas_multidisciplinares_da_empresa",
+    "f_organizar_as_informacoes_com_qualidade_e_confiabilidade":
+        "f_organizar_as_informacoes_e_garantir_a_qualidade_e_confiabilidade",
+    "g_processar_e_armazenar_um_alto_volume_de_dados": "g_conseguir_processar_e_armazenar_um_alto_volume_de_dados",
+    "h_gerar_valor_para_as_areas_de_negocios":
+        "h_conseguir_gerar_valor_para_as_areas_de_negocios_atraves_de_estudos_e_experimentos",
+    "j_gerenciar_a_expectativa_das_areas":
+        "j_gerenciar_a_expectativa_das_areas_de_negocio_em_relacao_as_entregas_das_equipes_de_dados",
+    "k_garantir_a_manutencao_dos_projetos_e_modelos_em_producao":
+        "k_garantir_a_manutencao_dos_projetos_e_modelos_em_producao_em_meio_ao_crescimento_da_empresa",
 }
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from urllib.parse import unquote
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a cluster run wants: adaptive execution merges small shuffle partitions and splits
 # skewed join partitions, also where that costs another shuffle.
@@ -47,12 +49,29 @@ def build_session(
     return builder.getOrCreate()
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return shared.rstrip("/")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the cluster's shared checkpoint folder.
 
     Where ``spark.checkpoint.dir`` is unset the warehouse folder serves, which all executors share as well.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{_shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def scratch_folders(df: DataFrame, labels: tuple[str, ...]) -> list[str]:
+    """Scratch folders with one of the labels that a frame reads from."""
+    pattern = re.compile(rf"(?:.*/)?(?:{'|'.join(map(re.escape, labels))})-[0-9a-f]{{32}}(?=/)")
+    found = (pattern.match(unquote(file)) for file in df.inputFiles())
+    return sorted({match.group(0) for match in found if match})
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of any store that Spark reaches."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
