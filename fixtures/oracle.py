@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from surveyloom.plans import questionnaire as Q
+import zlib
 
-from .views import ANSWERS, PRICE_BANDS, TICK_COLUMNS, TOP_BAND, YEAR_SHIFT, tick_threshold
+from . import literal as Q
 
 RESP = """resp AS (
   SELECT o_orderkey AS id, CAST(year(o_orderdate) AS INTEGER) AS ano, o_orderpriority AS cargo,
@@ -35,7 +35,10 @@ BUILT = FLAGS + """, built AS (
   SELECT id, ano, cargo AS cargo_atual, nivel, setor AS setor_d_atuacao, regiao AS regiao_onde_mora,
          faixa AS faixa_salarial, coalesce(f_returned, 0) AS item_devolvido, coalesce(f_accepted, 0) AS item_aceito,
          coalesce(f_open, 0) AS pedido_aberto, coalesce(f_discount, 0) AS desconto_100pct
-  FROM flags WHERE ano IN (1995, 1996, 1997))"""
+  FROM flags)"""
+
+# Years by the form of their headers and answers; the others have headers in pairs and whole numbers.
+BOOLEAN_YEARS, DOUBLE_YEARS = "(1996, 1998, 2001)", "(1997, 1999)"
 
 FLAG_NAMES = ["f_returned", "f_accepted", "f_open", "f_discount", "f_bulk"]
 FLAG_LABELS = ["Devolvido", "Aceito", "Aberto", "Desconto alto", "Volume"]
@@ -72,6 +75,103 @@ RESP_COLUMNS = ["id", "ano", "cargo", "nivel", "valor", "faixa", "setor", "pais"
 WIDE_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
 WIDE_TYPES = ["bigint", "string", "string", "string", "bigint", "int", "int"]
 
+YEARS = range(1995, 2002)
+FIRST_COLUMNS = [
+    ("cargo_atual", "cargo"), ("nivel", "nivel"), ("setor_d_atuacao", "setor"), ("regiao_onde_mora", "regiao"),
+    ("faixa_salarial", "faixa"),
+]
+# Cleaned names of each form of headers, and what they hold.
+COLUMNS = {
+    "pair": [
+        ("id", "id"), *FIRST_COLUMNS, ("item_devolvido", "f_returned"), ("item_aceito", "f_accepted"),
+        ("pedido_aberto", "f_open"), ("desconto_100pct", "f_discount"), ("compra_em_volume", "f_bulk"),
+    ],
+    "boolean": [
+        ("token", "id"), *FIRST_COLUMNS, ("item_devolvido", "f_discount"), ("item_aceito", "f_accepted"),
+        ("pedido_em_aberto", "f_open"), ("item_devolvido_1", "f_returned"), ("compra_em_volume", "f_bulk"),
+    ],
+    "double": [
+        ("token", "id"), *FIRST_COLUMNS, ("item_devolvido", "f_returned"), ("item_aceito", "f_accepted"),
+        ("pedido_em_aberto", "f_open"), ("desconto_100pct", "f_discount"),
+    ],
+}
+KEYWORD_COLUMNS = {
+    "pair": [
+        ("faixa_salarial", "faixa", "string"), ("item_devolvido", "f_returned", "int"),
+        ("item_aceito", "f_accepted", "int"), ("desconto_100pct", "f_discount", "int"),
+    ],
+    "boolean": [
+        ("faixa_salarial", "faixa", "string"), ("item_devolvido", "f_discount", "boolean"),
+        ("item_aceito", "f_accepted", "boolean"), ("item_devolvido_1", "f_returned", "boolean"),
+    ],
+    "double": [
+        ("faixa_salarial", "faixa", "string"), ("item_devolvido", "f_returned", "double"),
+        ("item_aceito", "f_accepted", "double"), ("desconto_100pct", "f_discount", "double"),
+    ],
+}
+
+
+# Raw headers of each form, and what becomes of the column: step of its last rename, final name, status.
+HEADERS = {
+    "pair": [
+        ("('P0', 'id')", 0, "id", "same"), ("('P1_a ', 'Cargo Atual')", 0, "cargo_atual", "same"),
+        ("('P1_b ', 'Nível')", 0, "nivel", "same"), ("('P1_c', \"Setor d'atuação\")", 0, "setor_d_atuacao", "same"),
+        ("('P2_a ', 'Região onde mora')", 0, "regiao_onde_mora", "same"),
+        ("('P2_h ', 'Faixa Salarial')", 0, "faixa_salarial", "same"),
+        ("('P3_a ', 'Item Devolvido?')", 0, "item_devolvido", "same"),
+        ("('P3_b ', 'Item Aceito?')", 0, "item_aceito", "same"), ("('P3_c ', 'Pedido/Aberto')", 0, "pedido_aberto", "same"),
+        ("('P3_d ', 'Desconto 100%')", 0, "desconto_100pct", "same"),
+        ("('P3_e ', 'Compra em Volume')", 0, "compra_em_volume", "same"),
+    ],
+    "boolean": [
+        ("0.a_token", 1, "id", "renamed"), ("1.b_Cargo Atual", 0, "cargo_atual", "same"), ("1.c.1_Nível", 0, "nivel", "same"),
+        ("1.d_Setor d'atuação", 0, "setor_d_atuacao", "same"), ("2.a_Região onde mora", 0, "regiao_onde_mora", "same"),
+        ("2.h_Faixa Salarial", 0, "faixa_salarial", "same"), ("3.a.1_Item Devolvido?", 2, "desconto_100pct", "renamed"),
+        ("3.b.1_Item Aceito?", 0, "item_aceito", "same"), ("3.c.1_Pedido em aberto", 1, "pedido_aberto", "renamed"),
+        ("4.a.1_Item Devolvido?", 2, "item_devolvido", "renamed"), ("4.b.1_Compra em Volume", 0, "compra_em_volume", "same"),
+    ],
+    "double": [
+        ("0.a_token", 2, "id", "renamed"), ("1.b_Cargo Atual", 0, "cargo_atual", "same"), ("1.c.1 Nível", 0, "nivel", "same"),
+        ("1.d_Setor d'atuação", 0, "setor_d_atuacao", "same"), ("2.a_Região onde mora", 0, "regiao_onde_mora", "same"),
+        ("2.h_Faixa Salarial", 0, "faixa_salarial", "same"), ("3.a.1_Item Devolvido?", 0, "item_devolvido", "same"),
+        ("3.b.1_Item Aceito?", 0, "item_aceito", "same"), ("3.c.1_Pedido em aberto", 1, "pedido_aberto", "renamed"),
+        ("3.d.1_Desconto 100%", 0, "desconto_100pct", "same"),
+    ],
+}
+
+
+def _lineage(year):
+    rows = []
+    for i, ((header, step, name, status), (clean, source)) in enumerate(zip(HEADERS[_style(year)], COLUMNS[_style(year)])):
+        text = header.replace("'", "''")
+        rows.append(f"""SELECT CAST({year} AS INTEGER) AS edition, CAST({i} AS INTEGER) AS position, '{text}' AS header,
+            '{clean}' AS clean, CAST({step} AS INTEGER) AS step, '{name}' AS "column", '{status}' AS status,
+            count({source}) AS non_null FROM flags WHERE ano = {year}""")
+    return _union(rows)
+
+
+def _style(year):
+    return "boolean" if year in (1996, 1998, 2001) else "double" if year in (1997, 1999) else "pair"
+
+
+def _schema_diff(year):
+    def counted(when):
+        return _union(f"SELECT '{n}' AS c, count({v}) AS n FROM flags WHERE ano = {when}" for n, v in COLUMNS[_style(when)])
+
+    return f"""SELECT CAST({year} AS INTEGER) AS ano, coalesce(b.c, o.c) AS "column", b.n AS base_non_null,
+        o.n AS other_non_null,
+        CASE WHEN o.n IS NULL THEN 'missing' WHEN b.n IS NULL THEN 'new' ELSE 'matched' END AS status
+        FROM ({counted(1995)}) b FULL JOIN ({counted(year)}) o ON b.c = o.c"""
+
+
+FAULTY = """faulty AS (SELECT *, CASE
+        WHEN o_orderstatus = 'F' AND o_orderkey % 97 = 0 THEN 'extra fields'
+        WHEN o_orderstatus = 'F' AND o_orderkey % 89 = 1 THEN 'bad value'
+        WHEN o_orderstatus = 'F' AND o_orderkey % 83 = 2 THEN 'missing fields'
+        WHEN o_orderstatus <> 'F' AND o_orderkey % 79 = 3 THEN 'bad value' END AS reason,
+    CASE WHEN o_orderstatus = 'F' AND o_orderkey % 97 <> 0 AND o_orderkey % 89 = 1 THEN 'o_totalprice'
+        WHEN o_orderstatus <> 'F' AND o_orderkey % 79 = 3 THEN 'o_orderkey' END AS field FROM orders)"""
+
 ORACLE: dict[str, str] = {
     "count_by_edition": f"WITH {RESP} SELECT ano, count(*) AS total FROM resp GROUP BY ano",
     "count_by_edition_level": f"WITH {RESP} SELECT ano, nivel, count(*) AS total FROM resp GROUP BY ano, nivel",
@@ -132,12 +232,13 @@ ORACLE: dict[str, str] = {
         f"SELECT ano, '{label}' AS option, CAST(sum(coalesce({c}, 0)) AS BIGINT) AS total FROM flags GROUP BY ano"
         for c, label in zip(FLAG_NAMES, FLAG_LABELS)),
     "totals_across_editions": f"""WITH {FLAGS}, sums AS (
-        SELECT sum(f_returned) FILTER (ano = 1995) AS r95, sum(f_returned) FILTER (ano = 1996) AS r96,
-        sum(f_discount) FILTER (ano = 1996) AS d96, sum(f_returned) FILTER (ano = 1997) AS r97,
-        sum(f_accepted) FILTER (ano BETWEEN 1995 AND 1997) AS a, sum(f_bulk) FILTER (ano IN (1995, 1996)) AS b FROM flags)
-        SELECT 'Devolvido' AS option, CAST(r95 + greatest(r96, d96) + r97 AS BIGINT) AS total FROM sums
-        UNION ALL SELECT 'Aceito', CAST(a AS BIGINT) FROM sums
-        UNION ALL SELECT 'Volume', CAST(b AS BIGINT) FROM sums UNION ALL SELECT 'Ausente', 0""",
+        SELECT ano, coalesce(sum(f_returned), 0) AS r, coalesce(sum(f_discount), 0) AS d,
+        coalesce(sum(f_accepted), 0) AS a, coalesce(sum(f_bulk), 0) AS b FROM flags GROUP BY ano)
+        SELECT 'Devolvido' AS option,
+        CAST(sum(CASE WHEN ano IN {BOOLEAN_YEARS} THEN greatest(r, d) ELSE r END) AS BIGINT) AS total FROM sums
+        UNION ALL SELECT 'Aceito', CAST(sum(a) AS BIGINT) FROM sums
+        UNION ALL SELECT 'Volume', CAST(sum(b) AS BIGINT) FROM sums WHERE ano NOT IN {DOUBLE_YEARS}
+        UNION ALL SELECT 'Ausente', 0""",
     "unpivot_flags": f"WITH {FLAGS} " + _union(
         f"SELECT id, ano, '{label}' AS option FROM flags WHERE {c} = 1"
         for c, label in [("f_returned", "Devolvido"), ("f_discount", "Desconto alto"), ("f_bulk", "Volume")]),
@@ -171,6 +272,18 @@ ORACLE: dict[str, str] = {
         WHEN '3-MEDIUM' THEN 'Média' WHEN '5-LOW' THEN 'Baixa' END AS rotulo FROM resp""",
     "map_long_table": """SELECT o_orderkey, coalesce(c_name, CAST(o_custkey AS VARCHAR)) AS cliente
         FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) ON o_custkey = c_custkey""",
+    "classify_rule_table": """WITH rules AS (
+        SELECT p_partkey AS place, CASE WHEN p_partkey % 3 = 0 THEN 'starts' ELSE 'contains' END AS how,
+        string_split(p_name, ' ')[1] || ' ' || substring(string_split(p_name, ' ')[2], 1, 4) AS fragment,
+        'peça ' || p_partkey AS label FROM part
+        UNION ALL SELECT 10000000 + item_id, 'contains', substring(text, 1, 40), 'passagem ' || item_id FROM benchmark
+        UNION ALL SELECT 20000000 + doc_id, 'starts', substring(text, 1, 12), 'início ' || doc_id FROM documents),
+        hits AS (SELECT doc_id, min_by(label, place) AS label FROM documents, rules
+        WHERE CASE how WHEN 'starts' THEN starts_with(lower(text), lower(fragment))
+        ELSE contains(lower(text), lower(fragment)) END GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(label, 'outro') AS grupo FROM documents d LEFT JOIN hits h ON d.doc_id = h.doc_id""",
+    "dedup_first_in_file": """SELECT o_orderstatus, o_custkey, o_orderkey, o_totalprice FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders) WHERE rn = 1""",
     "dedup_by_key": """SELECT doc_id, text, lang, source, n_chars FROM (
         SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1""",
     "bool_to_flag": f"WITH {FLAGS} SELECT id, f_returned, CAST(f_accepted AS VARCHAR) AS f_accepted FROM flags",
@@ -201,14 +314,15 @@ ORACLE: dict[str, str] = {
     "harmonise_editions": f"""WITH {FLAGS} SELECT id, ano, cargo AS cargo_atual, nivel, setor AS setor_d_atuacao,
         regiao AS regiao_onde_mora, faixa AS faixa_salarial, CAST(f_returned AS DOUBLE) AS item_devolvido,
         CAST(f_accepted AS DOUBLE) AS item_aceito, CAST(f_open AS DOUBLE) AS pedido_aberto,
-        CAST(f_discount AS DOUBLE) AS desconto_100pct FROM flags WHERE ano IN (1995, 1996, 1997)""",
-    "swap_correction": f"""WITH {FLAGS} SELECT id AS token, f_discount AS desconto_100pct, f_returned AS item_devolvido
-        FROM flags WHERE ano = 1996""",
-    "curated_select": f"""WITH {FLAGS} SELECT id, faixa AS faixa_salarial, f_discount AS desconto_100pct,
-        f_bulk AS compra_em_volume FROM flags WHERE ano = 1995""",
+        CAST(f_discount AS DOUBLE) AS desconto_100pct FROM flags""",
+    "swap_correction": f"""WITH {FLAGS} SELECT id, ano, f_discount AS desconto_100pct, f_returned AS item_devolvido
+        FROM flags""",
+    "curated_select": f"""WITH {FLAGS} SELECT id, ano, faixa AS faixa_salarial,
+        CAST(f_discount AS DOUBLE) AS desconto_100pct,
+        CASE WHEN ano NOT IN {DOUBLE_YEARS} THEN f_bulk END AS compra_em_volume FROM flags""",
     "unify_common": f"WITH {BUILT} SELECT * FROM built",
     "unify_outer": f"""WITH {FLAGS} SELECT id, ano, f_returned AS item_devolvido,
-        CASE WHEN ano < 1997 THEN f_bulk END AS compra_em_volume FROM flags WHERE ano IN (1995, 1996, 1997)""",
+        CASE WHEN ano NOT IN {DOUBLE_YEARS} THEN f_bulk END AS compra_em_volume FROM flags""",
     "unify_as_string": f"""WITH {BUILT} SELECT CAST(id AS VARCHAR) AS id, CAST(ano AS VARCHAR) AS ano, cargo_atual, nivel,
         setor_d_atuacao, regiao_onde_mora, faixa_salarial, CAST(item_devolvido AS VARCHAR) AS item_devolvido,
         CAST(item_aceito AS VARCHAR) AS item_aceito, CAST(pedido_aberto AS VARCHAR) AS pedido_aberto,
@@ -217,23 +331,11 @@ ORACLE: dict[str, str] = {
     "dup_columns_first": f"WITH {FLAGS} SELECT id, f_returned AS marca FROM flags",
     "dup_columns_max_sum": f"""WITH {FLAGS} SELECT ano,
         CAST(greatest(sum(f_returned), sum(f_discount)) AS BIGINT) AS contagem FROM flags GROUP BY ano""",
-    "schema_diff": f"""WITH {FLAGS}, a AS (SELECT * FROM flags WHERE ano = 1995), b AS (SELECT * FROM flags WHERE ano = 1997),
-        base AS ({_union(f"SELECT '{n}' AS c, count({v}) AS n FROM a" for n, v in [
-            ("id", "id"), ("cargo_atual", "cargo"), ("nivel", "nivel"), ("setor_d_atuacao", "setor"),
-            ("regiao_onde_mora", "regiao"), ("faixa_salarial", "faixa"), ("item_devolvido", "f_returned"),
-            ("item_aceito", "f_accepted"), ("pedido_aberto", "f_open"), ("desconto_100pct", "f_discount"),
-            ("compra_em_volume", "f_bulk")])}),
-        other AS ({_union(f"SELECT '{n}' AS c, count({v}) AS n FROM b" for n, v in [
-            ("token", "id"), ("cargo_atual", "cargo"), ("nivel", "nivel"), ("setor_d_atuacao", "setor"),
-            ("regiao_onde_mora", "regiao"), ("faixa_salarial", "faixa"), ("item_devolvido", "f_returned"),
-            ("item_aceito", "f_accepted"), ("pedido_em_aberto", "f_open"), ("desconto_100pct", "f_discount")])})
-        SELECT coalesce(base.c, other.c) AS "column", base.n AS base_non_null, other.n AS other_non_null,
-        CASE WHEN other.n IS NULL THEN 'missing' WHEN base.n IS NULL THEN 'new' ELSE 'matched' END AS status
-        FROM base FULL JOIN other ON base.c = other.c""",
-    "keyword_columns": f"""WITH {FLAGS}, a AS (SELECT * FROM flags WHERE ano = 1995)
-        {_union(f"SELECT '{n}' AS column, '{t}' AS dtype, count({v}) AS non_null FROM a" for n, v, t in [
-            ("faixa_salarial", "faixa", "string"), ("item_devolvido", "f_returned", "int"),
-            ("item_aceito", "f_accepted", "int"), ("desconto_100pct", "f_discount", "int")])}""",
+    "schema_diff": f"WITH {FLAGS} " + _union(_schema_diff(year) for year in YEARS[1:]),
+    "keyword_columns": f"WITH {FLAGS} " + _union(
+        f"SELECT CAST({year} AS INTEGER) AS ano, '{n}' AS column, '{t}' AS dtype, count({v}) AS non_null FROM flags WHERE ano = {year}"
+        for year in YEARS for n, v, t in KEYWORD_COLUMNS[_style(year)]),
+    "column_lineage": f"WITH {FLAGS} " + _union(_lineage(year) for year in YEARS),
     "profile_shape": f"WITH {LABELS} SELECT count(*) AS n_rows, CAST(7 AS BIGINT) AS n_columns FROM wide",
     "profile_nonnull": f"WITH {LABELS} " + _union(
         f"""SELECT CAST({i} AS INTEGER) AS position, '{c}' AS "column", '{t}' AS dtype, count({c}) AS non_null FROM wide"""
@@ -242,8 +344,9 @@ ORACLE: dict[str, str] = {
         f"""SELECT '{c}' AS "column", count(*) - count({c}) AS nulls FROM wide""" for c in WIDE_COLUMNS),
     "null_total": f"WITH {LABELS} SELECT CAST(" + " + ".join(
         f"count(*) - count({c})" for c in WIDE_COLUMNS) + " AS BIGINT) AS nulls FROM wide",
-    "profile_describe": f"WITH {LABELS} " + _described("wide", ["n_chars", "quality", "toxic"]),
-    "describe_many_values": _described("lineitem", ["l_quantity", "l_extendedprice"]),
+    "profile_describe": f"WITH {LABELS} " + _described("wide", ["doc_id", "n_chars", "quality", "toxic"]),
+    "describe_many_values": _described("lineitem", [
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]),
     "minmax_sweep": f"WITH {LABELS} " + _union(
         f"""SELECT '{c}' AS "column", CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value FROM wide"""
         for c in ["doc_id", "n_chars", "quality", "toxic"]),
@@ -261,6 +364,16 @@ ORACLE: dict[str, str] = {
     "show_columns": f"WITH {RESP} " + _counts("resp", RESP_COLUMNS),
     "preview": f"WITH {RESP} SELECT * FROM resp ORDER BY id LIMIT 5",
     "csv_roundtrip": "SELECT doc_id, lang, text FROM documents",
+    "csv_deviating_files": f"""WITH {FAULTY} SELECT
+        CASE WHEN reason = 'bad value' AND field = 'o_orderkey' THEN NULL ELSE o_orderkey END AS o_orderkey,
+        CASE WHEN reason = 'bad value' AND field = 'o_totalprice' THEN NULL ELSE o_totalprice END AS o_totalprice,
+        CASE WHEN reason = 'missing fields' THEN NULL WHEN o_orderkey % 5 = 0 THEN o_orderpriority || ',' || chr(10) || '"x" '
+        ELSE o_orderpriority END AS nota FROM faulty""",
+    "csv_rejected_rows": f"""WITH {FAULTY} SELECT reason, field, count(*) AS n_records FROM faulty
+        WHERE reason IS NOT NULL GROUP BY reason, field""",
+    "bucketed_dedup": """SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM (SELECT *, row_number() OVER (
+        PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_quantity) AS rn FROM lineitem) WHERE rn = 1""",
+    "replaced_table": f"WITH {RESP} SELECT * REPLACE (valor * 2 AS valor) FROM resp",
     "parquet_partition_roundtrip": f"WITH {RESP} SELECT * FROM resp",
     "silver_from_csv": f"WITH {BUILT} SELECT * FROM built",
 }
@@ -272,21 +385,27 @@ ORACLE["duplicate_groups_wide"] = ORACLE["duplicate_groups"]
 # The questionnaire-shaped view and its indicators
 
 def _answer(name):
-    _, source, answers = ANSWERS[name]
+    source, answers = Q.ANSWERS[name]
     cases = " ".join(f"WHEN '{value}' THEN '{text}'" for value, text in answers.items())
     return f'CASE {source} {cases} END AS "{name}"'
 
 
-SURVEY = f"""largest AS (SELECT l_orderkey, max(l_quantity) AS q FROM lineitem GROUP BY l_orderkey),
-survey AS (SELECT o_orderkey AS id, CAST(year(o_orderdate) + {YEAR_SHIFT} AS INTEGER) AS ano,
-  n_name AS {Q.SECTOR}, r_name AS {Q.REGION}, r_name AS {Q.RACE},
+def _tick(column):
+    """Each option is ticked by a rule of its own, made from the column's name."""
+    code = zlib.crc32(column.encode())
+    return f'CAST((parts * {code % 9973 + 7}) % 97 < {10 + code % 67} AS INTEGER) AS "{column}"'
+
+
+SURVEY = f"""bought AS (SELECT l_orderkey, CAST(sum(l_partkey) AS BIGINT) AS parts FROM lineitem GROUP BY l_orderkey),
+survey AS (SELECT o_orderkey AS id, CAST(year(o_orderdate) + {Q.YEAR_SHIFT} AS INTEGER) AS ano,
+  n_name AS {Q.SECTOR}, r_name AS {Q.REGION}, 'n' || (n_nationkey % 7) AS {Q.RACE},
   CASE WHEN c_acctbal < 0 THEN 'Outro' WHEN c_acctbal < 4000 THEN 'Feminino' ELSE 'Masculino' END AS {Q.GENDER},
-  CASE {" ".join(f"WHEN o_totalprice <= {limit} THEN '{text}'" for limit, text in PRICE_BANDS)}
-       ELSE '{TOP_BAND}' END AS {Q.BAND},
-  {", ".join(_answer(name) for name in ANSWERS)},
-  {", ".join(f'CAST(q >= {tick_threshold(c)} AS INTEGER) AS "{c}"' for c in TICK_COLUMNS)}
+  CASE {" ".join(f"WHEN o_totalprice <= {limit} THEN '{text}'" for limit, text in Q.PRICE_BANDS)}
+       ELSE '{Q.TOP_BAND}' END AS {Q.BAND},
+  {", ".join(_answer(name) for name in Q.ANSWERS)},
+  {", ".join(_tick(c) for c in Q.TICKS)}
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  JOIN region ON n_regionkey = r_regionkey LEFT JOIN largest ON o_orderkey = l_orderkey),
+  JOIN region ON n_regionkey = r_regionkey LEFT JOIN bought ON o_orderkey = l_orderkey),
 vw AS (SELECT *,
   CASE WHEN ano = 2025 AND atuacao IN ('0', '1', 'Nao_informado') THEN 'Gestor'
        WHEN ano = 2023 AND atuacao = 'Nao_informado' THEN 'Análise de Dados' ELSE atuacao END AS atuacao_ok,
@@ -338,11 +457,20 @@ def _ticked_percent(column):
         / count(*), 1)"""
 
 
-def _extract_totals(options, label, lacking):
-    """Sums over the three editions; the first edition lacks one column."""
+# Editions that lack the last column asked for.
+LACKING = "(2020, 2023)"
+
+
+def _has(column, lacking):
+    return f"ano NOT IN {LACKING}" if column == lacking else "true"
+
+
+def _extract_totals(options, label):
+    """Sums over all editions, two of which lack the last column."""
+    lacking = list(options.values())[-1]
     return f"WITH {SURVEY} " + _union(
         f"""SELECT '{text}' AS {label}, CAST(sum(coalesce("{c}", 0)) AS BIGINT) AS contagem FROM vw
-        WHERE ano BETWEEN {2024 if c == lacking else 2023} AND 2025"""
+        WHERE {_has(c, lacking)}"""
         for text, c in options.items()
     )
 
@@ -350,8 +478,7 @@ def _extract_totals(options, label, lacking):
 def _extract_long(options, name):
     lacking = list(options)[-1]
     return f"WITH {SURVEY} " + _union(
-        f"""SELECT id, ano, '{label}' AS {name} FROM vw
-        WHERE "{c}" = 1 AND ano BETWEEN {2024 if c == lacking else 2023} AND 2025"""
+        f"""SELECT id, ano, '{label}' AS {name} FROM vw WHERE "{c}" = 1 AND {_has(c, lacking)}"""
         for c, label in options.items()
     )
 
@@ -426,16 +553,16 @@ ORACLE.update({f"gold_{name}": sql for name, sql in GOLD.items()})
 ORACLE.update({
     "gold_view_rows": f"WITH {SURVEY} SELECT id, ano, atuacao, faixa_salarial, atuacao_ok, top_tier FROM vw",
     "extract_current_vs_ideal": f"""WITH {SURVEY}, long AS (
-        SELECT {Q.MODEL_NOW} AS m, 'Atual' AS situacao FROM vw WHERE ano BETWEEN 2023 AND 2025
-        UNION ALL SELECT {Q.MODEL_IDEAL}, 'Ideal' FROM vw WHERE ano BETWEEN 2023 AND 2025)
+        SELECT {Q.MODEL_NOW} AS m, 'Atual' AS situacao FROM vw
+        UNION ALL SELECT {Q.MODEL_IDEAL}, 'Ideal' FROM vw)
         SELECT CASE m {SHORT_MODELS} ELSE m END AS modelo, situacao, count(*) AS total
         FROM long WHERE m IS NOT NULL GROUP BY 1, 2""",
-    "extract_challenge_totals": _extract_totals(Q.CHALLENGES, "desafio", list(Q.CHALLENGES.values())[-1]),
-    "extract_value_totals": _extract_totals(Q.VALUES, "valor", list(Q.VALUES.values())[-1]),
+    "extract_challenge_totals": _extract_totals(Q.CHALLENGES, "desafio"),
+    "extract_value_totals": _extract_totals(Q.VALUES, "valor"),
     "extract_maturity": f"""WITH {SURVEY} SELECT ano,
         ROUND(100.0 * sum(CASE WHEN {Q.DATA_LAKE} IN ('1', '1.0', 'TRUE') THEN 1 ELSE 0 END) / count(*), 1) AS pct_lake,
         ROUND(100.0 * sum(CASE WHEN {Q.DATA_WAREHOUSE} = '1' THEN 1 ELSE 0 END) / count(*), 1) AS pct_dw
-        FROM vw WHERE ano BETWEEN 2023 AND 2025 GROUP BY ano""",
+        FROM vw GROUP BY ano""",
     "extract_ai_barriers": _extract_long(Q.BARRIER_OPTIONS, "barreira"),
     "extract_ai_barriers_more": _extract_long(Q.BARRIER_OPTIONS_MORE, "barreira"),
     "extract_ai_uses": _extract_long(Q.AI_USE_OPTIONS, "forma_uso"),
@@ -443,14 +570,12 @@ ORACLE.update({
         CASE WHEN {Q.AI_AT_WORK} LIKE '%Utilizo%' THEN 'Usa IA no trabalho' ELSE 'Não usa / não informou' END AS uso_ia_grupo,
         CASE WHEN {Q.AI_PRIORITY} = 1 THEN 'IA É prioridade na empresa'
              WHEN {Q.AI_NO_PRIORITY} = 1 THEN 'IA NÃO é prioridade' ELSE 'Outro cenário' END AS prioridade_grupo,
-        CASE WHEN ano = 2023 THEN NULL WHEN {Q.AI_RESULTS} LIKE 'Sim%' THEN 'Sim, bons resultados'
+        CASE WHEN ano IN {LACKING} THEN NULL WHEN {Q.AI_RESULTS} LIKE 'Sim%' THEN 'Sim, bons resultados'
              WHEN {Q.AI_RESULTS} LIKE 'Em partes%' THEN 'Em partes / piloto'
              WHEN {Q.AI_RESULTS} LIKE '%ainda não%' THEN 'Ainda não começou'
              WHEN {Q.AI_RESULTS} LIKE 'Não%' THEN 'Não, sem resultados' ELSE 'Sem resposta' END AS resultado_grupo,
-        {Q.AI_AT_WORK}, CAST({Q.AI_PRIORITY} AS DOUBLE) AS {Q.AI_PRIORITY},
-        CAST({Q.AI_NO_PRIORITY} AS DOUBLE) AS {Q.AI_NO_PRIORITY},
-        CAST({Q.AI_PAYER["gratis"]} AS DOUBLE) AS {Q.AI_PAYER["gratis"]},
-        CASE WHEN ano > 2023 THEN {Q.AI_RESULTS} END AS {Q.AI_RESULTS} FROM vw WHERE ano BETWEEN 2023 AND 2025""",
+        {Q.AI_AT_WORK}, {Q.AI_PRIORITY}, {Q.AI_NO_PRIORITY}, {Q.FREE_AI},
+        CASE WHEN ano NOT IN {LACKING} THEN {Q.AI_RESULTS} END AS {Q.AI_RESULTS} FROM vw""",
     "extract_short_model": f"""WITH {SURVEY} SELECT id, ano, {Q.MODEL_NOW}, atuacao,
         CASE {Q.MODEL_NOW} {SHORT_MODELS} ELSE 'Não informado' END AS forma_trabalho_curta FROM vw""",
 })

@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveyloom.functions.columns import (
     as_flag, clean_header_text, coerce_number, is_ticked, normalise_text, try_int,
 )
+from surveyloom.functions.names import POSITION, steps_for
 from surveyloom.functions.rules import classify, first_true, map_by_table, map_values, recode, tier_flag
-from surveyloom.operators import clean, harmonise, indicators, profile, reshape, unify
+from surveyloom.operators import clean, editions, harmonise, indicators, profile, reshape, unify
+from surveyloom.operators.rule_tables import classify_by_table
 from surveyloom.plans import extracts, silver
 from surveyloom.plans import questionnaire as Q
 from surveyloom.plans.gold import INDICATORS, gold_view
 from surveyloom.session import scratch_path
-from surveyloom.sources import files
+from surveyloom.sources import catalogue, files, versions
 
 from . import views
 from .views import FLAGS, activity, flags, labels_wide, resp, table
@@ -182,8 +187,7 @@ def totals_across_editions(spark, sf):
         "Volume": ["compra_em_volume"],
         "Ausente": ["nao_existe"],
     }
-    cleaned = {year: harmonise.clean_columns(df) for year, df in views.editions(spark, sf).items()}
-    return indicators.totals_across(cleaned, options)
+    return editions.totals_across(views.edition_stack(spark, sf), options)
 
 
 # Long form
@@ -280,15 +284,44 @@ def map_no_fallback(spark, sf):
 
 @query
 def map_long_table(spark, sf):
-    names = table(spark, sf, "customer").where("c_acctbal >= 0").select(
-        F.col("c_custkey").cast("string").alias("source"), F.col("c_name").alias("target")
-    )
+    target = F.when(F.col("c_acctbal") >= 0, F.col("c_name"))  # the others keep their number
+    names = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("source"), target.alias("target"))
     rows = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("cliente"))
     return map_by_table(rows, "cliente", names, "cliente", keep_unmapped=True)
 
 
+@query
+def classify_rule_table(spark, sf):
+    """Documents by the first of thousands of rules, made of the names of parts and the texts of the benchmark."""
+    words = F.split("p_name", " ")
+    names = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("place"), F.when(F.col("p_partkey") % 3 == 0, "starts").otherwise("contains").alias("how"),
+        F.concat_ws(" ", words[0], F.substring(words[1], 1, 4)).alias("fragment"), F.concat(F.lit("peça "), "p_partkey").alias("label"),
+    )
+    passages = spark.read.parquet(f"{sf}/benchmark.parquet").select(
+        (F.lit(10_000_000) + F.col("item_id")).alias("place"), F.lit("contains").alias("how"),
+        F.substring("text", 1, 40).alias("fragment"), F.concat(F.lit("passagem "), "item_id").alias("label"),
+    )
+    openings = table(spark, sf, "documents").select(
+        (F.lit(20_000_000) + F.col("doc_id")).alias("place"), F.lit("starts").alias("how"),
+        F.substring("text", 1, 12).alias("fragment"), F.concat(F.lit("início "), "doc_id").alias("label"),
+    )
+    rules = names.unionByName(passages).unionByName(openings)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return classify_by_table(docs, "text", rules, "grupo", "outro", ignore_case=True).select("doc_id", "grupo")
+
+
 # Row cleaning
 
+@query
+def dedup_first_in_file(spark, sf):
+    """One order per customer: the first in the file, where an order by columns would take another."""
+    rows = files.read_parquet(spark, f"{sf}/orders.parquet", POSITION).select(
+        POSITION, "o_orderstatus", "o_custkey", "o_orderkey", "o_totalprice"
+    )
+    return clean.dedup_by_key(rows, "o_custkey", [POSITION]).drop(POSITION)
+
+
 @query
 def dedup_by_key(spark, sf):
     return clean.dedup_by_key(table(spark, sf, "documents"), "text", ["doc_id"])
@@ -385,16 +418,26 @@ def harmonise_editions(spark, sf):
 
 @query
 def swap_correction(spark, sf):
-    cleaned = harmonise.clean_columns(views.raw_edition(spark, sf, 1996))
-    swapped = harmonise.harmonise(cleaned, [views.SWAP])
-    return clean.bool_to_flag(swapped.select("token", "desconto_100pct", "item_devolvido"))
+    """Editions whose header occurs twice get the columns of the two questions right, the others have them so."""
+    fixed = {}
+    for year, df in views.editions(spark, sf).items():
+        cleaned = harmonise.clean_columns(df)
+        steps = [views.SWAP] if "item_devolvido_1" in cleaned.columns else []
+        named = harmonise.harmonise(cleaned, [*steps, *([{"token": "id"}] if "token" in cleaned.columns else [])])
+        fixed[year] = unify.tag_year(
+            named.select("id", *[as_flag(named, c).alias(c) for c in ("desconto_100pct", "item_devolvido")]), year
+        )
+    return unify.unify(fixed)
 
 
 @query
 def curated_select(spark, sf):
-    cleaned = harmonise.clean_columns(views.raw_edition(spark, sf, 1995))
     wanted = ["ID", "Faixa salarial", "desconto_100%", "Compra em Volume.", "não existe", "id"]
-    return harmonise.select_curated(cleaned, wanted)
+    picked = {
+        year: unify.tag_year(harmonise.select_curated(df, wanted), year)
+        for year, df in views.harmonised_editions(spark, sf).items()
+    }
+    return unify.unify(picked, "outer")
 
 
 def _built(spark, sf):
@@ -446,18 +489,34 @@ def dup_columns_max_sum(spark, sf):
     return wide.groupBy("ano").agg(total.cast("bigint").alias("contagem"))
 
 
+def _by_year(frames):
+    return reduce(DataFrame.unionByName, [df.withColumn("ano", F.lit(year)) for year, df in frames.items()])
+
+
 @query
 def schema_diff(spark, sf):
-    base = harmonise.clean_columns(views.raw_edition(spark, sf, 1995))
-    other = harmonise.clean_columns(views.raw_edition(spark, sf, 1997))
-    return harmonise.schema_diff(profile.non_null_counts(base), profile.non_null_counts(other))
+    counts = {
+        year: profile.non_null_counts(harmonise.clean_columns(df)) for year, df in views.editions(spark, sf).items()
+    }
+    base = counts.pop(1995)
+    return _by_year({year: harmonise.schema_diff(base, other) for year, other in counts.items()})
 
 
 @query
 def keyword_columns(spark, sf):
-    cleaned = harmonise.clean_columns(views.raw_edition(spark, sf, 1995))
-    found = harmonise.keyword_columns(cleaned, ["ITEM", "desconto", "salari"])
-    return profile.non_null_counts(found).select("column", "dtype", "non_null")
+    found = {
+        year: profile.non_null_counts(
+            harmonise.keyword_columns(harmonise.clean_columns(df), ["ITEM", "desconto", "salari"])
+        ).select("column", "dtype", "non_null")
+        for year, df in views.editions(spark, sf).items()
+    }
+    return _by_year(found)
+
+
+@query
+def column_lineage(spark, sf):
+    steps = {year: steps_for(views.MAPPING, str(year)) for year in views.EDITION_HEADERS}
+    return harmonise.lineage(views.editions(spark, sf), steps, 1995)
 
 
 # Profiles
@@ -489,13 +548,12 @@ def _rounded(described):
 
 @query
 def profile_describe(spark, sf):
-    return _rounded(profile.describe(labels_wide(spark, sf, "n_chars", "quality", "toxic")))
+    return _rounded(profile.describe(labels_wide(spark, sf)))
 
 
 @query
 def describe_many_values(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice")
-    return _rounded(profile.describe(lines, few_values=1000))
+    return _rounded(profile.describe(table(spark, sf, "lineitem")))
 
 
 @query
@@ -551,6 +609,63 @@ def csv_roundtrip(spark, sf):
     return files.read_csv(spark, path, docs.schema)
 
 
+def _faulty_files(spark, sf):
+    """Orders as CSV files of two headers, some with line breaks in fields, some with faults."""
+    key, price, text = F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string"), F.col("o_orderpriority")
+    note = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit('"'), text, F.lit(',\n""x"" "'))).otherwise(text)
+    plain = F.concat_ws(",", key, price, note)
+    first = (
+        F.when(F.col("o_orderkey") % 97 == 0, F.concat_ws(",", plain, F.lit("mais")))
+        .when(F.col("o_orderkey") % 89 == 1, F.concat_ws(",", key, F.lit("n/a"), note))
+        .when(F.col("o_orderkey") % 83 == 2, F.concat_ws(",", key, price)).otherwise(plain)
+    )
+    second = F.when(F.col("o_orderkey") % 79 == 3, F.concat_ws(",", note, F.lit("x1"), price)).otherwise(F.concat_ws(",", note, key, price))
+    orders = table(spark, sf, "orders")
+    path = scratch_path(spark, "faulty")
+    for header, line, mine in (
+        ("o_orderkey,o_totalprice,nota", first, "F"), ("nota,o_orderkey,o_totalprice", second, "O"),
+    ):
+        status = F.col("o_orderstatus") == "F"
+        lines = orders.where(status if mine == "F" else ~status).select(
+            F.pmod(F.xxhash64("o_orderkey"), F.lit(3)).alias("part"), F.lit(1).alias("rank"), line.alias("value")
+        )
+        heads = spark.range(3).select(F.col("id").alias("part"), F.lit(0).alias("rank"), F.lit(header).alias("value"))
+        ordered = lines.unionByName(heads).repartitionByRange(3, "part").sortWithinPartitions("part", "rank")
+        # each part lies in one task, its header first
+        ordered.select("part", "value").write.partitionBy("part").mode("append").text(path)
+    return files.CsvFiles(spark, path, T.StructType.fromDDL("o_orderkey BIGINT, o_totalprice DOUBLE, nota STRING"))
+
+
+@query
+def csv_deviating_files(spark, sf):
+    return _faulty_files(spark, sf).rows()
+
+
+@query
+def csv_rejected_rows(spark, sf):
+    counted = files.rejected_counts(_faulty_files(spark, sf).rejected())
+    return counted.groupBy("reason", "field").agg(F.sum("n_records").alias("n_records"))
+
+
+@query
+def bucketed_dedup(spark, sf):
+    """Lines kept in buckets of their order: one line an order, joined with the order, without a shuffle of lines."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    catalogue.save_bucketed(lines, name, "l_orderkey", 8, scratch_path(spark, "bucketed"))
+    return clean.dedup_by_key(spark.table(name), "l_orderkey", ["l_shipdate", "l_linenumber", "l_quantity"])
+
+
+@query
+def replaced_table(spark, sf):
+    """A table replaced by a frame that reads the table itself."""
+    name, root = f"versioned_{uuid.uuid4().hex}", scratch_path(spark, "versions")
+    versions.replace_table(resp(spark, sf), name, root, ["ano"])
+    doubled = spark.table(name).withColumn("valor", F.col("valor") * 2)
+    versions.replace_table(doubled, name, root, ["ano"])
+    return spark.table(name).select(*views.RESP_COLUMNS)
+
+
 @query
 def parquet_partition_roundtrip(spark, sf):
     path = scratch_path(spark, "resp-parquet")
@@ -567,10 +682,11 @@ def silver_from_csv(spark, sf):
     def as_csv(edition):
         year, df = edition
         files.write_csv(df, f"{path}/ano_{year}")
-        return year, files.read_csv(spark, f"{path}/ano_{year}", df.schema)
+        return year, files.read_csv(spark, f"{path}/ano_{year}", df.schema, position=POSITION)
 
-    with ThreadPoolExecutor(3) as pool:
-        raw = dict(pool.map(as_csv, views.editions(spark, sf).items()))
+    frames = views.editions(spark, sf)
+    with ThreadPoolExecutor(len(frames)) as pool:
+        raw = dict(pool.map(as_csv, frames.items()))
     built = silver.build_silver(raw, mapping=views.MAPPING, stage=True)
     return silver.write_silver(built, scratch_path(spark, "silver"))
 

@@ -7,16 +7,20 @@ No join is hinted: Spark broadcasts a side only while its size is under the sess
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.functions.names import Step, mapping_step, steps_for
+from surveyloom.functions.names import Step, clean_headers, mapping_step, steps_for
 from surveyloom.functions.rules import map_values
+from surveyloom.operators.editions import Stack, stack_from
 from surveyloom.operators.harmonise import clean_columns, harmonise
 from surveyloom.plans import questionnaire as Q
 from surveyloom.plans.gold import GOLD_COLUMNS
+from surveyloom.session import scratch_path
+from surveyloom.sources.files import write_parquet
 
 FLAGS = ["f_returned", "f_accepted", "f_open", "f_discount", "f_bulk"]
 
@@ -197,50 +201,68 @@ CODE_HEADERS_DOUBLE = [
     ("3.c.1_Pedido em aberto", "f_open", "double"),
     ("3.d.1_Desconto 100%", "f_discount", "double"),
 ]
-EDITION_HEADERS = {1995: TUPLE_HEADERS, 1996: CODE_HEADERS_BOOLEAN, 1997: CODE_HEADERS_DOUBLE}
+EDITION_HEADERS = {
+    1995: TUPLE_HEADERS, 1996: CODE_HEADERS_BOOLEAN, 1997: CODE_HEADERS_DOUBLE, 1998: CODE_HEADERS_BOOLEAN,
+    1999: CODE_HEADERS_DOUBLE, 2000: TUPLE_HEADERS, 2001: CODE_HEADERS_BOOLEAN,
+}
 
 # Mapping rows (edition, step, source, target) to the vocabulary of the first edition.
 MAPPING = [
-    ("1996", 1, "token", "id"),
-    ("1996", 1, "pedido_em_aberto", "pedido_aberto"),
-    ("1996", 2, "item_devolvido", "desconto_100pct"),
-    ("1996", 2, "item_devolvido_1", "item_devolvido"),
-    ("1997", 1, "pedido_em_aberto", "pedido_aberto"),
-    ("1997", 2, "token", "id"),
+    row
+    for year, headers in EDITION_HEADERS.items()
+    for row in {
+        id(TUPLE_HEADERS): [],
+        id(CODE_HEADERS_BOOLEAN): [
+            (str(year), 1, "token", "id"),
+            (str(year), 1, "pedido_em_aberto", "pedido_aberto"),
+            (str(year), 2, "item_devolvido", "desconto_100pct"),
+            (str(year), 2, "item_devolvido_1", "item_devolvido"),
+        ],
+        id(CODE_HEADERS_DOUBLE): [
+            (str(year), 1, "pedido_em_aberto", "pedido_aberto"),
+            (str(year), 2, "token", "id"),
+        ],
+    }[id(headers)]
 ]
 SWAP: Step = mapping_step([("item_devolvido", "desconto_100pct"), ("item_devolvido_1", "item_devolvido")])
 
 
-def raw_edition(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
-    """One edition under its messy headers. The year is a date range, which reaches the scan."""
-    headers = EDITION_HEADERS[year]
-    columns = [column for _, column, _ in headers]
-    base_columns = {c: RESP_COLUMNS[c] for c in columns if c not in FLAGS}
-    base_columns["_date"] = ("orders", _source("o_orderdate"))
-    start, end = F.lit(f"{year}-01-01").cast("timestamp_ntz"), F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")
-    base = respondents(spark, sf_dir, base_columns).where((F.col("_date") >= start) & (F.col("_date") < end))
-    joined = _with_ticks(spark, sf_dir, base, FLAGS)
-
-    def answer(column: str, kind: str | None) -> Column:
-        value = _tick(column) if column in FLAGS else F.col(column)
-        return value.cast(kind) if kind else value
+def editions(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
+    """The raw editions under their messy headers, as files of a year each.
 
-    return joined.select(*[answer(column, kind).alias(header) for header, column, kind in headers])
+    The answers of all years are put together once and written split by year; each edition reads its own part.
+    """
+    path = scratch_path(spark, "answers")
+    columns = [c for _, c, _ in TUPLE_HEADERS]
+    write_parquet(flags(spark, sf_dir, "ano", *columns), path, "ano")
 
+    def edition(year: int) -> DataFrame:
+        rows = spark.read.parquet(f"{path}/ano={year}")
+        return rows.select(*[
+            (F.col(column).cast(kind) if kind else F.col(column)).alias(header)
+            for header, column, kind in EDITION_HEADERS[year]
+        ])
 
-def editions(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
-    """The three raw editions."""
-    return {year: raw_edition(spark, sf_dir, year) for year in EDITION_HEADERS}
+    return {year: edition(year) for year in EDITION_HEADERS}
 
 
 def harmonised_editions(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
-    """The three editions under the vocabulary of the first."""
+    """The editions under the vocabulary of the first."""
     return {
         year: harmonise(clean_columns(df), steps_for(MAPPING, str(year)))
         for year, df in editions(spark, sf_dir).items()
     }
 
 
+def edition_stack(spark: SparkSession, sf_dir: str) -> Stack:
+    """The raw editions under their cleaned names, straight from the tables."""
+    layouts = {
+        year: dict(zip(clean_headers([h for h, _, _ in headers]), [c for _, c, _ in headers]))
+        for year, headers in EDITION_HEADERS.items()
+    }
+    return stack_from(flags(spark, sf_dir, "ano", *[c for _, c, _ in TUPLE_HEADERS]), "ano", layouts)
+
+
 # A silver table under the questionnaire's own names, so that every indicator can run.
 
 # Single-choice answers: (source column, {source value: answer}); other values have no answer.
@@ -298,9 +320,10 @@ TICK_COLUMNS = list(dict.fromkeys([
 ]))
 
 
-def tick_threshold(column: str) -> int:
-    """An order ticks an option when its largest line quantity reaches the option's threshold."""
-    return 5 + (45 * TICK_COLUMNS.index(column)) // len(TICK_COLUMNS)
+def tick_rule(column: str) -> tuple[int, int]:
+    """Factor and bound of an option: an order ticks it when its parts times the factor, modulo 97, are below."""
+    code = zlib.crc32(column.encode())
+    return code % 9973 + 7, 10 + code % 67
 
 
 def _survey_band() -> Column:
@@ -327,7 +350,7 @@ SURVEY_COLUMNS: Computed = {
     Q.GENDER: ("customer", _survey_gender),
     Q.SECTOR: ("nation", _source("n_name")),
     Q.REGION: ("region", _source("r_name")),
-    Q.RACE: ("region", _source("r_name")),
+    Q.RACE: ("nation", lambda: F.concat(F.lit("n"), (F.col("n_nationkey") % 7).cast("string"))),
     **{name: (level, _answer(source, answers)) for name, (level, source, answers) in ANSWERS.items()},
 }
 
@@ -338,25 +361,20 @@ def survey(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     base = dict.fromkeys([*([Q.KEY] if ticks else []), *[c for c in columns if c not in TICK_COLUMNS]])
     rows = respondents(spark, sf_dir, {c: SURVEY_COLUMNS[c] for c in base})
     if ticks:
-        largest = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_quantity").alias("_largest"))
-        rows = rows.join(largest, F.col(Q.KEY) == F.col("l_orderkey"), "left")
-    tick = {c: (F.col("_largest") >= tick_threshold(c)).cast("int").alias(c) for c in ticks}
+        bought = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum("l_partkey").alias("_parts"))
+        rows = rows.join(bought, F.col(Q.KEY) == F.col("l_orderkey"), "left")
+    rule = {c: tick_rule(c) for c in ticks}
+    tick = {c: (F.col("_parts") * factor % 97 < bound).cast("int").alias(c) for c, (factor, bound) in rule.items()}
     return rows.select(*[tick.get(c, c) for c in columns])
 
 
-def survey_editions(spark: SparkSession, sf_dir: str, *columns: str) -> dict[int, DataFrame]:
-    """The questionnaires of the last three years as harmonised editions, before cleaning.
+LACKING = (2020, 2023)
 
-    The second edition has booleans, the third doubles; the first lacks the last column asked for.
-    """
-    out = {}
-    for year in (2023, 2024, 2025):
-        present = columns[:-1] if year == 2023 else columns
-        first, last = (F.lit(f"{y - YEAR_SHIFT}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
-        rows = survey(spark, sf_dir, Q.KEY, "_date", *present)
-        rows = rows.where((F.col("_date") >= first) & (F.col("_date") < last))
-        kind = {2024: "boolean", 2025: "double"}.get(year, "int")
-        out[year] = rows.select(
-            Q.KEY, *[F.col(c).cast(kind).alias(c) if c in TICK_COLUMNS else F.col(c) for c in present]
-        )
-    return out
+
+def survey_editions(spark: SparkSession, sf_dir: str, *columns: str) -> Stack:
+    """The questionnaires of all years as harmonised editions; two editions lack the last column asked for."""
+    rows = survey(spark, sf_dir, Q.KEY, Q.YEAR, *columns)
+    last = F.when(~F.col(Q.YEAR).isin(*LACKING), F.col(columns[-1])).alias(columns[-1])
+    years = [year + YEAR_SHIFT for year in EDITION_HEADERS]
+    present = {year: frozenset({Q.KEY, *(columns[:-1] if year in LACKING else columns)}) for year in years}
+    return Stack(rows.select(Q.KEY, Q.YEAR, *columns[:-1], last), present, Q.YEAR)

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from surveyloom.operators import editions
 from surveyloom.operators import indicators as ind
 
 
@@ -77,5 +78,5 @@ def test_totals_across_editions(spark):
         2: spark.createDataFrame([("1",), ("x",)], "a string"),
         3: spark.createDataFrame([(True,)], "b boolean"),
     }
-    got = ind.totals_across(frames, {"A": ["a", "a_1"], "B": ["b"], "C": ["c"]})
+    got = editions.totals_across(frames, {"A": ["a", "a_1"], "B": ["b"], "C": ["c"]})
     assert [tuple(r) for r in got.collect()] == [("A", 3), ("B", 1), ("C", 0)]
