@@ -10,9 +10,11 @@ documents share one with the probability of their weighted Jaccard likeness.
 
 Signatures are cut into bands. Documents that share a band are joined, first each with one leader of the bucket, the
 document with the most company in all its buckets, later those of a bucket that are still in different classes with
-each other, unless their known likeness to the leader rules a link out (the Jaccard distance is a metric) or their
-signatures agree in so few coordinates as a likeness of 0.8 gives once in 300,000 pairs. Every joined pair is verified on whole texts, so a link
-means a likeness of at least ``LIKENESS``. Classes are the connected components of the links.
+each other, once a pair however many bands it shares, unless a link is ruled out: by their weights (the lighter text
+has less than 0.8 of the heavier's), by their known likeness to the leader (the Jaccard distance is a metric), or by
+finer signatures of ``FINE`` coordinates that agree in so few as a likeness of 0.8 gives once in 300,000 pairs. Every
+joined pair is verified on whole texts, so a link means a likeness of at least ``LIKENESS``. Classes are the connected
+components of the links.
 
 Equal texts are one node from the start, found by the 128-bit hash of the text.
 
@@ -38,12 +40,20 @@ WIDTH = 5
 LIKENESS = 0.8
 BANDS = 25
 ROWS = 5
-# Bands use the first BANDS * ROWS coordinates; all serve to estimate a likeness.
-COORDINATES = 2 * BANDS * ROWS
-LONGS = -(-COORDINATES // 16)
-# Four bits agree by chance once in 16; 4.5 standard deviations below what a likeness of LIKENESS gives.
-_RATE = LIKENESS + (1 - LIKENESS) / 16
-LEAST_AGREEING = math.floor(COORDINATES * _RATE - 4.5 * math.sqrt(COORDINATES * _RATE * (1 - _RATE)))
+COORDINATES = BANDS * ROWS
+# Finer signatures of the texts that are still in question estimate a likeness, by four bits a coordinate.
+FINE = 1024
+LONGS = FINE // 16
+COARSE = 256  # of these, looked at first
+
+
+def least_agreeing(coordinates: int) -> int:
+    """So few coordinates agree once in 300,000 pairs of a likeness of LIKENESS (4.5 standard deviations below).
+
+    Four bits agree by chance once in 16.
+    """
+    rate = LIKENESS + (1 - LIKENESS) / 16
+    return math.floor(coordinates * rate - 4.5 * math.sqrt(coordinates * rate * (1 - rate)))
 
 
 def cells(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,33 +116,44 @@ def _throw(
 
 
 def bands(batch: pa.RecordBatch) -> dict:
-    """One hash per band of each text's signature, none for a text without words, and four bits per coordinate."""
+    """One hash per band of each text's signature, none for a text without words."""
     data, offsets = text_bytes(batch.column("_text"))
     sig, some = signatures(data, offsets)
     total = np.zeros((len(sig), BANDS), np.uint64)
     for row in range(ROWS):
-        total = mix64(total * GOLD + sig[:, row: BANDS * ROWS: ROWS])
+        total = mix64(total * GOLD + sig[:, row::ROWS])
     total = mix64(total + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
     ends = np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32)
-    bits = np.zeros((len(sig), 16 * LONGS), np.uint64)
-    bits[:, :COORDINATES] = sig & np.uint64(15)
-    packed = (bits.reshape(len(sig), LONGS, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64)
-    every = np.arange(len(sig) + 1, dtype=np.int32) * LONGS
+    return {"bands": pa.ListArray.from_arrays(pa.array(ends), pa.array(total[some].ravel().view(np.int64)))}
+
+
+def fine_bits(batch: pa.RecordBatch) -> dict:
+    """Four bits of each coordinate of a finer signature of each text, packed, and the text's whole weight."""
+    data, offsets = text_bytes(batch.column("_text"))
+    sig, _ = signatures(data, offsets, FINE)
+    rows, _, width = cells(data, offsets)
+    nibbles = (sig & np.uint64(15)).reshape(len(sig), LONGS, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
+    ends = np.arange(len(sig) + 1, dtype=np.int32) * LONGS
     return {
-        "bands": pa.ListArray.from_arrays(pa.array(ends), pa.array(total[some].ravel().view(np.int64))),
-        "bits": pa.ListArray.from_arrays(pa.array(every), pa.array(packed.ravel().view(np.int64))),
+        "bits": pa.ListArray.from_arrays(pa.array(ends), pa.array(nibbles.sum(axis=2, dtype=np.uint64).ravel().view(np.int64))),
+        "weight": pa.array(np.bincount(rows, weights=width, minlength=len(sig))),
     }
 
 
-def agreeing(one: str, two: str) -> Column:
-    """In how many coordinates the packed bits of two signatures agree."""
+def _differing(x: Column) -> Column:
+    """How many groups of four bits are not all zero."""
+    folded = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseOR(F.shiftrightunsigned(x, 3))
+    return F.bit_count(folded.bitwiseAND(F.lit(0x1111111111111111)))
 
-    def apart(i: int) -> Column:
-        x = F.col(one)[i].bitwiseXOR(F.col(two)[i])
-        folded = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseOR(F.shiftrightunsigned(x, 3))
-        return F.bit_count(folded.bitwiseAND(F.lit(0x1111111111111111)))
 
-    return F.lit(COORDINATES) - sum((apart(i) for i in range(1, LONGS)), apart(0))
+def may_be_linked(one: str, two: str) -> Column:
+    """Whether two packed fine signatures agree in as many coordinates as a link has; a part of them is tried first."""
+    apart = [_differing(F.col(one)[i].bitwiseXOR(F.col(two)[i])) for i in range(COARSE // 16)]
+    coarse = F.lit(COARSE) - sum(apart[1:], apart[0])
+    every = F.aggregate(
+        F.zip_with(one, two, lambda x, y: _differing(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
+    )
+    return (coarse >= least_agreeing(COARSE)) & (F.lit(FINE) - every >= least_agreeing(FINE))
 
 
 def likeness(a: bytes, b: bytes) -> float:
@@ -196,12 +217,9 @@ def _open(entries: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id``, ``key`` (its text's hash), ``class_id``, ``class_key`` and ``n_links``.
-
-    ``n_links`` counts the verified links of the document's text to other texts.
-    """
+    """One row per document: ``doc_id``, ``key`` (its text's hash), ``class_id`` and ``class_key``."""
     given = docs.select("doc_id", F.unhex(F.md5(whole_text())).alias("key"), whole_text().alias("_text"))
-    signed = saved(map_slices(given, "_text", "bands array<bigint>, bits array<bigint>", bands, ["doc_id", "key"]), "signed")
+    signed = saved(map_slices(given, "_text", "bands array<bigint>", bands, ["doc_id", "key"]), "signed")
     nodes = signed.groupBy("key").agg(F.min("doc_id").alias("first_id"))
     shared = signed.select("key", F.explode("bands").alias("bucket")).distinct()
     crowded = shared.groupBy("bucket").agg(F.count(F.lit(1)).alias("company")).where("company > 1")
@@ -232,29 +250,31 @@ def near_classes(docs: DataFrame) -> DataFrame:
             "far", F.when(F.col("key") == F.col("leader"), 0.0).otherwise(F.col("_far"))
         ).select("bucket", "leader", "key", "class_key", "far"), "left",
     )
-    signs = signed.select("key", "bits").join(left.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
-    left = saved(left.join(signs, "key"), "left")
+    open_texts = texts.join(left.select("key").distinct(), "key", "left_semi").withColumnRenamed("text", "_text")
+    fine = map_slices(open_texts, "_text", "bits array<bigint>, weight double", fine_bits, ["key"])
+    of_key = saved(fine.join(signed.select("key", "bands").dropDuplicates(["key"]), "key"), "fine")
+    left = saved(left.join(of_key, "key"), "left")
     one, two = left.alias("one"), left.alias("two")
+    lighter, heavier = F.least("one.weight", "two.weight"), F.greatest("one.weight", "two.weight")
     rest = one.join(
         two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.key") < F.col("two.key"))
         & (F.col("one.class_key") != F.col("two.class_key"))
         & (F.col("one.key") != F.col("one.leader")) & (F.col("two.key") != F.col("two.leader"))
+        & (lighter >= LIKENESS * heavier * (1 - 1e-9))
         & (F.abs(F.col("one.far") - F.col("two.far")) <= 1 - LIKENESS + 1e-9)
-        & (agreeing("one.bits", "two.bits") >= LEAST_AGREEING),
-    ).select(F.col("one.key").alias("a"), F.col("two.key").alias("b")).distinct()
+        & may_be_linked("one.bits", "two.bits")
+        # each pair comes from the first bucket it shares
+        & (F.array_min(F.array_intersect("one.bands", "two.bands")) == F.col("one.bucket")),
+    ).select(F.col("one.key").alias("a"), F.col("two.key").alias("b"))
     known_pairs = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = rest.join(known_pairs, ["a", "b"], "left_anti")
     more = saved(_verified(rest, texts), "tested").where(F.col("likeness") >= LIKENESS)
     if not more.isEmpty():
-        links = links.unionByName(more)
-        classes = components(links)
+        classes = components(links.unionByName(more))
 
-    degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n_links"))
-    named = nodes.join(classes, "key", "left").join(degree, "key", "left").select(
-        "key", "first_id", F.coalesce("class_key", "key").alias("class_key"), F.coalesce("n_links", F.lit(0)).alias("n_links")
-    )
+    named = nodes.join(classes, "key", "left").select("key", "first_id", F.coalesce("class_key", "key").alias("class_key"))
     ids = named.groupBy("class_key").agg(F.min("first_id").alias("class_id"))
-    classed = saved(named.join(ids, "class_key").select("key", "class_key", "class_id", "n_links"), "classes")
+    classed = saved(named.join(ids, "class_key").select("key", "class_key", "class_id"), "classes")
     return signed.select("doc_id", "key").join(classed, "key")
 
 
@@ -276,4 +296,4 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
 
 def op6_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+    return near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
