@@ -393,7 +393,7 @@ def _answer(name):
 def _tick(column):
     """Each option is ticked by a rule of its own, made from the column's name."""
     code = zlib.crc32(column.encode())
-    return f'CAST((parts * {code % 9973 + 7}) % 97 < {10 + code % 67} AS INTEGER) AS "{column}"'
+    return f'CAST((parts * {code % 9972 + 1}) % 9973 < {1000 + code % 6700} AS INTEGER) AS "{column}"'
 
 
 SURVEY = f"""bought AS (SELECT l_orderkey, CAST(sum(l_partkey) AS BIGINT) AS parts FROM lineitem GROUP BY l_orderkey),

@@ -321,9 +321,9 @@ TICK_COLUMNS = list(dict.fromkeys([
 
 
 def tick_rule(column: str) -> tuple[int, int]:
-    """Factor and bound of an option: an order ticks it when its parts times the factor, modulo 97, are below."""
+    """Factor and bound of an option: an order ticks it when its parts times the factor, modulo 9973, are below."""
     code = zlib.crc32(column.encode())
-    return code % 9973 + 7, 10 + code % 67
+    return code % 9972 + 1, 1000 + code % 6700
 
 
 def _survey_band() -> Column:
@@ -364,7 +364,7 @@ def survey(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         bought = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum("l_partkey").alias("_parts"))
         rows = rows.join(bought, F.col(Q.KEY) == F.col("l_orderkey"), "left")
     rule = {c: tick_rule(c) for c in ticks}
-    tick = {c: (F.col("_parts") * factor % 97 < bound).cast("int").alias(c) for c, (factor, bound) in rule.items()}
+    tick = {c: (F.col("_parts") * factor % 9973 < bound).cast("int").alias(c) for c, (factor, bound) in rule.items()}
     return rows.select(*[tick.get(c, c) for c in columns])
 
 

@@ -30,7 +30,7 @@ def flag_int(text: Column) -> Column:
 
 def is_ticked(text: Column) -> Column:
     """Whether a text answer says yes; null counts as no in ``count_if`` and ``when``."""
-    return F.lower(text.cast("string")).isin(*TICKED_TEXT)
+    return F.lower(F.trim(text.cast("string"))).isin(*TICKED_TEXT)
 
 
 def as_flag(df: DataFrame, name: str) -> Column:
