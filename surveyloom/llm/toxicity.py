@@ -52,6 +52,8 @@ WIDE_WEIGHT = 3.0
 WIDE_RIDGE = 0.1
 ONCE = 20_000
 CACHE_WORDS = 1_000_000
+# Rows of a training step held in double precision at once.
+BLOCK = 2_048
 
 _SYMBOLS = 32
 _STEPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
@@ -212,15 +214,29 @@ def _tables(words: list[str]) -> np.ndarray:
     return out
 
 
-def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) -> np.ndarray:
-    """Minimise ``ridge * |w|^2 + sum weight * max(0, 1 - y * xw)^2`` by Newton steps on the rows within the margin."""
+def _times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``x @ w`` in double precision, block by block."""
+    return np.concatenate([x[i: i + BLOCK].astype(np.float64) @ w for i in range(0, len(x), BLOCK)])
+
+
+def _squared_hinge(x: np.ndarray, rows: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) -> np.ndarray:
+    """Minimise ``ridge * |w|^2 + sum weight * max(0, 1 - y * xw)^2`` over the given rows, by Newton steps.
+
+    A step needs the rows within the margin only, whose normal equations are added up block by block.
+    """
     w = np.zeros(x.shape[1])
     damp = ridge * np.eye(x.shape[1])
     damp[-1, -1] = 1e-6
     for _ in range(25):
-        inside = y * (x @ w) < 1
-        xs, ws = x[inside].astype(np.float64), weight[inside]
-        new = np.linalg.solve((xs * ws[:, None]).T @ xs + damp, (xs * ws[:, None]).T @ y[inside])
+        inside = np.flatnonzero(y * _times(x, w)[rows] < 1)
+        left, right = damp.copy(), np.zeros(x.shape[1])
+        for start in range(0, len(inside), BLOCK):
+            here = inside[start: start + BLOCK]
+            part = x[rows[here]].astype(np.float64)
+            weighted = part * weight[here][:, None]
+            left += weighted.T @ part
+            right += weighted.T @ y[here]
+        new = np.linalg.solve(left, right)
         if np.allclose(new, w, atol=1e-6):
             break
         w = new
@@ -234,7 +250,12 @@ def _root(marks: list[str], tables_of: np.ndarray) -> np.ndarray:
 
 
 def _features(words: list[str], tables_of: np.ndarray, root: np.ndarray) -> np.ndarray:
-    return np.concatenate([_kernel(words, Marks(tables_of)) @ root, np.ones((len(words), 1))], axis=1).astype(np.float32)
+    """Features of words and a constant one; words are taken block by block, so only the result is as long as they are."""
+    marks = Marks(tables_of)
+    out = np.ones((len(words), root.shape[1] + 1), np.float32)
+    for start in range(0, len(words), BLOCK):
+        out[start: start + BLOCK, :-1] = _kernel(words[start: start + BLOCK], marks) @ root
+    return out
 
 
 def train(sample: list[tuple[str, int]]) -> Model:
@@ -292,8 +313,8 @@ def train(sample: list[tuple[str, int]]) -> Model:
         weight = np.concatenate([np.sqrt(strength[positive]), np.sqrt(clean_in[negative])])
         weight[: len(positive)] *= 0.5 * weight[len(positive):].sum() / weight[: len(positive)].sum()
         ridge = RIDGE * max(1.0, MOST_CLEAN / len(sample)) * weight.sum()
-        w = _squared_hinge(x[rows], y, weight, ridge)
-        f = x @ w
+        w = _squared_hinge(x, rows, y, weight, ridge)
+        f = _times(x, w)
         # each toxic sentence's positive words carry the label; the worst of the document's words does at least
         strength[:] = 0
         for bag, label in zip(bags, labels):
@@ -328,8 +349,8 @@ def train(sample: list[tuple[str, int]]) -> Model:
             tables_of = _tables(names)
             root = _root(names, tables_of)
             x = _features(every, tables_of, root)
-            w = _squared_hinge(x[rows], y, weight, ridge)
-            f = (x @ w)[: len(words)]
+            w = _squared_hinge(x, rows, y, weight, ridge)
+            f = _times(x, w)[: len(words)]
     f = np.minimum(f, _CEILING)
     alpha = root @ w[:-1]
     margin = np.array([max((max(f[s].max(), _FLOOR) for s in bag), default=_NEVER) for bag in bags])
