@@ -17,14 +17,13 @@ from __future__ import annotations
 
 import csv
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import repeat
 from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,12 +36,41 @@ _WHOLE, _OPENING, _GOING_ON = 0, 1, 2
 
 def state_after(inside: bool, line: str, delimiter: str = ",") -> bool:
     """Whether the end of a line lies inside a quoted field, from the same question at its start."""
-    if '"' not in line:
-        return inside
-    for piece in line.split(delimiter):
-        if (inside or piece.startswith('"')) and piece.count('"') % 2:
-            inside = not inside
-    return inside
+    return bool(states(pa.array([line], pa.string()), inside, delimiter)[-1])
+
+
+def _turns(lines: pa.Array, delimiter: str) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces that change the state: the line each lies in, and whether it turns the state or ends a field.
+
+    A piece lies between delimiters or ends of lines. One with an even number of quotes changes nothing; of the others
+    one that starts with a quote opens a field outside and closes one inside, any other closes a field inside and is
+    plain text outside, so that the state behind it is outside in both cases.
+    """
+    wide = np.int64 if pa.types.is_large_string(lines.type) else np.int32
+    offsets = np.frombuffer(lines.buffers()[1], wide)[lines.offset: lines.offset + len(lines) + 1].astype(np.int64)
+    data = np.frombuffer(lines.buffers()[2] or b"", np.uint8)[offsets[0]: offsets[-1]]
+    offsets = offsets - offsets[0]
+    quotes = np.flatnonzero(data == 34)
+    if not len(quotes):
+        return quotes, np.zeros(0, bool)
+    starts = np.zeros(len(data) + 1, bool)
+    starts[1:][data == ord(delimiter)] = True
+    starts[offsets[:-1]] = True
+    piece = np.cumsum(starts, dtype=np.int32)[quotes]
+    first = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
+    odd = np.diff(np.r_[first, len(quotes)]) % 2 == 1
+    at = quotes[first[odd]]
+    return np.searchsorted(offsets, at, side="right") - 1, starts[at]
+
+
+def states(lines: pa.Array, inside: bool, delimiter: str) -> np.ndarray:
+    """The state at the start of each line, and behind the last one."""
+    line, turning = _turns(lines, delimiter)
+    turned = np.cumsum(turning)
+    ended = np.maximum.accumulate(np.where(turning, -1, np.arange(len(line))))  # the last piece that ended a field
+    since = turned - np.where(ended >= 0, turned[ended], 0)
+    after = np.r_[inside, (since + np.where(ended >= 0, 0, int(inside))) % 2 == 1]
+    return after[np.r_[0, np.searchsorted(line, np.arange(len(lines)), side="right")]]
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -84,14 +112,15 @@ def _condensed(delimiter: str):
 
 def _condense(block: dict, lines: pa.Array, delimiter: str) -> None:
     block["lines"] += len(lines)
-    states = block["states"]
-    for line in pc.filter(lines, pc.match_substring(lines, '"')).to_pylist() if not block["in_header"] else lines.to_pylist():
-        after = state_after(states[0], line, delimiter)
-        states[1] = after if states[0] == states[1] else state_after(states[1], line, delimiter)
-        states[0] = after
-        if block["in_header"]:
-            block["header"].append(line)
-            block["in_header"] = after
+    if block["in_header"]:
+        after = states(lines, block["states"][0], delimiter)[1:]
+        closed = np.flatnonzero(~after)
+        block["header"] += lines.slice(0, closed[0] + 1 if len(closed) else len(lines)).to_pylist()
+        block["in_header"] = not len(closed)
+    _, turning = _turns(lines, delimiter)
+    ends = np.flatnonzero(~turning)
+    turned = bool(turning[ends[-1] + 1 if len(ends) else 0:].sum() % 2)
+    block["states"] = [turned, turned] if len(ends) else [state != turned for state in block["states"]]
 
 
 def _block_row(block: dict) -> pa.RecordBatch:
@@ -151,7 +180,9 @@ def header_names(text: str, delimiter: str = ",") -> list[str]:
 
 
 def layout(spark: SparkSession, path: str, delimiter: str = ",") -> Layout:
-    """The first pass over the files of a path."""
+    """The first pass over the files of a path; the delimiter is one ASCII character."""
+    if len(delimiter) != 1 or not delimiter.isascii() or delimiter == '"':
+        raise ValueError("the delimiter is one ASCII character and no quote")
     lines = _lines(spark, path)
     blocks = lines.mapInArrow(_condensed(delimiter), _BLOCK_SCHEMA)
     found = _starts(blocks).toArrow()  # one row a block
@@ -182,20 +213,25 @@ class _Joiner:
         self.open: list[str] = []
         self.kind = _GOING_ON if self.inside else _WHOLE
         self.place = self.line
+        self.whole: list[tuple[np.ndarray, pa.Array]] = []  # records of one line
         self.rows: list[tuple[int, int, bool, str]] = []
 
     def add(self, lines: pa.Array) -> None:
-        if not self.inside and not self.skip and not pc.any(pc.match_substring(lines, '"')).as_py():
-            self.rows += zip(range(self.line, self.line + len(lines)), repeat(_WHOLE), repeat(True), lines.to_pylist())
-            self.line += len(lines)
-            return
-        for line in lines.to_pylist():
-            if not self.inside:
-                self.place, self.kind = self.line, _WHOLE
-            self.line += 1
-            self.inside = state_after(self.inside, line, self.delimiter)
+        within = states(lines, self.inside, self.delimiter)
+        number = np.arange(self.line, self.line + len(lines))
+        self.line += len(lines)
+        self.inside = bool(within[-1])
+        alone = ~within[:-1] & ~within[1:]
+        if self.skip and alone[0]:
+            self.skip, alone[0] = False, False
+            within, lines, number, alone = within[1:], lines.slice(1), number[1:], alone[1:]
+        self.whole.append((number[alone], lines.filter(pa.array(alone))))
+        rest = np.flatnonzero(~alone)
+        for i, line in zip(rest.tolist(), lines.take(pa.array(rest)).to_pylist()):
+            if not within[i]:
+                self.place, self.kind = int(number[i]), _WHOLE
             self.open.append(line)
-            if not self.inside:
+            if not within[i + 1]:
                 self._close()
 
     def _close(self) -> None:
@@ -211,32 +247,37 @@ class _Joiner:
             kind = _OPENING if self.kind == _WHOLE else _GOING_ON
             self.rows.append((self.place, kind, False, "\n".join(self.open)))
 
-    def batch(self) -> pa.RecordBatch:
-        places, kinds, closed, texts = zip(*self.rows) if self.rows else ((), (), (), ())
-        self.rows = []
+    def batches(self, boundary: bool) -> Iterator[pa.RecordBatch]:
+        """What is joined so far; with ``boundary`` the pieces of records on the block's edges alone."""
+        for places, texts in self.whole if not boundary else ():
+            yield self._batch(places, np.full(len(places), _WHOLE, np.int32), np.ones(len(places), bool), texts)
+        rows = [row for row in self.rows if row[1] != _WHOLE] if boundary else self.rows
+        if rows:
+            yield self._batch(*zip(*rows))
+        self.whole, self.rows = [], []
+
+    def _batch(self, places, kinds, closed, texts) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(places, pa.int64()), pa.array([self.header] * len(places), pa.int32()), pa.array(kinds, pa.int32()),
-             pa.array(closed, pa.bool_()), pa.array(texts, pa.string())],
+            [pa.array(places, pa.int64()), pa.array(np.full(len(places), self.header, np.int32)), pa.array(kinds, pa.int32()),
+             pa.array(closed, pa.bool_()), texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())],
             names=["place", "header", "kind", "closed", "record"],
         )
 
 
-def _joined(shared, boundary: bool):
+def _joined(shared: Broadcast, boundary: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         joiner: _Joiner | None = None
         for begins, numbers, lines in _by_block(batches):
             if begins:
                 if joiner:
                     joiner.end()
-                    yield joiner.batch()
+                    yield from joiner.batches(boundary)
                 joiner = _Joiner(shared.value, numbers["block"])
             joiner.add(lines)
-            if boundary:
-                joiner.rows = [row for row in joiner.rows if row[1] != _WHOLE]
-            yield joiner.batch()
+            yield from joiner.batches(boundary)
         if joiner:
             joiner.end()
-            yield joiner.batch()
+            yield from joiner.batches(boundary)
 
     return run
 
