@@ -7,8 +7,8 @@ are kept (all, if a text has no more), so short texts have one too. Two fingerpr
 to which both are complete.
 
 The query also fingerprints an edited form of each text, whose second half is the beginning of the next document.
-Next documents are found on ids alone: ids are dealt into ranges in order, each range finds its neighbours, and one
-row per range links the ranges; texts then move by plain equi-joins.
+Keys alone are dealt into ranges in order first; texts then cross one exchange, by range, in which each finds the next
+behind it, and one text per range is looked up for the range before.
 
 Defined cases: a null text is an empty one, whose fingerprint is empty; two empty fingerprints have likeness 1, an
 empty and another one 0; words keep their case; a text of one to four words has one shingle, all its words;
@@ -111,51 +111,80 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def neighbours(docs: DataFrame) -> DataFrame:
-    """Each document's key and the key of the next one, ``next_*``; the last is followed by the first."""
-    keys = in_order(_keyed(docs).select(*_KEY).distinct(), _KEY, "ids")
-    here = F.struct(*_KEY)
-    inner = Window.partitionBy("_range").orderBy(*_KEY)
-    firsts = keys.groupBy("_range").agg(F.min(here).alias("_first"))
-    ranges = Window.orderBy("_range")  # one row per range
-    heads = firsts.select(
-        F.col("_range").alias("_of"),
-        F.coalesce(
-            F.lead("_first").over(ranges),
-            F.first("_first").over(ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        ).alias("_head"),
-    )
-    led = keys.withColumn("_lead", F.lead(here).over(inner))
-    found = led.join(heads, led["_range"] == heads["_of"]).withColumn("_next", F.coalesce("_lead", "_head"))
-    return found.select(*_KEY, *[F.col("_next")[name].alias(f"next_{name}") for name in _KEY])
+def _range_starts(docs: DataFrame) -> list[tuple[int, bool, int]]:
+    """The smallest key of each range, in order, after dealing the keys alone into ranges of about one size.
+
+    One row per range, of which there are as many as shuffle partitions.
+    """
+    keys = in_order(_keyed(docs).select(*_KEY), _KEY, "ids")
+    firsts = keys.groupBy("_range").agg(F.min(F.struct(*_KEY)).alias("_first")).select("_first.*").collect()
+    return sorted((row["at_id"], row["has_id"], row["text_hash"]) for row in firsts)
+
+
+def _range_of(starts: list[tuple[int, bool, int]]) -> Column:
+    """Number of the range a key lies in: how many ranges start at it or before, by binary search."""
+    ids, has, hashes = (F.array(*[F.lit(start[i]) for start in starts]) for i in range(3))
+    steps = max(1, len(starts).bit_length())
+
+    def halve(bounds: Column, _: Column) -> Column:
+        middle = F.shiftright(bounds["low"] + bounds["high"], 1)
+        at = F.least(middle, F.lit(len(starts) - 1))
+        start = F.struct(F.get(ids, at).alias("at_id"), F.get(has, at).alias("has_id"), F.get(hashes, at).alias("text_hash"))
+        before = start <= F.struct(*_KEY)
+        done = bounds["low"] >= bounds["high"]
+        return F.struct(
+            F.when(done, bounds["low"]).when(before, middle + 1).otherwise(bounds["low"]).alias("low"),
+            F.when(done, bounds["high"]).when(before, bounds["high"]).otherwise(middle).alias("high"),
+        )
+
+    first = F.struct(F.lit(0).alias("low"), F.lit(len(starts)).alias("high"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), first, halve, lambda bounds: bounds["low"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every text and its edited form, and how near it is to that and to the next document."""
-    made = _keyed(docs).withColumn("n_chars", F.char_length("text").cast("bigint")).withColumn("kept", sketch(F.col("text")))
-    half = F.floor(F.col("n_chars") / 2).cast("int")
-    # both sides of the second join read one shuffle of the texts; the first side goes on with the halves that stay
-    linked = made.join(neighbours(docs), _KEY).select(
-        F.when(F.col("has_id"), F.col("at_id")).alias("doc_id"), "n_chars", "kept", half.alias("half"),
-        F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half).alias("head"),
-        *[f"next_{name}" for name in _KEY],
-    )
-    # equal rows give one next document; this window needs the order that the join sorts by anyhow
-    again = F.lag(F.lit(1)).over(Window.partitionBy(*_KEY).orderBy(*_KEY))
-    other = made.withColumn("_again", again).where("_again IS NULL").select(
-        *[F.col(name).alias(f"next_{name}") for name in _KEY], F.col("text").alias("next_text"),
-        F.col("n_chars").alias("next_chars"), F.col("kept").alias("next_kept"),
+    """Fingerprints of every text and its edited form, and how near it is to that and to the next document.
+
+    Texts cross one exchange, by range of their key; the next text of most lies in the same range, behind it in
+    descending order. Of each range only the first text is looked up for the range before.
+    """
+    starts = _range_starts(docs)
+    if not starts:
+        return _compared(docs.select(
+            F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"), whole_text().alias("next_text"),
+        ).withColumns({"kept": sketch(F.col("text")), "next_kept": sketch(F.col("text"))}))
+    keyed = _keyed(docs)
+    dealt = keyed.withColumn("_range", _range_of(starts)).repartition("_range").withColumn("kept", sketch(F.col("text")))
+    back = Window.partitionBy("_range").orderBy(*[F.desc(name) for name in _KEY])
+    here = F.struct(*_KEY)
+    other = F.lag(F.struct(here.alias("key"), "text", "kept")).over(back)
+    led = dealt.withColumn("_behind", other)
+    # equal rows have one next document: the last other key seen
+    new = F.when(F.col("_behind")["key"] != here, F.struct(F.col("_behind")["text"].alias("text"), F.col("_behind")["kept"].alias("kept")))
+    led = led.withColumn("_next", F.last(new, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # the first text of each range, for the end of the range before; the last range goes on with the first
+    wanted = docs.sparkSession.createDataFrame(
+        [(*start, (i if i else len(starts))) for i, start in enumerate(starts)],
+        "at_id bigint, has_id boolean, text_hash bigint, _before int",
     )
-    tail = F.substring("next_text", F.lit(1), F.least(F.col("half"), F.col("next_chars").cast("int")))
-    edited = F.concat("head", tail)
-    both = linked.join(other, [f"next_{name}" for name in _KEY]).select(
-        "doc_id", "n_chars", "kept", "next_kept", edited.alias("edited")
-    ).select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "kept", "next_kept",
-        sketch(F.col("edited")).alias("edited_kept"),
+    heads = keyed.join(F.broadcast(wanted), _KEY).dropDuplicates(["_before"]).select(
+        F.col("_before").alias("_range"), F.struct("text", sketch(F.col("text")).alias("kept")).alias("_head")
     )
-    return both.select(
-        "doc_id", "n_chars", "edited_sha256", digits(F.col("kept")).alias("fingerprint"),
+    both = led.join(heads, "_range").withColumn("_next", F.coalesce("_next", "_head"))
+    return _compared(both.select(
+        F.when(F.col("has_id"), F.col("at_id")).alias("doc_id"), "text", "kept",
+        F.col("_next")["text"].alias("next_text"), F.col("_next")["kept"].alias("next_kept"),
+    ))
+
+
+def _compared(both: DataFrame) -> DataFrame:
+    """The query's columns from each text, the next one, and their sketches."""
+    sized = both.withColumn("n_chars", F.char_length("text").cast("bigint"))
+    half = F.floor(F.col("n_chars") / 2).cast("int")
+    head = F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half)
+    edited = F.concat(head, F.substring("next_text", F.lit(1), half))
+    made = sized.withColumn("edited", edited).withColumn("edited_kept", sketch(F.col("edited")))
+    return made.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), digits(F.col("kept")).alias("fingerprint"),
         digits(F.col("edited_kept")).alias("edited_fingerprint"),
         likeness(F.col("kept"), F.col("edited_kept")).alias("near_edited"),
         likeness(F.col("kept"), F.col("next_kept")).alias("near_next"),
