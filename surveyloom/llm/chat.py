@@ -1,14 +1,19 @@
 """Chat formatting in budgeted windows (operator 9).
 
-The turns of a conversation are written in a template that marks each turn and escapes its control strings. Prefix
-sums of turn tokens choose the windows: a turn belongs to the stretch of half a window's room in which it starts,
-and a turn longer than that is a window of its own, so that windows begin and end with turns and, unless one turn
-alone is longer than the budget, stay within it. Every window begins with the conversation's system turn, if that is
-its first, and repeats up to ``HISTORY_TURNS`` turns before its own, as far as ``HISTORY`` tokens and the budget go. The loss mask
-covers the texts of the window's own assistant turns; repeated ones are masked out, so each is a target once.
-
-Turns are numbered and summed over split groups, and windows are gathered, not conversations: a conversation of any
-length is spread over many tasks. Only the query's digest of a whole conversation is read in order, as a stream.
+The turns of a conversation are written in a template that marks each turn and escapes its control strings. A turn
+costs the tokens of its formatted text, marks included; costs add up exactly, as the template's turns begin and end
+with pre-tokens of their own. Windows are spans of whole turns, chosen by running sums of costs: a window takes turns
+as long as they fit the budget beside what it repeats, which is the conversation's system turn, if that is its first,
+and the latest turns before the window, up to ``HISTORY_TURNS`` of them: for ``HISTORY`` tokens of those room is kept
+from the start, and more come in where the window's own turns leave room. Only a turn that alone
+is longer than the budget makes a window longer than that; a turn that fits the budget, but not with the system turn,
+is a window without it. The loss mask covers the texts of the window's own assistant turns; repeated ones are masked
+out, so each is a target once.
+
+Conversations are cut into chunks of ``CHUNK`` turn numbers, and turns are dealt by conversation and chunk and stream
+through the tasks in order, so a conversation of any length is spread over many tasks; a window doesn't reach over the
+end of a chunk, and the first window of a later chunk repeats the system turn only. The query's digest of a whole
+conversation is read in order, as a stream.
 
 Defined cases: a null text or role is an empty one; turns with equal numbers go by role and text; a null turn comes
 first; a null conv_id is a conversation; repeated rows are turns of their own; an empty table gives an empty result;
@@ -19,20 +24,21 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import deque
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm.common import map_slices, running_total, saved, slices_for, table
+from surveyloom.llm.common import saved, table, text_slices
 from surveyloom.llm.tokens import Counter
 
 BUDGET = 1024
-HISTORY = 128
+HISTORY = 256
 HISTORY_TURNS = 2
-# Tokens that the marks of one turn take, at most.
-MARKS = 12
+CHUNK = 1024
 
 # The control strings of the template, fixed.
 START, END = "<|im_start|>", "<|im_end|>"
@@ -59,109 +65,182 @@ def parse(formatted: str) -> list[tuple[str, str, int, int]]:
     return [(unescape(m[1]), unescape(m[2]), m.start(2), m.end(2)) for m in _TURN.finditer(formatted)]
 
 
-def numbered(conversations: DataFrame, tokenizer: str) -> DataFrame:
-    """Turns with their number ``nth``, their tokens ``cost`` and the tokens before them, ``ahead``."""
-    clean = conversations.select(
-        F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"),
-        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
+_TURN_COLUMNS = ["conv_id", "chunk", "kind", "turn", "role", "text"]
+_WINDOWS = (
+    "conv_id bigint, chunk bigint, part bigint, n_repeated int, n_own int, tokens bigint, formatted string, "
+    "loss array<struct<start: bigint, end: bigint>>"
+)
+_LOSS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _turns(conversations: DataFrame) -> DataFrame:
+    """Turns without null texts and roles, and the chunk of turn numbers each lies in; null numbers come first."""
+    chunk = F.coalesce(F.floor(F.col("turn").cast("bigint") / CHUNK), F.lit(-(1 << 62)))
+    return conversations.select(
+        F.col("conv_id").cast("bigint").alias("conv_id"), chunk.alias("chunk"), F.lit(1).alias("kind"),
+        F.col("turn").cast("bigint").alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
+        F.coalesce("text", F.lit("")).alias("text"),
     )
 
-    def run(batch: pa.RecordBatch) -> dict:
-        counts = Counter.of(tokenizer).count(batch.column("text").to_pylist())
-        return {"cost": pa.array([n + MARKS for n in counts], pa.int64())}
 
-    costed = saved(map_slices(clean, "text", "cost bigint", run, clean.columns), "turns")
-    # slices of turn numbers: equal numbers of one conversation are in one slice
-    turns = costed.agg(F.min("turn").alias("low"), F.max("turn").alias("high")).first()
-    low, span = turns["low"] or 0, max(1, (turns["high"] or 0) - (turns["low"] or 0) + 1)
-    slices = min(slices_for(span, 2_000), 1 << 20)
-    part = F.when(F.col("turn").isNull(), -1).otherwise(F.floor((F.col("turn") - low) * (slices / span)).cast("int"))
-    given = costed.withColumn("_part", part).withColumn("_one", F.lit(1)).withColumn("_text_key", F.md5("text"))
-    order = ["turn", "role", "_text_key"]
-    counted = running_total(given, ["conv_id"], order, "_part", "_one", "nth")
-    return running_total(counted, ["conv_id"], ["nth"], "_part", "cost", "ahead").drop("_part", "_one", "_text_key")
+def _same(one: DataFrame, two: DataFrame, *names: str) -> Column:
+    return reduce(lambda a, b: a & b, [one[n].eqNullSafe(two[n]) for n in names])
 
 
-def windows(
-    conversations: DataFrame, tokenizer: str, budget: int = BUDGET, history: int = HISTORY, history_turns: int = HISTORY_TURNS
-) -> DataFrame:
-    """Windows (conv_id, window, n_repeated, n_own, tokens, formatted, loss) in the order of ``window``.
+def long_conversations(turns: DataFrame) -> DataFrame:
+    """Conversations of more than one chunk, with their first chunk."""
+    spans = turns.groupBy("conv_id").agg(F.min("chunk").alias("first_chunk"), F.max("chunk").alias("_last"))
+    return saved(spans.where("first_chunk < _last").select("conv_id", "first_chunk"), "long")
 
-    ``window`` is the number of a window's first own turn; its first ``n_repeated`` turns are repeated ones. ``loss``
-    holds start and end of each target in ``formatted``, in characters.
-    """
-    turns = saved(numbered(conversations, tokenizer), "numbered")
-    system = turns.where("nth = 0 AND role = 'system'").select(
-        F.col("conv_id").alias("_conv"), F.col("role").alias("_role"), F.col("text").alias("_text"), F.col("cost").alias("_cost")
-    )
-    joined = turns.join(system.select("_conv", "_cost"), turns["conv_id"].eqNullSafe(F.col("_conv")), "left")
-    stretch = F.greatest(F.lit(1), F.floor((budget - history - F.coalesce("_cost", F.lit(0))) / 2))
-    alone = F.col("cost") > stretch
-    spread = saved(
-        joined.withColumn("cell", F.floor(F.col("ahead") / stretch) * 2 + alone.cast("int")).select(
-            *turns.columns, "cell", F.coalesce("_cost", F.lit(0)).alias("system_cost")
-        ), "cells",
-    )
-    heads = spread.groupBy(F.col("conv_id"), F.col("cell")).agg(
-        F.min("nth").alias("window"), F.min("ahead").alias("_from"),
-        F.least(F.lit(history), F.lit(budget) - F.sum("cost") - F.max("system_cost")).alias("_room"),
-    )
-    heads = saved(heads, "heads")
-    own = spread.join(
-        heads.select(F.col("conv_id").alias("_c"), F.col("cell").alias("_cell"), "window"),
-        spread["conv_id"].eqNullSafe(F.col("_c")) & (spread["cell"] == F.col("_cell")),
-    ).select("conv_id", "window", "nth", "role", "text", "cost", F.lit(True).alias("own"))
-    # turns before a window that it repeats; the system turn comes with every window anyhow
-    wanted = heads.where("window > 0").select(
-        F.col("conv_id").alias("_c"), "window", "_from", "_room",
-        F.explode(F.sequence(F.greatest(F.lit(0), F.col("window") - history_turns), F.col("window") - 1)).alias("_nth"),
-    )
-    before = spread.join(wanted, spread["conv_id"].eqNullSafe(F.col("_c")) & (spread["nth"] == F.col("_nth"))).where(
-        (F.col("_from") - F.col("ahead") <= F.col("_room")) & ~((F.col("nth") == 0) & (F.col("role") == "system"))
-    ).select("conv_id", "window", "nth", "role", "text", "cost", F.lit(False).alias("own"))
-    first = heads.where("window > 0").join(system, heads["conv_id"].eqNullSafe(F.col("_conv"))).select(
-        "conv_id", "window", F.lit(0).cast("bigint").alias("nth"), F.col("_role").alias("role"),
-        F.col("_text").alias("text"), F.col("_cost").alias("cost"), F.lit(False).alias("own"),
-    )
-    content = own.unionByName(before).unionByName(first)
-    gathered = content.groupBy("conv_id", "window").agg(
-        F.array_sort(F.collect_list(F.struct("nth", "role", "text", "own", "cost"))).alias("turns"),
-        F.sum("cost").alias("tokens"),
+
+def _with_leads(turns: DataFrame, long: DataFrame) -> DataFrame:
+    """Turns of long conversations, and for each chunk after the first a row (kind 0) with the system turn, if any."""
+    mine = turns.join(long, _same(turns, long, "conv_id")).drop(long["conv_id"])
+    order = F.struct(F.col("turn").isNotNull(), "turn", "role", F.md5("text"), "text")
+    firsts = mine.where("chunk = first_chunk").groupBy("conv_id").agg(F.min(order).alias("_first"))
+    is_system = F.col("_first")["role"] == "system"
+    leads = firsts.select("conv_id", is_system.alias("_is"), F.when(is_system, F.col("_first")["text"]).alias("_text"))
+    chunks = mine.where("chunk > first_chunk").select("conv_id", "chunk").distinct()
+    rows = chunks.join(leads, _same(chunks, leads, "conv_id")).drop(leads["conv_id"]).select(
+        "conv_id", "chunk", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("turn"),
+        F.when(F.col("_is"), "system").otherwise("").alias("role"), F.coalesce("_text", F.lit("")).alias("text"),
     )
+    return mine.select(*_TURN_COLUMNS).unionByName(rows)
+
+
+class Windower:
+    """Cuts the turns of one chunk of a conversation, which come in order, into windows."""
+
+    def __init__(self, conv_id: int | None, chunk: int, budget: int, history: int, history_turns: int):
+        self.conv_id, self.chunk = conv_id, chunk
+        self.budget, self.history, self.history_turns = budget, history, history_turns
+        self.system: tuple[str, int] | None = None  # formatted turn and its tokens
+        self.begun = False
+        self.part = 0
+        self.own: list[tuple[str, int, int]] = []  # formatted turn, its tokens, characters of its target or -1
+        self.repeated: list[tuple[str, int]] = []
+        self.before: deque[tuple[str, int]] = deque(maxlen=history_turns)
+        self.rows: list[tuple] = []
+
+    def lead(self, role: str, made: str, cost: int) -> None:
+        """The system turn for a chunk that doesn't begin its conversation; none if the role is empty."""
+        self.begun = True
+        if role == "system":
+            self.system = made, cost
+
+    def add(self, role: str, made: str, cost: int, target: int) -> None:
+        spent = sum(n for _, n, _ in self.own) + sum(n for _, n in self.repeated)
+        if self.own and spent + cost > self.budget:
+            self.close()
+        if not self.own:
+            self._repeat(cost, self.history)
+        self.own.append((made, cost, target))
+        if not self.begun:
+            self.begun = True
+            if role == "system":
+                self.system = made, cost
+
+    def _repeat(self, cost: int, most: int) -> None:
+        """What a window with own turns of this cost repeats: the system turn, and the latest turns within ``most`` tokens."""
+        self.repeated = []
+        room = self.budget - cost
+        if self.system and (self.system[1] <= room or room < 0):
+            self.repeated.append(self.system)
+            room -= self.system[1]
+        latest: list[tuple[str, int]] = []
+        left = min(most, room)
+        for turn in reversed(self.before):
+            left -= turn[1]
+            if left < 0:
+                break
+            latest.append(turn)
+        self.repeated += reversed(latest)
+
+    def close(self) -> None:
+        """Write the window down and keep its last turns, less the system turn, for the next one's history.
+
+        Room that the window's own turns left goes to turns before it.
+        """
+        if not self.own:
+            return
+        self._repeat(sum(n for _, n, _ in self.own), self.budget)
+        text = "".join(made for made, _ in self.repeated)
+        loss = []
+        for made, _, target in self.own:
+            text += made
+            if target >= 0:
+                end = len(text) - len(END) - 1
+                loss.append({"start": end - target, "end": end})
+        tokens = sum(n for _, n in self.repeated) + sum(n for _, n, _ in self.own)
+        self.rows.append((self.conv_id, self.chunk, self.part, len(self.repeated), len(self.own), tokens, text, loss))
+        self.before.extend((made, cost) for made, cost, _ in self.own if (made, cost) != self.system)
+        self.part += 1
+        self.own = []
+
+
+def _cut(dealt: DataFrame, tokenizer: str, budget: int, history: int, history_turns: int) -> DataFrame:
+    """Windows of turns that lie by conversation and chunk, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current: Windower | None = None
         for batch in batches:
-            texts, losses, repeated, owned = [], [], [], []
-            for rows in batch.column("turns").to_pylist():
-                text, loss = "", []
-                for row in rows:
-                    made = turn_text(row["role"], row["text"])
-                    if row["own"] and row["role"] == "assistant":
-                        end = len(text) + len(made) - len(END) - 1
-                        loss.append({"start": end - len(escape(row["text"])), "end": end})
-                    text += made
-                texts.append(text)
-                losses.append(loss)
-                repeated.append(sum(not row["own"] for row in rows))
-                owned.append(len(rows) - repeated[-1])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("conv_id"), batch.column("window"), pa.array(repeated, pa.int32()), pa.array(owned, pa.int32()),
-                 batch.column("tokens"), pa.array(texts, pa.string()),
-                 pa.array(losses, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                names=["conv_id", "window", "n_repeated", "n_own", "tokens", "formatted", "loss"],
-            )
-
-    return gathered.mapInArrow(
-        run, "conv_id bigint, window bigint, n_repeated int, n_own int, tokens bigint, formatted string, "
-        "loss array<struct<start: bigint, end: bigint>>",
+            for part in text_slices(batch, "text"):
+                done: list[tuple] = []
+                rows = list(zip(*[part.column(c).to_pylist() for c in ("conv_id", "chunk", "kind", "role", "text")]))
+                made = [turn_text(role, text) for *_, role, text in rows]
+                for (conv, chunk, kind, role, text), turn, cost in zip(rows, made, Counter.of(tokenizer).count(made)):
+                    if current is None or (conv, chunk) != (current.conv_id, current.chunk):
+                        if current:
+                            current.close()
+                            done += current.rows
+                        current = Windower(conv, chunk, budget, history, history_turns)
+                    if kind == 0:
+                        current.lead(role, turn, cost)
+                    else:
+                        current.add(role, turn, cost, len(escape(text)) if role == "assistant" else -1)
+                if current:
+                    done += current.rows
+                    current.rows = []
+                yield _window_batch(done)
+        if current:
+            current.close()
+            yield _window_batch(current.rows)
+
+    order = ["conv_id", "chunk", "kind", F.col("turn").asc_nulls_first(), "role", F.md5("text")]
+    return dealt.repartition("conv_id", "chunk").sortWithinPartitions(*order).mapInArrow(run, _WINDOWS)
+
+
+def _window_batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), _LOSS]
+    columns = list(zip(*rows)) if rows else [()] * len(types)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, types)],
+        names=["conv_id", "chunk", "part", "n_repeated", "n_own", "tokens", "formatted", "loss"],
     )
 
 
+def windows(
+    conversations: DataFrame, tokenizer: str, budget: int = BUDGET, history: int = HISTORY, history_turns: int = HISTORY_TURNS
+) -> DataFrame:
+    """Windows (conv_id, chunk, part, n_repeated, n_own, tokens, formatted, loss), in order of chunk and part.
+
+    The first ``n_repeated`` turns of a window are repeated ones; ``tokens`` is the library's count of ``formatted``.
+    ``loss`` holds start and end of each target in ``formatted``, in characters.
+    """
+    turns = _turns(conversations)
+    long = long_conversations(turns)
+    rows = turns.join(long, _same(turns, long, "conv_id"), "left_anti").unionByName(_with_leads(turns, long))
+    return _cut(rows, tokenizer, budget, history, history_turns)
+
+
 _DIGEST = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
 
 
-def digests(formatted: DataFrame) -> DataFrame:
-    """What a reader of the windows finds per conversation: turns and targets in order, hashed as a stream."""
+def digests(formatted: DataFrame, dealt: bool = False) -> DataFrame:
+    """What a reader of the windows finds per conversation: turns and targets in order, hashed as a stream.
+
+    ``dealt`` says that each conversation's windows lie together and in order already.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, state = object(), None
@@ -180,9 +259,25 @@ def digests(formatted: DataFrame) -> DataFrame:
             done.append(state.row(current))
         yield _batch(done)
 
-    columns = ["conv_id", "window", "n_repeated", "formatted", "loss"]
-    sorted_windows = formatted.select(*columns).repartition("conv_id").sortWithinPartitions("conv_id", "window")
-    return sorted_windows.mapInArrow(run, _DIGEST)
+    columns = ["conv_id", "chunk", "part", "n_repeated", "formatted", "loss"]
+    if not dealt:
+        formatted = formatted.select(*columns).repartition("conv_id").sortWithinPartitions("conv_id", "chunk", "part")
+    return formatted.select(*columns).mapInArrow(run, _DIGEST)
+
+
+def conversation_digests(
+    conversations: DataFrame, tokenizer: str, budget: int = BUDGET, history: int = HISTORY, history_turns: int = HISTORY_TURNS
+) -> DataFrame:
+    """Format conversations and read them back: ``digests`` of ``windows``.
+
+    A conversation of one chunk lies in one task in order, so its windows are read where they are made; only those of
+    long conversations are brought together again.
+    """
+    turns = _turns(conversations)
+    long = long_conversations(turns)
+    short = _cut(turns.join(long, _same(turns, long, "conv_id"), "left_anti"), tokenizer, budget, history, history_turns)
+    rest = _cut(_with_leads(turns, long), tokenizer, budget, history, history_turns)
+    return digests(short, dealt=True).unionByName(digests(rest))
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -223,4 +318,4 @@ def op9_budgeted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame(
         [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string"
     )
-    return digests(windows(conversations.unionByName(extra), public_tokenizers.path("byte_bpe_50k.json")))
+    return conversation_digests(conversations.unionByName(extra), public_tokenizers.path("byte_bpe_50k.json"))
