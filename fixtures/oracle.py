@@ -62,11 +62,11 @@ EVENT_NUMBER = """numbered AS (
 
 def _described(relation, columns):
     return _union(
-        f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean,
-        round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min,
-        round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS q25,
-        round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS q50,
-        round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM {relation}"""
+        f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 7) AS mean,
+        round(stddev_samp({c}), 7) AS std, CAST(min({c}) AS DOUBLE) AS min,
+        round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 7) AS q25,
+        round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 7) AS q50,
+        round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 7) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM {relation}"""
         for c in columns
     )
 

@@ -542,7 +542,7 @@ def null_total(spark, sf):
 
 
 def _rounded(described):
-    rounded = [F.round(c, 6).alias(c) if c in ("mean", "std", "q25", "q50", "q75") else F.col(c) for c in described.columns]
+    rounded = [F.round(c, 7).alias(c) if c in ("mean", "std", "q25", "q50", "q75") else F.col(c) for c in described.columns]
     return described.select(*rounded)
 
 

@@ -23,11 +23,15 @@ LONGEST_PREFIX = 8
 
 
 def _runs(text: Column, size: int) -> Column:
-    """The different runs of so many characters of a text."""
-    last = F.char_length(text) - size
-    return F.when(
-        last >= 0, F.array_distinct(F.transform(F.sequence(F.lit(1), last + 1), lambda i: F.substring(text, i, F.lit(size))))
-    ).otherwise(F.array().cast("array<string>"))
+    """The different runs of so many characters of a text, from an array of its characters."""
+
+    def joined(chars: Column) -> Column:
+        last = F.size(chars) - size
+        runs = F.transform(F.sequence(F.lit(0), last), lambda i: F.concat(*[F.get(chars, i + j) for j in range(size)]))
+        return F.when(last >= 0, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+
+    chars = F.when(text != "", F.split(text, "")).otherwise(F.array().cast("array<string>"))
+    return F.transform(F.array(chars), joined)[0]
 
 
 def _tagged(kind: str, keys: Column) -> Column:
