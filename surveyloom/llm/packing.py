@@ -6,8 +6,8 @@ search fills sequences around the longest piece left: it enumerates the fillings
 dominates (a filling dominates another whose pieces fit into its own), takes as many sequences of a filling as the
 counts allow, and goes on with the next longest. A branch whose waste so far leaves no chance to beat the best
 solution known is pruned; that solution, the incumbent, starts as best-fit decreasing, and a solution at the lower
-bound, all tokens over the sequence length, ends the search. ``NODES`` bounds how many fillings are tried; what is
-best by then is used.
+bound, all tokens over the sequence length, ends the search. A budget of steps in proportion to the number of lengths
+(``STEPS``, ``STEPS_A_LENGTH``) is its only limit; what is best by then is used.
 
 The solution is a list of runs, "the next pieces of this length go to these sequences at this offset". Pieces are
 numbered within their length, over split groups, and look up their run; no piece is gathered anywhere.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +33,9 @@ from surveyloom.llm.common import binary_list, running_total, saved, slices_for,
 from surveyloom.llm.tokens import Encoder
 
 SEQUENCE = 2048
-NODES = 20_000
-FILLINGS = 24
+# Budget of the search: so many steps, and so many more for each different length.
+STEPS = 1_000_000
+STEPS_A_LENGTH = 500
 
 
 def pieces(
@@ -83,46 +85,82 @@ def dominates(one: list[int], two: list[int]) -> bool:
     return True
 
 
-def fillings(counts: dict[int, int], lengths: list[int], room: int, waste_left: int, most: int = FILLINGS) -> list[list[int]]:
-    """Undominated sets of pieces for a space, least waste first; only sets that waste no more than ``waste_left``.
+class Budget:
+    """Steps that a search may still take; a step looks at one piece for one place."""
 
-    A single piece that fills the space dominates every other set, so it is the only one then.
+    def __init__(self, steps: int):
+        self.left = steps
+
+    def spend(self) -> bool:
+        self.left -= 1
+        return self.left >= 0
+
+
+def fillings(
+    counts: dict[int, int], lengths: list[int], room: int, waste_left: int, budget: Budget | None = None,
+    few_first: bool = True,
+) -> Iterator[list[int]]:
+    """Undominated sets of pieces for a space that waste no more than ``waste_left``, one by one.
+
+    Sets come in bands of growing waste; in a band either those of few pieces first, which leave short pieces for
+    later, or those of the longest pieces first, however many there are. A single piece that fills the space dominates
+    every other set, so it is the only one then; a set that an earlier one dominates, or that a further piece would
+    fit, is left out.
     """
     if counts.get(room, 0):
-        return [[room]]
-    found: list[list[int]] = []
-    tried = 0
-
-    def grow(chosen: list[int], space: int, top: int) -> None:
-        nonlocal tried
-        at = bisect_right(lengths, min(space, top)) - 1
-        smallest = next((x for x in lengths[: at + 1] if counts[x] > chosen.count(x)), None)
-        if smallest is None:
-            if space <= waste_left:
-                found.append(chosen)
+        yield [room]
+        return
+    budget = budget or Budget(1 << 62)
+    smallest = next((x for x in lengths if counts[x]), None)
+    if smallest is None or smallest > room:
+        if room <= waste_left:
+            yield []
+        return
+    kept: list[list[int]] = []
+    least = -1
+    for most in sorted({0, waste_left // 64, waste_left // 8, waste_left} & set(range(waste_left + 1))):
+        for pieces_left in range(1, room // smallest + 1) if few_first else [None]:
+            for filling in _grown(counts, lengths, [], room, room, pieces_left, (least, most), budget):
+                if not any(dominates(other, filling) for other in kept):
+                    kept.append(filling)
+                    yield filling
+            if budget.left <= 0:
+                return
+        least = most
+
+
+def _grown(
+    counts: dict[int, int], lengths: list[int], chosen: list[int], space: int, top: int, pieces_left: int | None,
+    waste: tuple[int, int], budget: Budget,
+) -> Iterator[list[int]]:
+    """Sets of so many (or any number of) more pieces of at most ``top``, longest first, within a band of waste.
+
+    A band holds the sets whose waste lies above its first bound and not above the second.
+    """
+    least, most = waste
+    smallest = next((x for x in lengths if counts[x] > chosen.count(x)), None)
+    full = smallest is None or smallest > space
+    if full or pieces_left == 0:
+        if full and not pieces_left and least < space <= most:
+            yield chosen
+        return
+    longest = min(top, space)
+    if pieces_left:  # those still to come take the smallest at least, and none of them is longer than this one
+        longest = min(longest, space - (pieces_left - 1) * smallest, space - least - 1 if pieces_left == 1 else space)
+    at = bisect_right(lengths, longest) - 1
+    while at >= 0:
+        length = lengths[at]
+        if pieces_left and length * pieces_left < space - most:
             return
-        exact = space <= top and counts.get(space, 0) > chosen.count(space)
-        if exact:  # nothing dominates a full sequence that goes on with its longest
-            found.append([*chosen, space])
+        if space - smallest < length < space - most:  # it would leave too much, and nothing fits beside it
+            at = bisect_right(lengths, space - smallest) - 1
+            continue
+        at -= 1
+        if not budget.spend():
             return
-        options = 0
-        while at >= 0 and options < 6 and tried < 400 and len(found) < most:
-            length = lengths[at]
-            at -= 1
-            if counts[length] <= chosen.count(length):
-                continue
-            # pieces no longer than this one must be able to bring the waste down
-            tried += 1
-            options += 1
-            grow([*chosen, length], space - length, length)
-
-    grow([], room, room)
-    found.sort(key=lambda f: (room - sum(f), [-x for x in f]))
-    kept: list[list[int]] = []
-    for filling in found:
-        if not any(dominates(other, filling) for other in kept):
-            kept.append(filling)
-    return kept
+        if counts[length] > chosen.count(length):
+            left = pieces_left and pieces_left - 1
+            yield from _grown(counts, lengths, [*chosen, length], space - length, length, left, waste, budget)
 
 
 Step = tuple[int, list[int], int]  # longest piece, its filling, how many sequences
@@ -160,44 +198,82 @@ def _take(left: dict[int, int], lengths: list[int], used: dict[int, int]) -> int
     return times
 
 
-def complete(counts: dict[int, int], sequence: int = SEQUENCE, nodes: int = NODES) -> list[Step]:
-    """Fillings and how often each is used, for as few sequences as the search finds."""
+def complete(counts: dict[int, int], sequence: int = SEQUENCE, steps: int | None = None) -> list[Step]:
+    """Fillings and how often each is used, for as few sequences as the search finds within its budget of steps.
+
+    The search runs in waves. A wave leaves the first choice at no more places than its limit, which doubles from wave
+    to wave, so early choices are reconsidered as soon as late ones; the last waves have no limit. Each limit serves
+    both orders of fillings. A choice is a filling and how often it is used: as often as the counts allow first, then
+    half as often, down to once.
+    """
     total = sum(x * n for x, n in counts.items())
     floor = -(-total // sequence)
     incumbent = best_fit(counts, sequence)
     best = sum(times for *_, times in incumbent)
-    first = {k: v for k, v in counts.items() if v}
-    stack: list[tuple[dict[int, int], int, tuple | None, Step | None]] = [(first, 0, None, None)]
-    tried = 0
-    while stack and best > floor and tried < nodes:
-        left, made, path, step = stack.pop()
-        tried += 1
-        left, lengths = dict(left), sorted(left)
-        if step:
-            longest, chosen, _ = step
-            used: dict[int, int] = {longest: 1}
-            for x in chosen:
-                used[x] = used.get(x, 0) + 1
-            times = _take(left, lengths, used)
-            made += times
-            path = (path, (longest, chosen, times))
-        rest = sum(x * n for x, n in left.items())
-        if made + -(-rest // sequence) >= best:
-            continue
-        if not lengths:
-            best, incumbent = made, _unwound(path)
-            continue
+    budget = Budget(STEPS + STEPS_A_LENGTH * len(counts) if steps is None else steps)
+    waves = [(limit, few_first) for limit in (1, 2, 4, 8, 16, None) for few_first in (True, False)]
+    for number, (limit, few_first) in enumerate(waves):
+        share = Budget(budget.left // min(4, len(waves) - number))
+        given = share.left
+        while best > floor and share.left > 0:
+            found = _better(counts, sequence, total, best, limit, few_first, share)
+            if found is None:
+                break
+            incumbent = found
+            best = sum(times for *_, times in incumbent)
+        budget.left -= given - max(0, share.left)
+    return incumbent
+
+
+def _better(
+    counts: dict[int, int], sequence: int, total: int, best: int, limit: int | None, few_first: bool, budget: Budget
+) -> list[Step] | None:
+    """A solution of fewer than ``best`` sequences, or None where the wave has none or the budget is spent."""
+
+    def options(left: dict[int, int], lengths: list[int], made: int, rest: int) -> Iterator[tuple[int, list[int], int]]:
         longest = lengths[-1]
-        left[longest] -= 1
         wasted = made * sequence - (total - rest)
-        options = fillings(left, lengths, sequence - longest, (best - 1) * sequence - total - wasted)
+        left[longest] -= 1
+        given = dict(left)
         left[longest] += 1
-        for chosen in reversed(options):
-            stack.append((left, made, path, (longest, chosen, 0)))
-    return incumbent
+        for chosen in fillings(given, lengths, sequence - longest, (best - 1) * sequence - total - wasted, budget, few_first):
+            used = Counter([longest, *chosen])
+            times = min(left[x] // n for x, n in used.items())
+            while times:
+                yield longest, chosen, times
+                times //= 2
+
+    start = {k: v for k, v in counts.items() if v}
+    stack = [(start, 0, None, 0, options(start, sorted(start), 0, total))]
+    while stack and budget.spend():
+        left, made, path, turned, choices = stack[-1]
+        step = next(choices, None)
+        if step is None:
+            stack.pop()
+            continue
+        # every choice but a node's first uses up one of the wave's turns
+        stack[-1] = (left, made, path, turned + 1, choices)
+        if limit is not None and turned > limit:
+            stack.pop()
+            continue
+        longest, chosen, times = step
+        after = dict(left)
+        for x, n in Counter([longest, *chosen]).items():
+            after[x] -= times * n
+            if not after[x]:
+                del after[x]
+        rest = sum(x * n for x, n in after.items())
+        here = (path, step)
+        if made + times + -(-rest // sequence) >= best:
+            continue
+        if not after:
+            return _unwound(here)
+        stack.append((after, made + times, here, turned, options(after, sorted(after), made + times, rest)))
+    return None
 
 
 def _unwound(path: tuple | None) -> list[Step]:
+    """The steps of a path, first one first."""
     steps = []
     while path:
         path, step = path
@@ -222,10 +298,10 @@ def runs(steps: list[Step]) -> pd.DataFrame:
     return frame.sort_values(["length", "first"], ignore_index=True)
 
 
-def pack(cut: DataFrame, sequence: int = SEQUENCE, nodes: int = NODES) -> DataFrame:
+def pack(cut: DataFrame, sequence: int = SEQUENCE, steps: int | None = None) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to saved pieces (doc_id, piece, length and any other columns)."""
     counts = {row["length"]: row["n"] for row in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    plan = runs(complete(counts, sequence, nodes))  # bounded by the sequence length, not by the input
+    plan = runs(complete(counts, sequence, steps))  # bounded by the sequence length, not by the input
     slices = slices_for(sum(counts.values()))
     hashed = F.xxhash64("doc_id", "piece", "ids_crc32")
     numbered = running_total(
