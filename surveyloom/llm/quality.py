@@ -2,11 +2,9 @@
 
 Each document is measured and held against a few rules. Failures are then counted per host (the ``source`` of a
 document), each host's failure rate is shrunk towards all hosts' rates by a beta prior fitted to them, and a host
-whose shrunk rate of a rule is above a limit is rejected, with every document it has.
-
-The pipeline's stage (``keep_good``) also rejects single documents: those that fail a rule themselves, where the bar
-of symbols, repeated lines and word length is tightened by the host's shrunk rate of that rule. The query's columns
-hold the host verdict alone, as its SQL has it.
+whose shrunk rate of a rule is above a limit is rejected, with every document it has. Of other hosts those documents
+are rejected that fail a rule themselves, where the bar of symbols, repeated lines and word length is tightened by the
+host's shrunk rate of that rule: the rate is what is believed of a document before it is read.
 
 Defined cases: a null text has no words; a null source is a host of its own; repeated rows each count and each get
 a row; an empty table gives an empty result; columns beyond the needed ones are ignored.
@@ -118,14 +116,6 @@ def host_verdicts(rates: DataFrame, host: str = "source", limit: float = HOST_LI
     )
 
 
-def judge(measured: DataFrame, verdicts: DataFrame, host: str = "source") -> DataFrame:
-    """Join host verdicts back to measured documents as ``base_failed``, ``host_rejected`` and ``kept``."""
-    mine = measured.withColumn("base_failed", base_failed())
-    other = verdicts.select(F.col(host).alias("_host"), "host_rejected", "host_rate")
-    joined = mine.join(other, mine[host].eqNullSafe(other["_host"]), "left").drop("_host")
-    return joined.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("host_rejected"), F.lit(False)))
-
-
 def document_failed() -> Column:
     """Whether a document fails a rule itself; ``1 - rate`` of its host scales the bars of the rules beyond the base."""
     words = F.col("n_words")
@@ -143,11 +133,16 @@ def document_failed() -> Column:
     )
 
 
-def kept_documents(measured: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The measured documents that neither fail a rule themselves nor come from a rejected host."""
-    other = verdicts.withColumnRenamed("source", "_host")
-    joined = measured.join(other, measured["source"].eqNullSafe(other["_host"]), "left")
-    return joined.where(~document_failed() & ~F.col("host_rejected"))
+def judge(measured: DataFrame, verdicts: DataFrame, host: str = "source") -> DataFrame:
+    """Join host verdicts back to measured documents as ``base_failed``, ``host_rejected`` and ``kept``.
+
+    A document is kept that fails no rule itself, by bars that its host's shrunk rates tighten, and whose host isn't
+    rejected.
+    """
+    other = verdicts.withColumnRenamed(host, "_host")
+    joined = measured.join(other, measured[host].eqNullSafe(other["_host"]), "left").drop("_host")
+    kept = ~document_failed() & ~F.col("host_rejected")
+    return joined.withColumn("base_failed", base_failed()).withColumn("kept", F.coalesce(kept, F.lit(False)))
 
 
 def quality(docs: DataFrame) -> DataFrame:
@@ -162,7 +157,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
     narrow = measures(docs, ["doc_id", "source"])
     verdicts = saved(host_verdicts(host_rates(narrow)), "quality-hosts")
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "source", "text")
-    good = kept_documents(measures(kept, ["_row", "source"]), verdicts)
+    good = judge(measures(kept, ["_row", "source"]), verdicts).where("kept")
     return good.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
 
 
@@ -191,7 +186,9 @@ def measured_sql(source: str = "documents") -> str:
         n: f"CASE WHEN v_{n} > 0 THEN greatest(0.0, least(1000000.0, m_{n} * (1 - m_{n}) / v_{n} - 1)) ELSE 1000000.0 END"
         for n in _RULE_SQL
     }
-    worst = ", ".join(f"(f_{n} + m_{n} * ({strength[n]})) / (n_docs + ({strength[n]}))" for n in _RULE_SQL)
+    rate = {n: f"(f_{n} + m_{n} * ({strength[n]})) / (n_docs + ({strength[n]}))" for n in _RULE_SQL}
+    worst = ", ".join(rate.values())
+    slacks = ", ".join(f"1.0 - least(1.0, {rate[n]}) AS s_{n}" for n in ("symbols", "duplicate_lines", "word_length"))
     return rf"""
     given AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM {source}),
     split AS MATERIALIZED (SELECT rid, regexp_extract_all(text, '{_WORD}') AS words FROM given),
@@ -213,14 +210,16 @@ def measured_sql(source: str = "documents") -> str:
         FROM given JOIN split USING (rid) LEFT JOIN repeated USING (rid) LEFT JOIN dups USING (rid)),
     hosts AS (SELECT source, count(*) AS n_docs, {fails} FROM measured GROUP BY source),
     moments AS (SELECT {moments} FROM hosts),
-    verdicts AS (SELECT source, greatest({worst}) > {HOST_LIMIT} AS host_rejected FROM hosts, moments),
+    verdicts AS (SELECT source, greatest({worst}) > {HOST_LIMIT} AS host_rejected, {slacks} FROM hosts, moments),
     judged AS (
-        SELECT m.*, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed, host_rejected
+        SELECT m.*, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed, host_rejected,
+            n_symbols * 10 > n_words * s_symbols OR n_dup_lines * 10 > n_words * s_duplicate_lines
+            OR word_chars * s_word_length < n_words * 2 OR word_chars > n_words * 12 * s_word_length AS own_failed
         FROM measured m JOIN verdicts v ON m.source IS NOT DISTINCT FROM v.source)"""
 
 
 OP7_SQL = f"""
 WITH {measured_sql()}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    NOT base_failed AND NOT host_rejected AS kept, host_rejected
+    NOT base_failed AND NOT own_failed AND NOT host_rejected AS kept, host_rejected
 FROM judged"""
