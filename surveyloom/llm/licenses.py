@@ -7,6 +7,9 @@ accepts the template where a run of the automaton from some word reaches its end
 stands exactly, with the optional and replaceable parts free. Runs start only at places of the template's anchor, its
 first mandatory word, so most texts are passed over by a substring test.
 
+Short licenses (MIT, ISC, BSD with two or three clauses) are held against their full wording; of the longer ones the
+notices that point to them are.
+
 Words are runs of digits, letters and all characters beyond ASCII, with A-Z taken as a-z; ASCII punctuation and white
 space separate them. Three base phrases give base labels; templates add the label of the license they stand for.
 
@@ -29,6 +32,22 @@ from surveyloom.llm.common import binary_list, map_slices, table, whole_text
 
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
+# Wording of public licenses and notices, fixed values.
+_BSD_OPENING = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+    "following conditions are met [[1]] redistributions of source code must retain the above copyright notice this list "
+    "of conditions and the following disclaimer [[2]] redistributions in binary form must reproduce the above copyright "
+    "notice this list of conditions and the following disclaimer in the documentation and or other materials provided "
+    "with the distribution "
+)
+_BSD_END = (
+    "this software is provided by {{8}} as is and any express or implied warranties including but not limited to the "
+    "implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall {{8}} "
+    "be liable for any direct indirect incidental special exemplary or consequential damages including but not limited "
+    "to procurement of substitute goods or services loss of use data or profits or business interruption however caused "
+    "and on any theory of liability whether in contract strict liability or tort including negligence or otherwise "
+    "arising in any way out of the use of this software even if advised of the possibility of such damage"
+)
 TEMPLATES = {
     "mit-notice": "released under the [[terms of the]] mit license",
     "apache-2.0-notice": "licensed under the apache license version 2 0 [[the license]]",
@@ -38,12 +57,26 @@ TEMPLATES = {
     "gpl-grant": "this program is free software you can redistribute it and or modify it under the terms of the gnu "
     "general public license as published by the free software foundation either version {{1}} of the license or [[at "
     "your option]] any later version",
-    "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and "
-    "associated documentation files the software to deal in the software without restriction",
-    "bsd-grant": "redistribution and use in source and binary forms with or without modification are permitted provided "
-    "that the following conditions are met",
-    "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is "
-    "hereby granted",
+    "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software and "
+    "associated documentation files the software to deal in the software without restriction including without "
+    "limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software "
+    "and to permit persons to whom the software is furnished to do so subject to the following conditions the above "
+    "copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies or "
+    "substantial portions of the software the software is provided as is without warranty of any kind express or "
+    "implied including but not limited to the warranties of merchantability fitness for a particular purpose and "
+    "noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other "
+    "liability whether in an action of contract tort or otherwise arising from out of or in connection with the "
+    "software or the use or other dealings in the software",
+    "isc-text": "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is "
+    "hereby granted provided that the above copyright notice and this permission notice appear in all copies the "
+    "software is provided as is and {{4}} disclaims all warranties with regard to this software including all implied "
+    "warranties of merchantability and fitness in no event shall {{4}} be liable for any special direct indirect or "
+    "consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action "
+    "of contract negligence or other tortious action arising out of or in connection with the use or performance of "
+    "this software",
+    "bsd-2-clause-text": _BSD_OPENING + _BSD_END,
+    "bsd-3-clause-text": _BSD_OPENING + "[[3]] neither the name of {{8}} nor the names of its contributors may be used to "
+    "endorse or promote products derived from this software without specific prior written permission " + _BSD_END,
     "cc-by-nc-4.0-notice": "licensed under [[a]] [[creative commons]] cc by nc 4 0 [[international]]",
     "spdx-mit": "spdx license identifier mit",
     "spdx-apache-2.0": "spdx license identifier apache 2 0",

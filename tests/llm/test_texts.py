@@ -1,6 +1,7 @@
 """Operators on single texts: fingerprints, tokens, quality, licenses, toxicity."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -143,6 +144,9 @@ def test_documents_that_fail_a_rule_go(spark):
         elif symbols * 10 > words or lines * 10 > words or chars < words * 2 or chars > words * 12:
             failing.add(row.doc_id)
     assert len(failing) == 68 and not kept & failing
+    judged = quality.quality(docs).collect()
+    assert {r.doc_id for r in judged if r.kept} == kept  # the query and the pipeline's stage agree
+    assert sum(r.kept != (not r.base_failed) for r in judged) >= 68
     good = {r.doc_id for r in spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1").collect()}
     there = {r.doc_id for r in docs.select("doc_id").collect()}
     assert (good & there) - base <= kept
@@ -156,7 +160,7 @@ def test_bars_follow_the_host(spark):
         f"SELECT {host} AS source, false AS host_rejected, " + rates.format(0, 0, symbols, 0, 0)
         for host, symbols in (("'a'", 0.1), ("'b'", 0.5), ("CAST(NULL AS STRING)", 0.1))
     ))
-    found = quality.kept_documents(measured, verdicts).select(measured["source"]).collect()
+    found = quality.judge(measured, verdicts).where("kept").select("source").collect()
     assert {r[0] for r in found} == {"a", None}
 
 
@@ -170,6 +174,52 @@ def test_template_automata():
             licenses.compile_template(wrong)
 
 
+def as_pattern(template):
+    """A template as a regular expression over words that each have a space behind them."""
+    made = re.sub(r"\{\{(\d+)\}\} ?", r"(?:\\S+ ){1,\1}", template + " ")
+    made = re.sub(r"\[\[([^\]]*)\]\] ?", lambda m: f"(?:{m[1]} )?", made)
+    return re.compile(r"(?<!\S)" + made)
+
+
+def variant(template, rnd):
+    """A text of the template's wording, with some optional parts and replaceable words, and sometimes a fault."""
+    text = re.sub(r"\[\[([^\]]*)\]\]", lambda m: m[1] if rnd.random() < 0.5 else "", template)
+    text = re.sub(r"\{\{(\d+)\}\}", lambda m: " ".join(rnd.choices(["acme", "the", "2024"], k=rnd.randint(1, int(m[1]) + 1))), text)
+    words = text.split()
+    fault = rnd.randrange(4)
+    if fault == 1:
+        words[rnd.randrange(1, len(words))] = "not"
+    elif fault == 2:
+        del words[rnd.randrange(1, len(words))]
+    elif fault == 3:
+        words.insert(rnd.randrange(1, len(words)), "except")
+    return "before, " + rnd.choice([" ", "\n * "]).join(w.upper() if rnd.random() < 0.2 else w for w in words) + ". after"
+
+
+def test_templates_equal_an_independent_matcher(docs):
+    patterns = {label: as_pattern(text) for label, text in licenses.TEMPLATES.items()}
+    scanner = licenses.Scanner()
+    rnd = random.Random(8)
+    texts = [variant(t, rnd) for t in licenses.TEMPLATES.values() for _ in range(60)] + [r.text or "" for r in docs.collect()]
+    accepted = 0
+    for text in texts:
+        words = "".join(f"{w} " for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text)))
+        want = {label for label, pattern in patterns.items() if pattern.search(words)}
+        found = scanner.scan(text.encode())
+        assert set(found[5].split(",")) - {""} == want | (set(found[4].split(",")) - {""}), text
+        accepted += bool(want)
+    assert accepted > 200
+
+
+def test_altered_licenses_are_not_accepted():
+    whole = licenses.TEMPLATES["mit-text"].replace("[[including the next paragraph]]", "")
+    scanner = licenses.Scanner()
+    assert scanner.scan(whole.encode())[5:] == ("mit-text", 1.0)
+    for changed in (whole.replace("without restriction", "without restriction except that commercial use is forbidden"), whole[:-20]):
+        labels, score = scanner.scan(changed.encode())[5:]
+        assert labels == "" and 0 < score < 1
+
+
 def test_base_places_equal_brute_force(docs):
     for row in licenses.scanned(docs, ["doc_id", "text"]).collect():
         words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), row.text or ""))
