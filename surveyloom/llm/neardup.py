@@ -43,6 +43,7 @@ ROWS = 5
 COORDINATES = BANDS * ROWS
 # Finer signatures of the texts that are still in question estimate a likeness, by four bits a coordinate.
 FINE = 1024
+FINE_ROWS = 64
 LONGS = FINE // 16
 COARSE = 256  # of these, looked at first
 
@@ -128,16 +129,23 @@ def bands(batch: pa.RecordBatch) -> dict:
 
 
 def fine_bits(batch: pa.RecordBatch) -> dict:
-    """Four bits of each coordinate of a finer signature of each text, packed, and the text's whole weight."""
+    """Four bits of each coordinate of a finer signature of each text, packed, and the text's whole weight.
+
+    However short texts are, each gets thousands of darts, so few are taken at once.
+    """
     data, offsets = text_bytes(batch.column("_text"))
-    sig, _ = signatures(data, offsets, FINE)
-    rows, _, width = cells(data, offsets)
-    nibbles = (sig & np.uint64(15)).reshape(len(sig), LONGS, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
-    ends = np.arange(len(sig) + 1, dtype=np.int32) * LONGS
-    return {
-        "bits": pa.ListArray.from_arrays(pa.array(ends), pa.array(nibbles.sum(axis=2, dtype=np.uint64).ravel().view(np.int64))),
-        "weight": pa.array(np.bincount(rows, weights=width, minlength=len(sig))),
-    }
+    n = batch.num_rows
+    packed, weight = np.zeros((n, LONGS), np.uint64), np.zeros(n)
+    for start in range(0, n, FINE_ROWS):
+        here = offsets[start: start + FINE_ROWS + 1]
+        part, ends = data[here[0]: here[-1]], here - here[0]
+        sig, _ = signatures(part, ends, FINE)
+        rows, _, width = cells(part, ends)
+        nibbles = (sig & np.uint64(15)).reshape(len(sig), LONGS, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
+        packed[start: start + len(sig)] = nibbles.sum(axis=2, dtype=np.uint64)
+        weight[start: start + len(sig)] = np.bincount(rows, weights=width, minlength=len(sig))
+    ends = np.arange(n + 1, dtype=np.int32) * LONGS
+    return {"bits": pa.ListArray.from_arrays(pa.array(ends), pa.array(packed.ravel().view(np.int64))), "weight": pa.array(weight)}
 
 
 def _differing(x: Column) -> Column:
