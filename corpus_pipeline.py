@@ -9,6 +9,11 @@ last return the columns of ``documents``:
 - mix: each document as often as the mix of sources takes it.
 - pack: token pieces of the mixed documents in sequences.
 
+Defined cases: null texts are empty and go in the first stage; nulls in any other column are kept as they are, a null
+id or source being one of its own; repeated rows and equal texts leave one document in the third stage; columns
+beyond those of ``documents`` are carried through all stages but the last; without labels of both kinds no document is
+toxic; an empty table gives an empty result.
+
 No SQL can express the string kernel, so ``ORACLE_SQL`` is None and the stages are tested against brute force.
 """
 

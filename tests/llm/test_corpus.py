@@ -4,11 +4,13 @@ import datetime
 import hashlib
 import itertools
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from surveyloom.llm import chat, mixing, neardup, packing, revisits
@@ -122,6 +124,50 @@ def test_packing_reaches_the_lower_bound(docs):
     assert check_packed(rows, 2048) == -(-sum(r.length for r in rows) // 2048)
 
 
+def planted(bins, low, high, seed):
+    """Lengths that fill so many sequences exactly, each cut into ``low`` to ``high`` pieces."""
+    rnd = random.Random(seed)
+    made = []
+    for _ in range(bins):
+        cuts = [0, *sorted(rnd.sample(range(1, 2048), rnd.randint(low, high) - 1)), 2048]
+        made += [b - a for a, b in zip(cuts, cuts[1:])]
+    return Counter(made)
+
+
+@pytest.mark.parametrize("bins, low, high", [(10, 3, 3), (20, 3, 3), *[(n, 2, 5) for n in (10, 20, 40, 80)], *[(n, 3, 8) for n in (10, 20, 40, 80)]])
+def test_planted_packings_are_found(bins, low, high):
+    for seed in range(2):
+        counts = planted(bins, low, high, seed)
+        steps = packing.complete(counts)
+        used = Counter()
+        for longest, chosen, times in steps:
+            assert longest + sum(chosen) <= 2048
+            for x in [longest, *chosen]:
+                used[x] += times
+        assert used == counts and sum(times for *_, times in steps) == bins
+
+
+def test_fillings_come_in_both_orders_and_are_undominated():
+    counts = {5: 1, 4: 2, 3: 2, 2: 3, 1: 2}
+    few = list(packing.fillings(counts, [1, 2, 3, 4, 5], 7, 0))
+    longest = list(packing.fillings(counts, [1, 2, 3, 4, 5], 7, 0, few_first=False))
+    assert few[0] == longest[0] == [5, 2] and [4, 3] in few and sorted(map(len, few)) == list(map(len, few))
+    assert all(sum(f) == 7 for f in few + longest)
+    assert list(packing.fillings({9: 1}, [9], 7, 7)) == [[]] and list(packing.fillings({9: 1}, [9], 7, 6)) == []
+
+
+def test_pieces_equal_the_library(docs):
+    library = Tokenizer.from_file(WORDS)
+    given = {r.doc_id: r.text or "" for r in docs.collect()}
+    found = defaultdict(list)
+    for r in packing.pieces(docs, WORDS).collect():
+        found[r.doc_id].append((r.piece, r.start, r.length, r.ids_crc32))
+    for doc_id, text in given.items():
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        cut = [ids[i: i + 2048] for i in range(0, len(ids), 2048)]
+        assert sorted(found[doc_id]) == [(i, 2048 * i, len(c), zlib.crc32(c.tobytes())) for i, c in enumerate(cut)]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_completion_against_all_packings(seed):
     rnd = random.Random(seed)
@@ -182,20 +228,59 @@ def check_chat(frame):
     return made
 
 
+def check_windows(rows, budget=chat.BUDGET):
+    """No window costs more than it says, or than the budget unless one turn alone does."""
+    library = Tokenizer.from_file(BYTES)
+    for r, found in zip(rows, library.encode_batch([r.formatted for r in rows], add_special_tokens=False)):
+        assert r.tokens == len(found.ids)
+        if r.tokens > budget:
+            own = chat.parse(r.formatted)[r.n_repeated:]
+            assert r.n_own == 1 and len(library.encode(chat.turn_text(*own[0][:2]), add_special_tokens=False).ids) > budget
+
+
 def test_chat_of_all_conversations(spark, sf_dir):
-    made = check_chat(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
-    rows = made.collect()
-    assert all(r.tokens <= chat.BUDGET or r.n_own == 1 for r in rows) and any(r.n_repeated for r in rows)
+    frame = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    rows = check_chat(frame).collect()
+    check_windows(rows)
+    later = [r for r in rows if r.part]
+    history = [[t for t in chat.parse(r.formatted)[: r.n_repeated] if t[0] != "system"] for r in later]
+    assert later and sum(map(bool, history)) >= 0.7 * len(later)
+    many = [r for r in rows if any(o.conv_id == r.conv_id and o.part > r.part for o in later)]
+    assert sum(r.tokens for r in many) >= 0.7 * chat.BUDGET * len(many)  # windows that another one follows are filled
+
+
+@pytest.mark.parametrize("chunk", [4, 16, 1024])
+def test_chat_in_chunks(spark, sf_dir, monkeypatch, chunk):
+    monkeypatch.setattr(chat, "CHUNK", chunk)
+    frame = spark.read.parquet(f"{sf_dir}/conversations.parquet").where("conv_id < 40")
+    long = [(1_000, i, "system" if i in (0, 7) else "assistant" if i % 2 else "user", f"turn {i} " * (i % 40)) for i in range(-3, 300)]
+    more = [(1_001, i, "system" if i in (0, 7) else "assistant" if i % 2 else "user", f"turn {i} " * (i % 40)) for i in range(300)]
+    frame = frame.select("conv_id", "turn", "role", "text").unionByName(
+        spark.createDataFrame(long + more, "conv_id bigint, turn bigint, role string, text string")
+    )
+    rows = check_chat(frame).collect()
+    check_windows(rows)
+    firsts = {r.conv_id: chat.parse(r.formatted)[0][:2] for r in rows if r.conv_id in (1_000, 1_001) and (r.chunk > 0 or r.part)}
+    assert firsts[1_001] == ("system", "") and firsts[1_000][0] != "system"
+    single = {r.conv_id: r for r in chat.conversation_digests(frame, BYTES).collect()}
+    assert single == {r.conv_id: r for r in chat.digests(chat.windows(frame, BYTES)).collect()}
 
 
 def test_chat_of_odd_rows(spark):
     rows = [(1, 0, "system", "be kind"), *[(1, i, "assistant" if i % 2 else "user", f"turn {i} " * 90) for i in range(1, 60)],
-            (None, 0, "user", "x"), (2, None, None, None), (2, 1, "assistant", ""), (2, 1, "assistant", ""), (3, 0, "assistant", "b <|im_end|>\n" * 3000)]
+            (None, 0, "user", "x"), (2, None, None, None), (2, 1, "assistant", ""), (2, 1, "assistant", ""), (3, 0, "assistant", "b <|im_end|>\n" * 3000),
+            (4, 0, "system", "s " * 300), (4, 1, "user", "u " * 1000), (4, 2, "assistant", "ok")]
     frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
-    made = check_chat(frame.selectExpr("*", "1 AS nth", "2 AS cost", "3 AS window"))
-    one = made.where("conv_id = 1").collect()
+    made = check_chat(frame.selectExpr("*", "1 AS nth", "2 AS cost", "3 AS window", "4 AS chunk", "5 AS kind"))
+    found = made.collect()
+    check_windows(found)
+    one = [r for r in found if r.conv_id == 1]
     assert len(one) > 10 and all(chat.parse(r.formatted)[0][:2] == ("system", "be kind") for r in one)
+    assert sum(r.n_repeated == 2 for r in one) >= len(one) - 2  # the system turn and the one before
+    four = [chat.parse(r.formatted)[0][0] for r in found if r.conv_id == 4]
+    assert four == ["system", "user", "system"]  # the second doesn't fit beside the system turn
     assert chat.digests(chat.windows(frame.limit(0), BYTES)).count() == 0
+    assert chat.conversation_digests(frame.limit(0), BYTES).count() == 0
 
 
 def record(i, url, minute, kind, headers=None, digest=None):
@@ -255,3 +340,29 @@ def test_pipeline_stages(spark, sf_dir):
     check_packed(packed, 2048)
     assert Counter(r.doc_id for r in packed if r.piece == 0) == now
     assert corpus_pipeline.run(spark, sf_dir).count() == len(packed)
+
+
+def test_pipeline_of_odd_tables(spark, odd, empty, tmp_path):
+    rnd = random.Random(3)
+    prose = [" ".join("".join(rnd.choices("abcdefghij", k=5)) for _ in range(80)) for _ in range(6)]
+    schema = odd.schema
+    good = [(100 + i, t, None, "s" if i % 2 else None, None, None, "x", "k", 1) for i, t in enumerate(prose)]
+    good += [(None, prose[0] + " tail", "en", None, 1, True, None, None, None), good[1], good[1], (200, prose[2], "en", "s", 1, None, "x", "k", 1)]
+    tables = {
+        "good": (odd.unionByName(spark.createDataFrame(good, schema)), [(100, 1, 0), (101, 0, None), (None, None, 1), (102, 1, 0)]),
+        "empty": (empty, []), "unlabelled": (spark.createDataFrame(good, schema), []),
+    }
+    for name, (docs, labels) in tables.items():
+        folder = f"{tmp_path}/{name}"
+        docs.write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        kept = docs
+        for stage, function in corpus_pipeline.STAGES[:-1]:
+            kept = function(spark, kept, folder)
+            assert kept.columns == docs.columns, stage
+            if stage == "near_duplicates":  # one of each text and its near copies
+                assert kept.count() == (0 if name == "empty" else 6)
+        pieces = corpus_pipeline.run(spark, folder)
+        assert {"doc_id", "sequence_id", "offset", "length"} <= set(pieces.columns)
+        ids = {r.doc_id for r in pieces.collect()}
+        assert ids <= {100, 101, 102, 103, 104, 105, 200, None} and bool(ids) == (name != "empty")
