@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,22 +26,30 @@ STEP = 16
 _SMALLEST_NORMAL = 2.0**-1022
 
 
-def order_key(value: Column) -> Column:
-    """Whole number that orders doubles as they are ordered themselves: their bits, negated below zero."""
+def _near(value: Column) -> Column:
+    """The binary exponent of a value, off by one at most, next to a power of two."""
+    return F.least(F.floor(F.log2(F.abs(value))), F.lit(1023))
+
+
+def _key(value: Column, near: Column, power: Column) -> Column:
     size = F.abs(value)
-    near = F.floor(F.log2(size))  # off by one at most, next to a power of two
-    power = F.pow(F.lit(2.0), near)
     exponent = near - F.when(power > size, 1).otherwise(0) + F.when(power * 2 <= size, 1).otherwise(0)
-    fraction = (size / F.pow(F.lit(2.0), exponent) - 1) * 2.0**52
+    scale = F.when(power > size, power / 2).when(power * 2 <= size, power * 2).otherwise(power)
     bits = (
         F.when(size == 0, F.lit(0))
         .when(size == float("inf"), F.lit(2047 << 52))
         .when(size < _SMALLEST_NORMAL, (size * 2.0**537 * 2.0**537).cast("bigint"))
-        .otherwise((exponent + 1023) * F.lit(1 << 52) + fraction.cast("bigint"))
+        .otherwise((exponent + 1023) * F.lit(1 << 52) + ((size / scale - 1) * 2.0**52).cast("bigint"))
     )
     return F.when(value < 0, -bits).otherwise(bits)
 
 
+def order_key(value: Column) -> Column:
+    """Whole number that orders doubles as they are ordered themselves: their bits, negated below zero."""
+    near = _near(value)
+    return _key(value, near, F.pow(F.lit(2.0), near))
+
+
 @dataclass
 class Place:
     """A sought place of a column's sorted values: where it is inside the bin found so far."""
@@ -49,6 +58,8 @@ class Place:
     place: int
     bin: int | None = None
     value: float | None = None
+    low: float | None = None  # the least and the greatest value of the bin
+    high: float | None = None
 
 
 @dataclass
@@ -65,20 +76,27 @@ def _as_double(df: DataFrame, name: str) -> Column:
     return F.when(~F.isnan(value), value)  # NaN is no answer
 
 
-def _histogram(df: DataFrame, columns: Sequence[str], depth: int, sought: dict[int, set[int]] | None) -> DataFrame:
-    """Counts by the top ``depth * STEP`` key bits: of all values, or of those in the bins sought one level up."""
-    entries = []
-    for i, name in enumerate(columns):
-        if sought is not None and i not in sought:
-            continue
-        value = _as_double(df, name)
-        key = order_key(value)
-        known = value.isNotNull()
-        if sought is not None:
-            known = known & F.shiftright(key, 64 - STEP * (depth - 1)).isin(*sorted(sought[i]))
-        bin_of = F.shiftright(key, 64 - STEP * depth) if depth < 64 // STEP else key
-        entries.append(F.when(known, F.struct(F.lit(i).alias("column"), bin_of.alias("bin"), value.alias("x"))))
-    one = df.select(F.explode(F.array_compact(F.array(*entries))).alias("v")).select("v.*")
+Ranges = dict[int, set[tuple[float, float]]]
+
+
+def _histogram(df: DataFrame, columns: Sequence[str], depth: int, sought: Ranges | None) -> DataFrame:
+    """Counts by the top ``depth * STEP`` key bits: of all values, or of those in the ranges of values sought.
+
+    Columns are brought into rows first, so that the key is made in one place, however many columns there are.
+    """
+    places = [i for i in range(len(columns)) if sought is None or i in sought]
+    entries = [part for i in places for part in (F.lit(i), _as_double(df, columns[i]))]
+    values = df.select(F.stack(F.lit(len(places)), *entries).alias("column", "x")).where("x IS NOT NULL")
+    if sought is not None:
+        tests = [
+            (F.col("column") == i) & F.col("x").between(F.lit(low), F.lit(high))
+            for i, ranges in sorted(sought.items()) for low, high in sorted(ranges)
+        ]
+        values = values.where(reduce(lambda a, b: a | b, tests))
+    keyed = values.withColumn("_near", _near(F.col("x"))).withColumn("_power", F.pow(F.lit(2.0), F.col("_near")))
+    key = _key(F.col("x"), F.col("_near"), F.col("_power"))
+    bin_of = F.shiftright(key, 64 - STEP * depth) if depth < 64 // STEP else key
+    one = keyed.select("column", bin_of.alias("bin"), "x")
     measures = [F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")]
     if sought is None:
         measures += [F.avg("x").alias("mean"), F.var_pop("x").alias("spread")]
@@ -115,7 +133,7 @@ def _locate(bins: DataFrame, places: list[Place], shift: int | None) -> None:
     found = summed.join(wanted, ["column", "parent"]).where("place < until AND place >= until - n")
     for row in found.select("id", "bin", (F.col("place") - F.col("until") + F.col("n")).alias("inside"), "low", "high").collect():
         place = places[row["id"]]
-        place.bin, place.place = row["bin"], row["inside"]
+        place.bin, place.place, place.low, place.high = row["bin"], row["inside"], row["low"], row["high"]
         if row["low"] == row["high"]:
             place.value = row["low"]
 
@@ -140,9 +158,9 @@ def moments_and_quantiles(
         _locate(bins, open_places, None)
     while open_places := [p for p in open_places if p.value is None]:
         depth += 1
-        sought: dict[int, set[int]] = {}
+        sought: Ranges = {}
         for place in open_places:
-            sought.setdefault(place.column, set()).add(place.bin)
+            sought.setdefault(place.column, set()).add((place.low, place.high))
         _locate(_histogram(df, columns, depth, sought), open_places, STEP)
     quantiles: dict[tuple[str, float], float | None] = {}
     for i, name in enumerate(columns):
