@@ -1,6 +1,9 @@
 """Stacks of editions, rule tables, lineage, replaced and bucketed tables."""
 
+import os
 import random
+import tempfile
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -162,6 +165,44 @@ def test_many_rules_make_no_condition_per_rule(spark):
     assert got["value 7"] == "l7" and got["value 49"] == "l4"
 
 
+def test_fragments_of_every_length_meet_texts_at_every_place(spark):
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choices("aé\n😀 b", k=n))
+    lengths = [1, 2, 3, 4, 6, 7, 8, 9, 14, 15, 16, 17, 30, 31, 32, 33, 45, 63, 64, 65, 90, 128, 129]
+    fragments = {n: word(n) for n in lengths}
+    values = [(n * 100 + at, word(at) + fragments[n] + word(at % 5)) for n in lengths for at in range(20)]
+    values += [(20_000 + n, fragments[n][:-1]) for n in lengths] + [(20_500 + n, fragments[n]) for n in lengths] + [(30_000, None), (30_001, "")]
+    df = spark.createDataFrame(values, "id int, v string")
+    longest_first = sorted(lengths, reverse=True)
+    for hows in (["contains"], ["starts"], ["starts", "contains", "equals"]):
+        rules = [(10 * i, hows[i % len(hows)], fragments[n], f"l{n}") for i, n in enumerate(longest_first)]
+        for every in ([], [(-1, "starts", "", "first")], [(95, "contains", "", "middle"), (145, "starts", "", "later")]):
+            table = rules + every
+            made = spark.createDataFrame(table, "place int, how string, fragment string, label string")
+            got = {r.id: r.g for r in classify_by_table(df, "v", made, "g", "none").collect()}
+            assert got == {i: chained(v, table, "none", False) for i, v in values}
+
+
+def test_rule_tables_write_little_besides_the_texts(spark, monkeypatch):
+    """Not a row for each run of characters that a text shares with some fragment, nor one for each repeated rule."""
+    rng = random.Random(7)
+    syllables = ["ta", "ri", "mo", "en", "lu", "sk", "o ", "e "]
+    text = lambda n: "".join(rng.choices(syllables, k=n))
+    texts = [(i, text(600)) for i in range(60)]
+    rules = [(i, "contains", text(20), f"r{i}") for i in range(100)] + [(100 + i, "contains", texts[i][1][301:341], f"p{i}") for i in range(0, 60, 2)]
+    rules += [(1000 + i, "starts", texts[i % 60][1][:12], f"s{i}") for i in range(3000)]
+    shared = tempfile.mkdtemp(prefix="surveyloom-tests-")
+    monkeypatch.setattr("surveyloom.operators.rule_tables.scratch_path", lambda _, label: f"{shared}/{label}-{uuid.uuid4().hex}")
+    df = spark.createDataFrame(texts, "id int, v string")
+    made = spark.createDataFrame(rules, "place int, how string, fragment string, label string")
+    got = {r.id: r.g for r in classify_by_table(df, "v", made, "g", "none").collect()}
+    assert got == {i: chained(v, rules, "none", False) for i, v in texts}
+    assert {got[i] for i in range(60)} >= {"p0", "p58", "s1", "s59"}
+    written = {folder.split("-")[0]: spark.read.parquet(f"{shared}/{folder}").count() for folder in os.listdir(shared) if folder.startswith(("rules-", "value-"))}
+    assert written["value"] < 20 * len(texts)
+    assert written["rules"] == 130 + 60
+
+
 # ---- tables
 
 
