@@ -118,7 +118,7 @@ def fillings(
         return
     kept: list[list[int]] = []
     least = -1
-    for most in sorted({0, waste_left // 64, waste_left // 8, waste_left} & set(range(waste_left + 1))):
+    for most in sorted({0, waste_left // 64, waste_left // 8, waste_left}) if waste_left >= 0 else []:
         for pieces_left in range(1, room // smallest + 1) if few_first else [None]:
             for filling in _grown(counts, lengths, [], room, room, pieces_left, (least, most), budget):
                 if not any(dominates(other, filling) for other in kept):

@@ -4,6 +4,7 @@ import datetime
 import hashlib
 import itertools
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -156,6 +157,21 @@ def test_fillings_come_in_both_orders_and_are_undominated():
     assert list(packing.fillings({9: 1}, [9], 7, 7)) == [[]] and list(packing.fillings({9: 1}, [9], 7, 6)) == []
 
 
+def test_effort_of_fillings_does_not_grow_with_the_waste_allowed():
+    counts = {5: 1, 4: 2, 3: 2, 2: 3, 1: 2}
+    assert list(packing.fillings(counts, [1, 2, 3, 4, 5], 7, -1)) == []
+    tracemalloc.start()
+    try:
+        found = {tuple(f) for f in packing.fillings(counts, [1, 2, 3, 4, 5], 7, 1_000_000)}
+        steps = packing.complete({1500: 2_000, 400: 1_000}, steps=20)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == {tuple(f) for f in packing.fillings(counts, [1, 2, 3, 4, 5], 7, 7)} and (5, 2) in found
+    assert sum(times for *_, times in steps) == 2_000
+    assert peak < 1 << 20
+
+
 def test_pieces_equal_the_library(docs):
     library = Tokenizer.from_file(WORDS)
     given = {r.doc_id: r.text or "" for r in docs.collect()}
